@@ -10,9 +10,9 @@
    |D_x (+) D_y| <= tau (n_x + n_y), tau = (1 - J) / (1 + J).  If x and y share no element of their differences and
    are similar enough, both are linked to the hub already.  All other links have to share at least
        |D_x| - tau (1 + 1/J) n_x    and, where y is not linked to the hub,    (|D_x| - tau (n_x - n_hub)) / 2
-   elements, so they meet in the first |D_x| - c + 1 elements of a fixed order (elements outside of the hub first,
-   which are the rarer ones).  An equi-join on those finds them all without comparing all pairs of a group; the
-   sizes are checked in the join and the exact overlap after it.  No bucket or group is capped.
+   elements, c say, so they meet in the first |D_x| - c + 1 elements of any fixed order: the rarest first in large
+   groups.  An equi-join on those finds them all without comparing all pairs of a group; sizes and positions are
+   checked in the join and the exact overlap after it.  No bucket or group is capped.
 5. The confirmed links' components are the result.
 
 With 25 bands of 5 coordinates a pair of similarity 0.85 shares a band with a probability of 1 - 4e-7.
@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import textops as T
@@ -33,6 +34,8 @@ from .common import checked, components, small, stored
 from .sketch import band_keys, fast_sketch
 
 BANDS, ROWS = 25, 5
+#: Groups of so many classes count how often their elements occur, to order them; smaller ones are all rare.
+ORDERED = 16
 
 
 def _sets(column: pa.Array, width: int) -> Iterator[list[np.ndarray]]:
@@ -91,51 +94,63 @@ def _u64(value: bytes) -> np.ndarray:
 
 
 def _differences(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Each class against its group's hub: link, difference, and the elements by which other links are found."""
+    """Each class against its group's hub: link, difference, and how much of it other links have to meet in.
+
+    ``rest`` has the difference's d elements, those outside of the hub first.  ``lone`` of them are enough to meet
+    classes that aren't linked to the hub, ``most`` to meet any.
+    """
     tau, ratio = (den - num) / (den + num), num / den
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            group, node, hub, mine, other = (batch.column(k).to_pylist() for k in range(5))
+            group, node, hub, size, mine, other = (batch.column(k).to_pylist() for k in range(6))
             out: list[tuple] = []
-            for g, x, h, a, b in zip(group, node, hub, map(_u64, mine), map(_u64, other), strict=True):
+            for g, x, h, s, a, b in zip(group, node, hub, size, map(_u64, mine), map(_u64, other), strict=True):
                 extra = np.setdiff1d(a, b, assume_unique=True)
                 missing = np.setdiff1d(b, a, assume_unique=True)
                 n, nh, d = len(a), len(b), len(extra) + len(missing)
                 shared = n - len(extra)
                 linked = den * shared >= num * (n + nh - shared)
-                order = np.concatenate((extra, missing))
                 far = d - tau * (1 + 1 / ratio) * n
                 half = (d - tau * (n - nh)) / 2
                 # Rounded down by a little: one element more in a prefix is harmless, one less isn't.
-                lone = max(1, int(np.ceil(max(far, half) - 1e-6)))
-                any_ = lone if linked else max(1, int(np.ceil(far - 1e-6)))
-                out.append((g, x, n, linked, order.tobytes(), order[: max(0, d - lone + 1)].tobytes(), order[: max(0, d - any_ + 1)].tobytes(), None if x == h else h))
-            cols = list(zip(*out, strict=True)) if out else [[]] * 8
-            kinds = (pa.binary(), pa.binary(), pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+                lone = d + 1 - max(1, int(np.ceil(max(far, half) - 1e-6)))
+                most = lone if linked else d + 1 - max(1, int(np.ceil(far - 1e-6)))
+                out.append((g, x, n, d, linked, lone, most, s, np.concatenate((extra, missing)).tobytes(), None if x == h else h))
+            cols = list(zip(*out, strict=True)) if out else [[]] * 10
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
-    names = ["grp", "node", "n", "linked", "rest", "lone", "any", "hub"]
-    return rows.select("grp", "node", "hub", "elements", "hub_elements").mapInArrow(
-        run, "grp binary, node binary, n bigint, linked boolean, rest binary, lone binary, any binary, hub binary"
-    )
+    schema = "grp binary, node binary, n bigint, d bigint, linked boolean, lone bigint, most bigint, size bigint, rest binary, hub binary"
+    names = [part.split()[0] for part in schema.split(", ")]
+    kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+    return rows.select("grp", "node", "hub", "size", "elements", "hub_elements").mapInArrow(run, schema)
 
 
-def _exploded(rest: DataFrame, column: str) -> DataFrame:
-    """(grp, node, n, d, linked, element): a row for each element of ``column``."""
+def _exploded(rest: DataFrame, whole: bool) -> DataFrame:
+    """A row for each element of the differences, or of the part that has to meet others, with its position."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [_u64(v) for v in batch.column(5).to_pylist()]
+            lists = [_u64(v)[: None if whole else max(0, a, b)] for v, a, b in zip(*(batch.column(k).to_pylist() for k in (7, 5, 6)), strict=True)]
             sizes = np.array([len(v) for v in lists], dtype=np.int64)
             take = pa.array(np.repeat(np.arange(len(lists)), sizes))
             flat = np.concatenate([*lists, np.zeros(0, np.uint64)]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(take) for k in range(5)), pa.array(flat)], names=["grp", "node", "n", "d", "linked", "element"])
+            places = np.concatenate([*(np.arange(k) for k in sizes.tolist()), np.zeros(0, np.int64)]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(take) for k in range(7)), pa.array(flat), pa.array(places)], names=names)
 
-    size = F.length("rest") / 8
-    return rest.select("grp", "node", "n", size.cast("bigint").alias("d"), "linked", column).mapInArrow(
-        run, "grp binary, node binary, n bigint, d bigint, linked boolean, element bigint"
-    )
+    schema = "grp binary, node binary, n bigint, d bigint, linked boolean, lone bigint, most bigint, element bigint, at bigint"
+    names = [part.split()[0] for part in schema.split(", ")]
+    return rest.select(*names[:7], "rest").mapInArrow(run, schema)
+
+
+def _indexed(rest: DataFrame) -> DataFrame:
+    """The elements by which links are found, in one order within each group: large groups' rarest elements first."""
+    plain = _exploded(rest.where(F.col("size") < ORDERED), whole=False)
+    large = _exploded(rest.where(F.col("size") >= ORDERED), whole=True).drop("at")
+    often = large.groupBy("grp", "element").agg(F.count(F.lit(1)).alias("often"))
+    place = F.row_number().over(W.partitionBy("grp", "node").orderBy("often", "element")) - 1
+    ranked = large.join(often, ["grp", "element"]).withColumn("at", place.cast("bigint")).drop("often")
+    return plain.unionByName(ranked).where(F.col("at") < F.greatest("lone", "most"))
 
 
 def _confirmed(pairs: DataFrame, num: int, den: int) -> DataFrame:
@@ -162,25 +177,26 @@ def links(classes: DataFrame, elements_of, num: int, den: int) -> DataFrame:
     groups = components(members.select(F.col("first").alias("a"), F.col("set_key").alias("b")))
     meets = members.groupBy(F.col("set_key").alias("node")).agg(F.sum("size").alias("meets"))
     groups = checked(groups.withColumnRenamed("component", "grp").join(meets, "node"))
-    hubs = groups.groupBy("grp").agg(F.max(F.struct("meets", "node")).getField("node").alias("hub"))
+    hubs = groups.groupBy("grp").agg(F.max(F.struct("meets", "node")).getField("node").alias("hub"), F.count(F.lit(1)).alias("size"))
     held = stored(groups.select("grp", F.col("node").alias("set_key")).join(elements_of(groups.select(F.col("node").alias("set_key"))), "set_key"), "sets")
     hub_sets = hubs.join(held.select(F.col("set_key").alias("hub"), F.col("elements").alias("hub_elements")), "hub")
     rest = stored(_differences(held.withColumnRenamed("set_key", "node").join(hub_sets, "grp"), num, den), "differences")
-    tau, spread = (den - num) / (den + num), num / den
-    close = (F.col("n") >= spread * F.col("m") - 1e-6) & (F.col("m") >= spread * F.col("n") - 1e-6)
-    close &= F.abs(F.col("d") - F.col("e")) <= tau * (F.col("n") + F.col("m")) + 1e-6
-
-    def named(df: DataFrame, node: str, n: str, d: str) -> DataFrame:
-        return df.select("grp", "element", F.col("node").alias(node), F.col("n").alias(n), F.col("d").alias(d))
-
-    alone = _exploded(rest.where("NOT linked"), "lone")
-    found = named(alone, "a", "n", "d").join(named(alone, "b", "m", "e"), ["grp", "element"]).where(close & (F.col("a") < F.col("b")))
-    near = _exploded(rest.where("linked"), "any")
-    wide = _exploded(rest.where("NOT linked"), "any")
-    mixed = named(wide, "a", "n", "d").join(named(near, "b", "m", "e"), ["grp", "element"]).where(close)
+    index = stored(_indexed(rest), "index")
+    tau, ratio = (den - num) / (den + num), num / den
+    # A pair's first common element lies early enough for as many to follow as a link needs.
+    needed = (F.col("d") + F.col("e") - tau * (F.col("n") + F.col("m"))) / 2
+    close = (F.col("n") >= ratio * F.col("m") - 1e-6) & (F.col("m") >= ratio * F.col("n") - 1e-6)
+    close &= F.least(F.col("d") - F.col("i"), F.col("e") - F.col("j")) >= needed - 1e-6
+
+    def side(rows: DataFrame, node: str, n: str, d: str, at: str) -> DataFrame:
+        return rows.select("grp", "element", F.col("node").alias(node), F.col("n").alias(n), F.col("d").alias(d), F.col("at").alias(at))
+
+    alone = index.where("NOT linked AND at < lone")
+    found = side(alone, "a", "n", "d", "i").join(side(alone, "b", "m", "e", "j"), ["grp", "element"]).where(close & (F.col("a") < F.col("b")))
+    mixed = side(index.where("NOT linked AND at < most"), "a", "n", "d", "i").join(side(index.where("linked AND at < most"), "b", "m", "e", "j"), ["grp", "element"]).where(close)
     pairs = found.unionByName(mixed).select("a", "b", "n", "m").distinct()
-    side = rest.select("node", "rest")
-    pairs = pairs.join(side.withColumnsRenamed({"node": "a", "rest": "ra"}), "a").join(side.withColumnsRenamed({"node": "b", "rest": "rb"}), "b")
+    texts = rest.select("node", "rest")
+    pairs = pairs.join(texts.withColumnsRenamed({"node": "a", "rest": "ra"}), "a").join(texts.withColumnsRenamed({"node": "b", "rest": "rb"}), "b")
     return rest.where("linked AND hub IS NOT NULL").select(F.col("node").alias("a"), F.col("hub").alias("b")).unionByName(_confirmed(pairs, num, den))
 
 
@@ -217,3 +233,17 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, bands: i
     return rows_.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull(), F.lit(False)).alias("kept"), F.coalesce("n_copies", F.lit(1).cast("bigint")).alias("n_copies")
     )
+
+
+def keep_first(docs: DataFrame, percent: int = 85, width: int = 5) -> DataFrame:
+    """The rows of ``docs`` that :func:`near_duplicates` keeps, with all their columns; of repeated rows one.
+
+    Rows without a doc_id are kept unless a document with one stands for their text.
+    """
+    found = near_duplicates(docs, percent, width).where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    found = stored(found, "kept")
+    rows = docs.withColumn("doc_id", F.col("doc_id").cast("bigint")) if dict(docs.dtypes)["doc_id"] != "bigint" else docs
+    once = rows.join(small(found.where("rows = 1").select("doc_id")), "doc_id", "left_semi")
+    more = rows.join(small(found.where("rows > 1").select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    nameless = rows.where("doc_id IS NULL").dropDuplicates(["text"])
+    return once.unionByName(more).unionByName(nameless).select(*docs.columns)
