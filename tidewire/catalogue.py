@@ -3,8 +3,654 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import categories, entities, text, urls
+from .functions.categories import RULES, Profile
+from .operators import claims, cluster, dedup, health, ranking, simjoin, timeline
+from .operators.lineage import components
+from .plans import briefing
+from .sources.store import validated
+from .streaming import events as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable:
+    def register(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _norm(x: str) -> str:
+    return rf"trim(regexp_replace(regexp_replace(replace(lower({x}), 'ß', 'ss'), '[^\p{{L}}\p{{N}}_\s]', '', 'g'), '\s+', ' ', 'g'))"
+
+
+def _grams(x: str) -> str:
+    return f"CASE WHEN {x} = '' THEN [] ELSE list_distinct([substring('  ' || {x} || ' ', i, 3) FOR i IN range(1, length({x}) + 2)]) END"
+
+
+_TITLES = f"t AS (SELECT doc_id, left(text, 80) AS title, {_norm('left(text, 80)')} AS norm FROM documents), g AS (SELECT doc_id, {_grams('norm')} AS grams FROM t)"
+_SIGNATURE = (
+    rf"list_concat(regexp_extract_all(title, '\d+(?:[.\-]\d+)*'), list_filter(string_split(norm, ' '), lambda w: list_contains({list(text.MONTHS)}, w)))"
+)
+
+
+def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "documents").select("doc_id", F.left("text", F.lit(80)).alias("title"))
+
+
+# --- text and identity ---
+
+
+@query(f"SELECT doc_id, {_norm('text')} AS norm FROM documents")
+def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "documents").select("doc_id", text.normalize_text(F.col("text")).alias("norm"))
+
+
+@query(f"SELECT doc_id, left(sha256({_norm('left(text, 80)')} || chr(0) || {_norm('text')}), 32) AS content_hash FROM documents")
+def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "documents").select("doc_id", text.content_hash(F.left("text", F.lit(80)), F.col("text")).alias("content_hash"))
+
+
+@query(f"WITH {_TITLES} SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_grams, list_aggregate(list_sort(grams), 'string_agg', '|') AS grams FROM g")
+def title_trigram_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grams = text.trigrams(F.col("title"))
+    rows = _titles(spark, sf_dir).withColumn("grams", grams)
+    return rows.select("doc_id", F.size("grams").cast("bigint").alias("n_grams"), F.nullif(F.array_join(F.array_sort("grams"), "|"), F.lit("")).alias("grams"))
+
+
+@query(
+    f"WITH {_TITLES}, p AS (SELECT a.doc_id AS a, b.doc_id AS b, len(list_intersect(a.grams, b.grams)) AS c, len(a.grams) + len(b.grams) AS n FROM g a JOIN g b ON a.doc_id < b.doc_id "
+    "WHERE 2.0 * least(len(a.grams), len(b.grams)) >= 0.9 * (len(a.grams) + len(b.grams)) AND len(a.grams) > 0) "
+    "SELECT a, b, round(2.0 * c / n, 9) AS similarity FROM p WHERE 2.0 * c / n >= 0.9"
+)
+def title_similarity_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _titles(spark, sf_dir).select("doc_id", text.trigrams(F.col("title")).alias("grams"))
+    return simjoin.similar_pairs(rows, "doc_id", "grams", 0.9).withColumn("similarity", F.round("similarity", 9))
+
+
+@query(f"WITH {_TITLES} SELECT doc_id, array_to_string({_SIGNATURE}, '|') AS signature FROM t")
+def identity_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _titles(spark, sf_dir).select("doc_id", F.array_join(text.identity_signature(F.col("title")), "|").alias("signature"))
+
+
+@query(
+    f"WITH {_TITLES}, s AS (SELECT t.doc_id, array_to_string({_SIGNATURE}, '|') AS signature, grams FROM t JOIN g USING (doc_id)) "
+    "SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.doc_id < b.doc_id AND a.signature <> b.signature AND len(a.grams) > 0 "
+    "AND 2.0 * least(len(a.grams), len(b.grams)) >= 0.6 * (len(a.grams) + len(b.grams)) AND 2.0 * len(list_intersect(a.grams, b.grams)) / (len(a.grams) + len(b.grams)) >= 0.6"
+)
+def signature_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alike titles that name different numbers or months."""
+    rows = _titles(spark, sf_dir).select("doc_id", text.trigrams(F.col("title")).alias("grams"), text.identity_signature(F.col("title")).alias("s"))
+    pairs = simjoin.similar_pairs(rows, "doc_id", "grams", 0.6)
+    side = rows.select("doc_id", "s")
+    both = pairs.join(side.toDF("a", "sa"), "a").join(side.toDF("b", "sb"), "b")
+    return both.where("sa <> sb").select("a", "b")
+
+
+@query(
+    r"SELECT page_id, nullif(trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')), '') AS stripped, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages"
+)
+def strip_html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "pages").select("page_id", text.strip_html(F.col("html")).alias("stripped"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
+
+
+@query(
+    "WITH s AS (SELECT doc_id, replace(regexp_replace(text || ' </document> <DOCUMENT source=\"x\">', '<\\s*(/?)\\s*document', '[\\1document', 'gi'), chr(0), '') AS s FROM documents), "
+    "w AS (SELECT doc_id, '<document source=\"src\">' || chr(10) || CASE WHEN length(s) > 4000 THEN left(s, 4000) || ' [truncated]' ELSE s END || chr(10) || '</document>' AS w FROM s) "
+    "SELECT doc_id, CAST(length(w) AS BIGINT) AS chars, len(regexp_extract_all(w, '(?i)<\\s*document')) = 1 AND len(regexp_extract_all(w, '(?i)<\\s*/\\s*document')) = 1 AND instr(w, chr(0)) = 0 AS contained FROM w"
+)
+def injection_structural(spark: SparkSession, sf_dir: str) -> DataFrame:
+    payload = F.concat("text", F.lit(' </document> <DOCUMENT source="x">'))
+    rows = _t(spark, sf_dir, "documents").withColumn("w", text.wrap_document(payload, F.lit("src")))
+    return rows.select("doc_id", F.length("w").cast("bigint").alias("chars"), text.is_contained(F.col("w")).alias("contained"))
+
+
+@query(
+    "SELECT event_id, CASE WHEN json_valid(props) AND json_keys(props) = ['k'] AND CAST(json_extract_string(props, '$.k') AS BIGINT) BETWEEN 0 AND 50 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k, "
+    "NOT coalesce(json_valid(props) AND json_keys(props) = ['k'] AND CAST(json_extract_string(props, '$.k') AS BIGINT) BETWEEN 0 AND 50, FALSE) AS violation FROM events"
+)
+def json_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = validated(_t(spark, sf_dir, "events"), "props", "k bigint", ("k",), "parsed.k BETWEEN 0 AND 50")
+    return out.select("event_id", F.col("parsed.k").alias("k"), "violation")
+
+
+# --- urls ---
+
+_REST = r"regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.\-]*://', '//')"
+_TRACKED = f"(lower(split_part(p, '=', 1)) IN {urls.TRACKING_PARAMS} OR " + " OR ".join(f"starts_with(lower(split_part(p, '=', 1)), '{x}')" for x in urls.TRACKING_PREFIXES) + ")"
+_URLS = (
+    rf"u AS (SELECT page_id, regexp_extract({_REST}, '^//([^/?]*)', 1) AS host, regexp_extract({_REST}, '^//[^/?]*([^?]*)', 1) AS path, regexp_extract({_REST}, '^[^?]*\?(.*)$', 1) AS query FROM pages), "
+    r"c AS (SELECT page_id, CASE WHEN starts_with(lower(host), 'www.') AND length(host) - length(replace(host, '.', '')) > 1 THEN substring(lower(host), 5) ELSE lower(host) END AS host, "
+    r"CASE WHEN regexp_replace(regexp_replace(regexp_replace(path, '/{2,}', '/', 'g'), '(?i)/index\.(html?|php|aspx?)$', ''), '/+$', '') = '' THEN '/' "
+    r"ELSE regexp_replace(regexp_replace(regexp_replace(path, '/{2,}', '/', 'g'), '(?i)/index\.(html?|php|aspx?)$', ''), '/+$', '') END AS path, "
+    f"array_to_string(list_sort(list_filter(string_split(query, '&'), lambda p: p <> '' AND NOT {_TRACKED})), '&') AS query FROM u)"
+)
+
+
+@query(f"WITH {_URLS} SELECT page_id, 'https://' || host || path || CASE WHEN query = '' THEN '' ELSE '?' || query END AS canonical_url FROM c")
+def canonicalize_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "pages").select("page_id", urls.canonicalize(F.col("url")).alias("canonical_url"))
+
+
+@query(f"WITH {_URLS} SELECT page_id, left(sha256('https://' || host || path || CASE WHEN query = '' THEN '' ELSE '?' || query END), 16) AS article_id FROM c")
+def article_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "pages").select("page_id", text.article_id(urls.canonicalize(F.col("url"))).alias("article_id"))
+
+
+@query(f"WITH {_URLS} SELECT page_id, query AS kept FROM c")
+def strip_tracking_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = F.regexp_extract(F.regexp_replace("url", "#.*$", ""), r"^[^?]*\?(.*)$", 1)
+    return _t(spark, sf_dir, "pages").select("page_id", urls.canonical_query(given).alias("kept"))
+
+
+@query(f"WITH {_URLS} SELECT host, count(*) AS n FROM c GROUP BY host")
+def url_host_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    host = F.regexp_extract(urls.canonicalize(F.col("url")), "^https://([^/?]*)", 1)
+    return _t(spark, sf_dir, "pages").groupBy(host.alias("host")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(r"SELECT page_id, regexp_matches(url, '^https?://[^/?#@:]+(:(80|443))?([/?#]|$)') AS safe FROM pages")
+def url_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "pages").select("page_id", urls.is_safe_url(F.col("url")).alias("safe"))
+
+
+# --- deduplication ---
+
+
+@query(f"WITH h AS (SELECT doc_id, sha256({_norm('text')}) AS h FROM documents) SELECT h AS content, count(*) AS n, min(doc_id) AS first_id FROM h GROUP BY h HAVING count(*) > 1")
+def exact_dup_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "documents").select("doc_id", F.sha2(text.normalize_text(F.col("text")), 256).alias("content"))
+    return rows.groupBy("content").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id")).where("n > 1")
+
+
+@query(f"WITH h AS (SELECT doc_id, source, sha256({_norm('text')}) AS h FROM documents) SELECT doc_id, source FROM h QUALIFY row_number() OVER (PARTITION BY h ORDER BY doc_id) = 1")
+def dedup_first_per_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "documents").select("doc_id", "source", F.sha2(text.normalize_text(F.col("text")), 256).alias("h"))
+    return dedup.first_per_key(rows, ["h"], "doc_id").select("doc_id", "source")
+
+
+@query()
+def greedy_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.deduplicate(briefing.as_articles(_t(spark, sf_dir, "documents")))
+
+
+@query()
+def dedup_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.dedup_stats(greedy_dedup(spark, sf_dir))
+
+
+@query()
+def dedup_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return briefing.dedup_funnel(_t(spark, sf_dir, "documents"))
+
+
+@query(
+    f"WITH h AS (SELECT doc_id, source, sha256({_norm('text')}) AS h, doc_id < (SELECT max(doc_id) / 2 FROM documents) AS old FROM documents) "
+    "SELECT doc_id, source FROM h WHERE NOT old AND h NOT IN (SELECT h FROM h WHERE old)"
+)
+def known_history_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the second half of the documents adds to the first."""
+    docs = _t(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", "source", F.sha2(text.normalize_text(F.col("text")), 256).alias("h"))
+    half = docs.agg((F.max("doc_id") / 2).alias("half"))
+    marked = rows.join(F.broadcast(half))  # one row
+    return marked.where("doc_id >= half").join(marked.where("doc_id < half").select("h"), "h", "left_anti").select("doc_id", "source")
+
+
+@query(
+    f"WITH t AS (SELECT doc_id, {_norm('left(text, 80)')} AS norm FROM documents), b AS (SELECT item_id, {_norm('left(text, 80)')} AS norm FROM benchmark), "
+    f"tg AS (SELECT doc_id, {_grams('norm')} AS g FROM t), bg AS (SELECT item_id, {_grams('norm')} AS g FROM b) "
+    "SELECT doc_id, item_id FROM tg JOIN bg ON len(tg.g) > 0 AND len(bg.g) > 0 AND 2.0 * len(list_intersect(tg.g, bg.g)) / (len(tg.g) + len(bg.g)) >= 0.6"
+)
+def near_dup_benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _titles(spark, sf_dir).select(F.concat(F.lit("d"), "doc_id").alias("k"), text.trigrams(F.col("title")).alias("g"))
+    bench = _t(spark, sf_dir, "benchmark").select(F.concat(F.lit("b"), "item_id").alias("k"), text.trigrams(F.left("text", F.lit(80))).alias("g"))
+    pairs = simjoin.similar_pairs(docs.unionByName(bench), "k", "g", 0.6).where("a LIKE 'b%' AND b LIKE 'd%'")
+    number = lambda c: F.substr(F.col(c), F.lit(2)).cast("bigint")
+    return pairs.select(number("b").alias("doc_id"), number("a").alias("item_id"))
+
+
+# --- time and state ---
+
+_START = "TIMESTAMP '2024-01-15 00:00:00'"
+
+
+@query(f"SELECT event_type, count(*) FILTER (ts >= {_START}) AS fresh, count(*) FILTER (ts < {_START}) AS stale FROM events GROUP BY event_type")
+def recency_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "events").select("event_type", F.lit(None).cast("timestamp").alias("published_at"), F.col("ts").cast("timestamp").alias("fetched_at"))
+    fresh, stale = timeline.split_recent(rows, F.lit(datetime(2024, 1, 15)))
+    both = fresh.withColumn("f", F.lit(1)).unionByName(stale.withColumn("f", F.lit(0)))
+    return both.groupBy("event_type").agg(F.sum("f").cast("bigint").alias("fresh"), F.sum(1 - F.col("f")).cast("bigint").alias("stale"))
+
+
+@query(
+    "SELECT user_id, max(ts) AS last_ts, greatest(max(ts), TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 1 DAY) AS window_start, max(ts) < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 1 DAY AS clamped FROM events GROUP BY user_id"
+)
+def window_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The window each user's next run would have: from the last event, a day back at most."""
+    last = _t(spark, sf_dir, "events").groupBy("user_id").agg(F.max("ts").alias("last_ts"))
+    earliest = F.lit(datetime(2024, 1, 31)).cast(dict(last.dtypes)["last_ts"]) - F.expr(f"INTERVAL {timeline.CATCH_UP_DAYS} DAY")
+    return last.select("user_id", "last_ts", F.greatest("last_ts", earliest).alias("window_start"), (F.col("last_ts") < earliest).alias("clamped"))
+
+
+@query("SELECT event_id, ts, user_id, event_type, value, props FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
+def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timeline.latest_by(_t(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"])
+
+
+_SNAPSHOTS = (
+    "s AS (SELECT user_id, CAST(ts AS DATE) AS day, arg_max(event_type, (ts, event_id)) AS title, count(*) AS n_articles, list_sort(list(DISTINCT event_type)) AS source_ids, max(value) AS score FROM events GROUP BY ALL), "
+    "p AS (SELECT *, lag(n_articles) OVER w AS pn, lag(source_ids) OVER w AS ps, lag(title) OVER w AS pt, lag(score) OVER w AS psc FROM s WINDOW w AS (PARTITION BY user_id ORDER BY day)), "
+    "d AS (SELECT *, list_filter(source_ids, lambda x: NOT list_contains(coalesce(ps, []), x)) AS fresh FROM p), "
+    "e AS (SELECT user_id AS id, day, title, n_articles, len(source_ids) AS n_sources, score, CASE WHEN pn IS NULL THEN 0 ELSE greatest(0, n_articles - pn) END AS new_articles, "
+    "CASE WHEN pn IS NULL THEN [] ELSE fresh END AS new_sources, CASE WHEN pn IS NULL THEN 0.0 ELSE round(coalesce(score, 0) - coalesce(psc, 0), 3) END AS score_change, pn IS NULL AS is_first FROM d "
+    "WHERE pn IS NULL OR pn <> n_articles OR len(fresh) > 0 OR title <> pt OR coalesce(score, 0) <> coalesce(psc, 0))"
+)
+
+
+def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "events").groupBy(F.col("user_id").alias("id"), F.to_date("ts").alias("day")).agg(
+        F.max_by("event_type", F.struct("ts", "event_id")).alias("title"), F.count(F.lit(1)).alias("n_articles"), F.array_sort(F.collect_set("event_type")).alias("source_ids"), F.max("value").alias("score")
+    )
+    return rows.withColumn("seq", F.lit(0))
+
+
+@query(f"WITH {_SNAPSHOTS} SELECT id, CAST(day AS VARCHAR) AS day, title, n_articles, n_sources, score, new_articles, array_to_string(new_sources, '|') AS new_sources, score_change, is_first FROM e")
+def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = timeline.snapshot_diff(_snapshots(spark, sf_dir))
+    return out.withColumns({"day": F.col("day").cast("string"), "n_sources": F.col("n_sources").cast("bigint"), "new_sources": F.array_join("new_sources", "|")})
+
+
+@query(
+    f"WITH {_SNAPSHOTS} SELECT id, count(*) AS entries, CAST(max(day) - min(day) + 1 AS BIGINT) AS days_running, CAST(arg_max(n_sources, day) AS BIGINT) AS total_sources, CAST(max(day) AS VARCHAR) AS latest_day, arg_max(title, day) AS title FROM e GROUP BY id HAVING count(*) > 1"
+)
+def developing_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = timeline.developing(timeline.snapshot_diff(_snapshots(spark, sf_dir)))
+    return out.withColumns({"latest_day": F.col("latest_day").cast("string"), **{c: F.col(c).cast("bigint") for c in ("days_running", "total_sources")}})
+
+
+@query("SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, median(value) AS median_value, count(*) AS n FROM events GROUP BY 1")
+def median_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "events").groupBy(F.to_date("ts").cast("string").alias("day")).agg(F.median("value").alias("median_value"), F.count(F.lit(1)).alias("n"))
+
+
+# --- entities and categories ---
+
+_HEADLINES = (
+    "OpenAI releases GPT-5 preview",
+    "Google DeepMind and Meta publish Gemini 3.5 benchmark scores",
+    "Startup raises Series B funding round for PyTorch cluster",
+    "NVIDIA ships CUDA update for GPU serving",
+    "EU regulation act: what CVE rules mean",
+    "Claude 4.1 now available in Copilot",
+    "Qwen 2.5 open weights under MIT license",
+    "Microsoft acquires robotics lab WTO NATO",
+    "A paper: we propose alignment for agents",
+    "Gemini 4 and Stable Diffusion 3 launch",
+)
+
+
+def _headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = F.array(*map(F.lit, _HEADLINES))
+    rows = _t(spark, sf_dir, "part")
+    return rows.select("p_partkey", F.concat(F.element_at(table, (F.col("p_partkey") % len(_HEADLINES) + 1).cast("int")), F.lit(" "), "p_name").alias("title"), "p_brand")
+
+
+_HEADLINE_SQL = f"h AS (SELECT p_partkey, {list(_HEADLINES)}[CAST(p_partkey % {len(_HEADLINES)} + 1 AS INT)] || ' ' || p_name AS title, p_brand FROM part)"
+
+
+def _entity_sql() -> str:
+    names = [(n, f"org:{k}") for n, k in entities.ORGANISATIONS.items()] + [(n, f"product:{n}") for n in entities.PRODUCTS] + [(n, f"model:{n}") for n in entities.MODEL_FAMILIES]
+    table = ", ".join(f"('{n}', '{k}')" for n, k in names)
+    joined = "|".join(sorted(entities.MODEL_FAMILIES, key=len, reverse=True))
+    word = r"(^|[^a-z0-9_])"
+    return (
+        f"{_HEADLINE_SQL}, lex(name, key) AS (VALUES {table}), "
+        f"named AS (SELECT p_partkey, key AS entity FROM h JOIN lex ON regexp_matches(lower(title), '{word}' || name || '([^a-z0-9_]|$)')), "
+        rf"hits AS (SELECT p_partkey, lower(unnest(regexp_extract_all(title, '(?i)\b(?:{joined})[\s\-]?\d+(?:\.\d+)*\b'))) AS hit FROM h), "
+        rf"models AS (SELECT p_partkey, 'model:' || regexp_extract(hit, '^({joined})', 1) AS fam, regexp_extract(hit, '(\d+(?:\.\d+)*)$', 1) AS ver FROM hits), "
+        rf"terms AS (SELECT p_partkey, unnest(regexp_extract_all(title, '\b[A-Z]{{2,6}}\b')) AS term FROM h), "
+        "e AS (SELECT * FROM named UNION SELECT p_partkey, fam FROM models UNION SELECT p_partkey, fam || '-' || ver FROM models "
+        f"UNION SELECT p_partkey, 'term:' || lower(term) FROM terms WHERE term NOT IN {entities.STOP_ACRONYMS})"
+    )
+
+
+@query(f"WITH {_entity_sql()} SELECT p_partkey, string_agg(entity, '|' ORDER BY entity) AS entities FROM e GROUP BY p_partkey")
+def entity_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _headlines(spark, sf_dir).select("p_partkey", entities.extract_entities(F.col("title")).alias("e"))
+    return rows.where(F.size("e") > 0).select("p_partkey", F.array_join("e", "|").alias("entities"))
+
+
+_WEIGHT_SQL = "CASE WHEN entity LIKE 'model:%-%' AND entity <> 'model:dall-e' THEN 1.0 WHEN entity LIKE 'product:%' THEN 0.7 WHEN entity LIKE 'model:%' THEN 0.6 WHEN entity LIKE 'term:%' THEN 0.6 WHEN entity LIKE 'org:%' THEN 0.25 ELSE 0.4 END"
+
+
+@query(
+    f"WITH {_entity_sql()}, w AS (SELECT p_partkey, entity, {_WEIGHT_SQL} AS w FROM e), n AS (SELECT p_partkey, sum(w) AS total FROM w GROUP BY 1), "
+    "s AS (SELECT a.p_partkey AS a, b.p_partkey AS b, sum(a.w) AS shared, max(a.w) AS strongest FROM w a JOIN w b ON a.entity = b.entity AND a.p_partkey < b.p_partkey WHERE a.p_partkey <= 60 AND b.p_partkey <= 60 GROUP BY 1, 2) "
+    "SELECT a, b, round(shared / (x.total + y.total - shared), 6) AS overlap, strongest FROM s JOIN n x ON x.p_partkey = a JOIN n y ON y.p_partkey = b"
+)
+def weighted_overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlap of the entities of a shortlist's parts: those of the first 60 keys."""
+    rows = _headlines(spark, sf_dir).where("p_partkey <= 60").select("p_partkey", entities.extract_entities(F.col("title")).alias("e"))
+    each = rows.select("p_partkey", F.explode("e").alias("entity"))
+    pairs = each.toDF("a", "entity").join(each.toDF("b", "entity"), "entity").where("a < b").select("a", "b").distinct()
+    both = pairs.join(rows.toDF("a", "ea"), "a").join(rows.toDF("b", "eb"), "b")
+    a, b = F.col("ea"), F.col("eb")
+    return both.select("a", "b", F.round(entities.weighted_overlap(a, b), 6).alias("overlap"), entities.strongest_shared(a, b).alias("strongest"))
+
+
+def _rules_sql(x: str) -> str:
+    cases = " ".join("WHEN " + " OR ".join(f"instr({x}, ' {w} ') > 0" for w in words) + f" THEN '{name}'" for name, words in RULES)
+    return f"CASE {cases} ELSE 'other' END"
+
+
+@query(f"WITH {_HEADLINE_SQL}, n AS (SELECT p_partkey, ' ' || {_norm('title')} || ' ' AS x FROM h) SELECT p_partkey, {_rules_sql('x')} AS category FROM n")
+def classify_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _headlines(spark, sf_dir).select("p_partkey", categories.classify(F.col("title"), F.lit("")).alias("category"))
+
+
+# --- scoring and ranking ---
+
+
+@query(
+    "WITH s AS (SELECT l_orderkey AS id, list(DISTINCT l_suppkey) AS source_ids FROM lineitem GROUP BY 1), "
+    "c AS (SELECT id, len(source_ids) AS n, list_max([coalesce(CASE WHEN s % 3 = 0 THEN round((s % 10) / 10.0, 1) END, 0.5) FOR s IN source_ids]) AS best FROM s) "
+    "SELECT id, round(least(10.0, greatest(0.0, best * 7.0 + least(n - 1, 3))), 3) AS credibility FROM c"
+)
+def credibility_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as events and suppliers as sources; a third of the suppliers are in the registry."""
+    rows = _t(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.collect_set("l_suppkey").alias("source_ids"))
+    known = lambda s: F.when(s % 3 == 0, F.round((s % 10) / 10.0, 1))
+    best = F.array_max(F.transform("source_ids", lambda s: F.coalesce(known(s), F.lit(0.5))))
+    return rows.select("id", ranking.credibility(F.col("source_ids"), best).alias("credibility"))
+
+
+@query(
+    "WITH e AS (SELECT o_orderkey AS id, o_orderdate AS first_seen, o_orderkey % 4 AS k, least(o_orderkey % 4, o_orderkey % 3) AS u FROM orders) "
+    "SELECT id, round(least(10.0, greatest(0.0, CASE WHEN CAST(first_seen AS DATE) >= DATE '1996-01-01' THEN 6.0 ELSE 3.0 END + CASE WHEN k > 0 THEN 4.0 * u / k ELSE 1.0 END)), 3) AS novelty FROM e"
+)
+def novelty_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, u = F.col("o_orderkey") % 4, F.least(F.col("o_orderkey") % 4, F.col("o_orderkey") % 3)
+    return _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), ranking.novelty(F.col("o_orderdate"), F.lit("1996-01-01").cast("date"), k, u).alias("novelty"))
+
+
+_PROFILE = Profile(interests=("pytorch", "gpu", "open weights"), low_interest=("funding", "series b"), category_weights={"model_release": 0.9, "funding": 0.2})
+
+
+@query(
+    f"WITH {_HEADLINE_SQL}, n AS (SELECT p_partkey, ' ' || regexp_replace(lower(title), '[^\\p{{L}}\\p{{N}}_]', ' ', 'g') || ' ' AS t, ' ' || {_norm('title')} || ' ' AS x FROM h), "
+    f"c AS (SELECT p_partkey, {_rules_sql('x')} AS category, CAST(instr(t, ' pytorch ') > 0 AS INT) + CAST(instr(t, ' gpu ') > 0 AS INT) + CAST(instr(t, ' open weights ') > 0 AS INT) AS i, "
+    "CAST(instr(t, ' funding ') > 0 AS INT) + CAST(instr(t, ' series b ') > 0 AS INT) AS l FROM n) "
+    "SELECT p_partkey, round(least(10.0, greatest(0.0, 6.0 * CASE category WHEN 'model_release' THEN 0.9 WHEN 'funding' THEN 0.2 ELSE 0.5 END + 2.0 * least(i, 2) - 2.0 * least(l, 2))), 3) AS relevance FROM c"
+)
+def relevance_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    category = categories.classify(F.col("title"), F.lit(""))
+    none = F.array().cast("array<string>")
+    return _headlines(spark, sf_dir).select("p_partkey", ranking.relevance(F.col("title"), none, category, _PROFILE).alias("relevance"))
+
+
+@query("SELECT o_orderkey AS id, round((a * 0.15 + b * 0.15 + c * 0.15) / (0.15 + 0.15 + 0.15), 3) AS score, CASE WHEN t IS NULL THEN round((a * 0.15 + b * 0.15 + c * 0.15) / (0.15 + 0.15 + 0.15), 3) ELSE round(a * 0.15 + b * 0.15 + c * 0.15 + t * 0.2 + 5.0 * 0.15 + 7.0 * 0.2, 3) END AS full_score FROM (SELECT o_orderkey, CAST(o_orderkey % 11 AS DOUBLE) AS a, CAST(o_orderkey % 7 AS DOUBLE) AS b, CAST(o_orderkey % 5 AS DOUBLE) AS c, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_orderkey % 10 AS DOUBLE) END AS t FROM orders)")
+def deterministic_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    a, b, c = ((k % m).cast("double") for m in (11, 7, 5))
+    technical = F.when(k % 3 != 0, (k % 10).cast("double"))
+    full = ranking.full_score(a, b, c, technical, F.lit(5.0), F.lit(7.0))
+    return _t(spark, sf_dir, "orders").select(k.alias("id"), ranking.deterministic(a, b, c).alias("score"), full.alias("full_score"))
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "orders")
+    return rows.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("category"), F.round("o_totalprice", 0).alias("score"), (F.col("o_orderkey") % 50 == 0).cast("int").alias("extra"), F.col("o_orderdate").alias("last_updated")).withColumn(
+        "source_count", F.lit(1) + F.col("extra")
+    )
+
+
+_SCORED = "s AS (SELECT o_orderkey AS id, o_orderpriority AS category, round(o_totalprice, 0) AS score, CAST(o_orderkey % 50 = 0 AS INT) + 1 AS source_count, o_orderdate AS last_updated FROM orders)"
+_ORDER = "score DESC, source_count DESC, last_updated DESC, id"
+
+
+@query(f"WITH {_SCORED} SELECT CAST(row_number() OVER (ORDER BY {_ORDER}) AS BIGINT) AS rank, id, score FROM s ORDER BY rank LIMIT 100")
+def rank_total_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report: the first hundred."""
+    from pyspark.sql import Window as W
+
+    top = _scored(spark, sf_dir).orderBy(*ranking.total_order()).limit(100)
+    return top.select(F.row_number().over(W.orderBy(*ranking.total_order())).cast("bigint").alias("rank"), "id", "score")
+
+
+@query(
+    f"WITH {_SCORED}, r AS (SELECT *, row_number() OVER (ORDER BY {_ORDER}) AS g, row_number() OVER (PARTITION BY category ORDER BY {_ORDER}) AS c FROM s), "
+    "k AS (SELECT * FROM r ORDER BY NOT (source_count > 1 OR c <= 4), g LIMIT 20) SELECT row_number() OVER (ORDER BY g) AS rank, id, category, score FROM k"
+)
+def capped_topk_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.shortlist(_scored(spark, sf_dir)).select(F.col("rank").cast("bigint").alias("rank"), "id", "category", "score")
+
+
+@query(f"WITH {_entity_sql()}, t AS (SELECT p_partkey, title, {_norm('title')} AS norm FROM h WHERE p_partkey <= 40), g AS (SELECT p_partkey, norm, {_grams('norm')} AS g, {_SIGNATURE} AS sig, {_rules_sql(chr(39) + ' ' + chr(39) + ' || norm || ' + chr(39) + ' ' + chr(39))} AS category FROM t), "
+    f"w AS (SELECT p_partkey, entity, {_WEIGHT_SQL} AS w FROM e WHERE p_partkey <= 40), n AS (SELECT p_partkey, sum(w) AS total FROM w GROUP BY 1), "
+    "p AS (SELECT a.p_partkey AS a, b.p_partkey AS b, 2.0 * len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g)) AS wording FROM g a JOIN g b ON a.p_partkey < b.p_partkey AND a.category = b.category AND a.sig = b.sig), "
+    "s AS (SELECT p.*, coalesce((SELECT sum(x.w) FROM w x JOIN w y ON x.entity = y.entity WHERE x.p_partkey = p.a AND y.p_partkey = p.b), 0) AS shared, "
+    "coalesce((SELECT max(x.w) FROM w x JOIN w y ON x.entity = y.entity WHERE x.p_partkey = p.a AND y.p_partkey = p.b), 0) AS strongest, "
+    "(SELECT count(*) FROM w x JOIN w y ON x.entity = y.entity WHERE x.p_partkey = p.a AND y.p_partkey = p.b) AS k FROM p), "
+    "b AS (SELECT s.a, s.b, 0.5 * CASE WHEN x.total IS NULL OR y.total IS NULL THEN 0 ELSE shared / (x.total + y.total - shared) END + 0.5 * wording AS blend FROM s LEFT JOIN n x ON x.p_partkey = a LEFT JOIN n y ON y.p_partkey = b WHERE strongest >= 1 OR k >= 2 OR wording >= 0.35) "
+    "SELECT a AS left_id, b AS right_id, round(blend, 3) AS similarity FROM b WHERE blend >= 0.12 ORDER BY round(blend, 3) DESC, a, b LIMIT 5")
+def candidate_pairs_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report: the five most alike pairs of a shortlist of forty."""
+    rows = _headlines(spark, sf_dir).where("p_partkey <= 40")
+    events = rows.select(F.col("p_partkey").alias("rank"), F.col("p_partkey").alias("id"), F.col("title").alias("canonical_title"), categories.classify(F.col("title"), F.lit("")).alias("category"), entities.extract_entities(F.col("title")).alias("entities"))
+    return ranking.candidate_pairs(events)
+
+
+# --- events ---
+
+
+def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _headlines(spark, sf_dir)
+    when = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("p_partkey") * 60)
+    return rows.select(F.col("p_partkey").alias("ord"), F.sha2(F.col("p_partkey").cast("string"), 256).substr(1, 16).alias("id"), "title", F.lit(None).cast("string").alias("summary"), F.col("p_brand").alias("source_id"), F.lit(None).cast("timestamp").alias("published_at"), when.alias("fetched_at"))
+
+
+@query()
+def leader_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster.cluster_articles(_articles(spark, sf_dir))
+
+
+@query()
+def cluster_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster.cluster_stats(leader_clusters(spark, sf_dir))
+
+
+@query(
+    "WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS p FROM lineitem WHERE l_orderkey <= 400 AND l_quantity > 25), "
+    "g AS (SELECT DISTINCT a.o AS a, b.o AS b FROM e a JOIN e b ON a.p = b.p AND a.o <> b.o), r(node, c) AS (SELECT DISTINCT a, a FROM g UNION SELECT g.b, r.c FROM r JOIN g ON g.a = r.node) "
+    "SELECT node, min(c) AS component FROM r GROUP BY node"
+)
+def connected_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of a key range that are linked by common parts."""
+    e = _t(spark, sf_dir, "lineitem").where("l_orderkey <= 400 AND l_quantity > 25").select(F.col("l_orderkey").alias("o"), F.col("l_partkey").alias("p")).distinct()
+    first = e.groupBy("p").agg(F.min("o").alias("a"))
+    return components(e.join(first, "p").select("a", F.col("o").alias("b")).where("a <> b"))
+
+
+@query(
+    "WITH t AS (SELECT conv_id, list_sort(list(DISTINCT role)) AS roles, min(turn) AS lo, max(turn) AS hi FROM conversations GROUP BY conv_id) "
+    "SELECT a.conv_id AS id, array_to_string(list_concat(a.roles, list_filter(b.roles, lambda x: NOT list_contains(a.roles, x))), '|') AS roles, least(a.lo, b.lo) AS lo, greatest(a.hi, b.hi) AS hi FROM t a JOIN t b ON b.conv_id = a.conv_id + 1"
+)
+def merge_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_set("role")).alias("entities"), F.min("turn").alias("first_seen"), F.max("turn").alias("last_updated"))
+    ev = t.select(F.col("conv_id").alias("id"), F.lit("").alias("canonical_title"), F.lit("").alias("category"), "entities", F.col("entities").alias("article_ids"), F.col("entities").alias("source_ids"), "first_seen", "last_updated")
+    out = cluster.merge_events(ev, ev, ev.select(F.col("id").alias("keep_id"), (F.col("id") + 1).alias("drop_id")))
+    return out.select("id", F.array_join("entities", "|").alias("roles"), F.col("first_seen").alias("lo"), F.col("last_updated").alias("hi"))
+
+
+# --- claims, lookups, assembly ---
+
+
+@query(
+    "WITH c AS (SELECT l_orderkey AS event_id, l_linenumber AS position, l_suppkey % 4 AS s, l_partkey % 3 AS k FROM lineitem) "
+    "SELECT event_id, position, CASE WHEN k > 0 AND s < 2 THEN 'contradicted' WHEN k > 0 THEN 'partially_verified' WHEN s >= 2 THEN 'verified' ELSE 'unverified' END AS status, "
+    "row_number() OVER (PARTITION BY event_id ORDER BY CASE WHEN k > 0 AND s < 2 THEN 1 WHEN k > 0 THEN 3 WHEN s >= 2 THEN 2 ELSE 4 END, s DESC, position) AS rank FROM c"
+)
+def claim_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as claims; the keys decide how many sources support and contradict each."""
+    sources = F.array(*map(F.lit, ("a", "b", "c")))
+    rows = _t(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("event_id"), F.col("l_linenumber").alias("position"), F.lit("").alias("text"), F.slice(F.array(*map(F.lit, (" A", "b", "C ", "x"))), F.lit(1), (F.col("l_suppkey") % 4).cast("int")).alias("supported_by"),
+        F.slice(F.array(*map(F.lit, ("a", "B"))), F.lit(1), (F.col("l_partkey") % 3).cast("int")).alias("contradicted_by"), sources.alias("source_ids"),
+    )
+    return claims.label_claims(rows).select("event_id", "position", "status", F.col("rank").cast("bigint").alias("rank"))
+
+
+@query(
+    "WITH a AS (SELECT l_orderkey AS k, list(l_partkey ORDER BY l_linenumber, l_partkey) AS ids FROM lineitem GROUP BY 1), x AS (SELECT k, unnest(ids[1:3]) AS p, generate_subscripts(ids[1:3], 1) - 1 AS position FROM a) "
+    "SELECT k, position, p AS p_partkey, p_brand FROM x JOIN part ON p_partkey = p"
+)
+def array_position_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order's first three lines' parts, in order."""
+    ids = F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda s: s["l_partkey"])
+    rows = _t(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(ids.alias("ids"))
+    out = claims.by_position(rows, "k", "ids", _t(spark, sf_dir, "part").select("p_partkey", "p_brand"), "p_partkey", 3)
+    return out.select("k", F.col("position").cast("bigint").alias("position"), "p_partkey", "p_brand")
+
+
+@query(
+    "WITH f AS (SELECT l_orderkey AS k, l_returnflag AS source_id, l_linenumber * 1000000 + l_partkey AS position FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber, l_partkey) = 1) "
+    "SELECT k, source_id, position FROM f QUALIFY row_number() OVER (PARTITION BY k ORDER BY position) <= 2"
+)
+def first_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_returnflag").alias("source_id"), (F.col("l_linenumber").cast("bigint") * 1_000_000 + F.col("l_partkey")).alias("position"))
+    return claims.first_per_source(rows, "k", most=2)
+
+
+@query("SELECT s_suppkey, coalesce(CASE WHEN n_name LIKE '%A%' THEN round(n_nationkey / 25.0, 2) END, 0.5) AS credibility FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey")
+def registry_lookup_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = _t(spark, sf_dir, "nation").where("n_name LIKE '%A%'").select(F.col("n_nationkey").alias("s_nationkey"), F.round(F.col("n_nationkey") / 25.0, 2).alias("c"))
+    return _t(spark, sf_dir, "supplier").join(known, "s_nationkey", "left").select("s_suppkey", F.coalesce("c", F.lit(0.5)).alias("credibility"))
+
+
+@query(
+    "WITH c AS (SELECT conv_id, turn, length(text) AS n FROM conversations), u AS (SELECT *, coalesce(sum(n + 2) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS r FROM c), "
+    "o AS (SELECT *, max(CAST(used + n > 1500 AND r > 1 AS INT)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stop FROM u) SELECT conv_id, turn FROM o WHERE stop = 0"
+)
+def length_budget_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "conversations").select("conv_id", "turn", F.length("text").alias("n"))
+    return claims.budget_prefix(rows, "conv_id", "turn", F.col("n"), 1500).select("conv_id", "turn")
+
+
+@query("WITH v(event_type) AS (VALUES ('click'), ('error'), ('purchase'), ('refund'), ('signup'), ('view')) SELECT v.event_type, count(e.event_id) AS n FROM v LEFT JOIN events e USING (event_type) GROUP BY 1")
+def category_counts_zero_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return claims.counts_zero_filled(_t(spark, sf_dir, "events"), "event_type", ("click", "error", "purchase", "refund", "signup", "view"))
+
+
+@query(
+    "SELECT c_custkey, 'active' AS kind FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders) UNION ALL SELECT c_custkey, 'idle' FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL) AND c_acctbal > 0"
+)
+def semi_anti_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c, o = _t(spark, sf_dir, "customer"), _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    active = c.join(o, "c_custkey", "left_semi").select("c_custkey", F.lit("active").alias("kind"))
+    return active.unionByName(c.where("c_acctbal > 0").join(o, "c_custkey", "left_anti").select("c_custkey", F.lit("idle").alias("kind")))
+
+
+# --- health and evaluation ---
+
+
+def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _t(spark, sf_dir, "events")
+    ok = F.col("event_type") != "error"
+    feed = F.struct(F.col("event_type").alias("source_id"), ok.alias("ok"), F.lit(1).alias("articles"))
+    rows = e.groupBy(F.to_date("ts").alias("day")).agg(
+        F.min("ts").alias("started_at"), F.count(F.lit(1)).cast("int").alias("articles_fetched"), F.count_if(~ok).cast("int").alias("model_failures"), F.sum("value").alias("v"), F.transform(F.sort_array(F.collect_list(F.struct("ts", "event_id", feed.alias("f")))), lambda x: x["f"]).alias("feeds")
+    )
+    return rows.select(
+        "day", "started_at", (F.col("articles_fetched") % 5 != 0).alias("ok"), (F.col("articles_fetched") % 2 == 0).alias("delivered"), F.round("v", 2).alias("duration_seconds"), "articles_fetched", (F.col("articles_fetched") % 7).alias("stories_published"),
+        F.lit(25).alias("model_calls"), "model_failures", F.lit(0).alias("schema_violations"), F.lit("x").alias("provider"), F.lit(None).cast("string").alias("error"), F.lit(None).cast("string").alias("delivery_error"), "feeds",
+    )
+
+
+_RUNS = "r AS (SELECT CAST(ts AS DATE) AS day, min(ts) AS started_at, count(*) AS a, count(*) FILTER (event_type = 'error') AS mf, round(sum(value), 2) AS d FROM events GROUP BY 1)"
+
+
+@query(
+    f"WITH {_RUNS} SELECT count(*) AS runs, count(*) FILTER (a % 5 <> 0) AS successes, count(*) FILTER (a % 2 = 0) AS deliveries, round(count(*) FILTER (a % 5 <> 0) / count(*), 4) AS success_rate, round(count(*) FILTER (a % 2 = 0) / count(*), 4) AS delivery_rate, "
+    "count(*) FILTER (a % 5 <> 0) / count(*) >= 0.95 AS is_healthy, min(started_at) AS first_run, max(started_at) AS last_run, round(median(d), 2) AS median_seconds, CAST(trunc(median(a)) AS BIGINT) AS median_articles, CAST(trunc(median(a % 7)) AS BIGINT) AS median_stories, "
+    "CAST(25 * count(*) AS BIGINT) AS model_calls, CAST(sum(mf) AS BIGINT) AS model_failures, CAST(0 AS BIGINT) AS schema_violations FROM r"
+)
+def run_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = health.run_health(_runs(spark, sf_dir))
+    return out.withColumns({"median_seconds": F.round("median_seconds", 2), **{c: F.col(c).cast("bigint") for c in ("median_articles", "median_stories")}})
+
+
+@query("SELECT event_type AS source_id, count(*) AS failures FROM events WHERE event_type = 'error' GROUP BY 1")
+def failing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return health.failing_feeds(_runs(spark, sf_dir))
+
+
+@query(
+    f"WITH {_RUNS} SELECT CAST(day AS VARCHAR) AS day, array_to_string(list_filter([CASE WHEN a % 5 = 0 THEN 'run_failed' END, CASE WHEN mf > 0 THEN 'model_failures' END, CASE WHEN mf >= greatest(1, round_even(a * 0.25, 0)) THEN 'feeds_failing' END, "
+    "CASE WHEN a % 5 <> 0 AND a % 7 < 3 THEN 'few_stories' END, CASE WHEN a % 5 <> 0 AND a % 2 <> 0 THEN 'not_delivered' END], lambda x: x IS NOT NULL), '|') AS codes FROM r"
+)
+def degraded_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return health.concerns(_runs(spark, sf_dir)).select(F.col("day").cast("string").alias("day"), F.array_join(F.transform("concerns", lambda c: c["code"]), "|").alias("codes"))
+
+
+@query(
+    "WITH s AS (SELECT doc_id % 30 AS day, doc_id % 400 AS event_id, doc_id % 9 AS k, trim(left(text, 50)) AS w FROM documents), r AS (SELECT day, count(*) - count(DISTINCT event_id) AS r FROM s GROUP BY day) "
+    "SELECT count(*) AS stories, count(*) FILTER (k > 0) AS cited, count(*) FILTER (w = '') AS without_summary, count(*) AS claims, count(*) FILTER (k > 0) AS valid_claims, (SELECT CAST(sum(r) AS BIGINT) FROM r) AS repeated_events, "
+    "round(count(*) FILTER (k > 0) / count(*), 4) AS citation_rate, round(count(*) FILTER (k > 0) / count(*), 4) AS attribution_validity FROM s"
+)
+def structural_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as stories; every ninth has no source, so its claim's attribution isn't valid."""
+    source = F.struct(F.lit("S").alias("source_id"))
+    none = F.array().cast("array<struct<source_id:string>>")
+    claim = F.struct(F.array(F.lit("s")).alias("supported_by"))
+    rows = _t(spark, sf_dir, "documents").select((F.col("doc_id") % 30).alias("day"), (F.col("doc_id") % 400).alias("event_id"), F.left("text", F.lit(50)).alias("what_happened"), F.when(F.col("doc_id") % 9 > 0, F.array(source)).otherwise(none).alias("sources"), F.array(claim).alias("claims"))
+    return health.structural_quality(rows)
+
+
+@query(
+    "WITH j AS (SELECT d.doc_id, d.lang, CASE WHEN l.toxic = 1 THEN 'noise' WHEN l.quality = 1 THEN 'important' ELSE 'marginal' END AS i, CASE WHEN l.doc_id % 2 = 0 THEN 'en' END AS expected FROM documents d JOIN labels l USING (doc_id)) "
+    "SELECT count(*) AS matched, count(*) FILTER (i = 'important') AS important, count(*) FILTER (i = 'noise') AS noise, round(count(*) FILTER (i = 'important') / nullif(count(*) FILTER (i <> 'marginal'), 0), 4) AS precision, "
+    "round(count(*) FILTER (expected = lang) / nullif(count(expected), 0), 4) AS category_accuracy FROM j"
+)
+def judgement_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    published = _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("event_id"), F.lit(0).alias("day"), F.col("lang").alias("category"))
+    labels = _t(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("event_id"), F.when(F.col("toxic") == 1, " Noise").when(F.col("quality") == 1, "important").otherwise("marginal").alias("importance"), F.when(F.col("doc_id") % 2 == 0, "en").alias("category")
+    )
+    return health.judgement(published, labels)
+
+
+@query("SELECT lang AS category, count(*) AS attacks, CAST(0 AS BIGINT) AS escapes FROM documents GROUP BY 1")
+def injection_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "documents").select(F.col("lang").alias("category"), text.wrap_document(F.concat(F.lit("</document>"), "text"), F.col("source")).alias("wrapped"))
+    return health.injection_report(rows)
+
+
+# --- windows over event time (the batch run of the streaming operators) ---
+
+
+@query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(avg(value), 6) AS mean_value FROM events GROUP BY 1, 2")
+def tumbling_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streams.tumbling_counts(_t(spark, sf_dir, "events")).withColumn("mean_value", F.round("mean_value", 6))
+
+
+@query(
+    "WITH s AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts >= lag(ts) OVER w + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS b FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), "
+    "g AS (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM s) SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS \"end\", count(*) AS n FROM g GROUP BY user_id, k"
+)
+def session_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streams.sessions(_t(spark, sf_dir, "events"))
