@@ -3,29 +3,17 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side is broadcast only if it was counted and has at most so many rows of a few dozen bytes each.
-BROADCAST_ROWS = 200_000
+from ..operators.lineage import checked, components, shared_dir
 
+__all__ = ["checked", "components", "held_out", "shared_dir", "small", "stored"]
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, spark.checkpoint.dir; a temporary one where it is unset and Spark runs locally."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if found:
-        if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-            spark.sparkContext.setCheckpointDir(found)
-        return found
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    own = tempfile.mkdtemp(prefix="shared-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    spark.sparkContext.setCheckpointDir(own)
-    return own
+#: A side is broadcast only if it was counted and has at most so many rows of a few dozen bytes each.
+BROADCAST_ROWS = 200_000
 
 
 def _forget(spark: SparkSession, path: str) -> None:
@@ -45,12 +33,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checked(df: DataFrame) -> DataFrame:
-    """A small table's reliable checkpoint, in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if counting shows at most ``rows`` rows; else as it is, for a shuffled join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
@@ -59,28 +41,3 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def held_out(doc_id: Column) -> Column:
     """Rows that no model learns labels from: crc32 of the id's decimal text leaves 2 modulo 4."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
-
-
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component): the smallest node of each connected component, for every node that has an edge.
-
-    Each round takes the smallest label among the neighbours and then the label's own label (pointer jumping), so
-    the rounds grow with the logarithm of the longest shortest path.  Labels and edges stay distributed; every
-    round is checkpointed.
-    """
-    one = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x IS NOT NULL AND y IS NOT NULL AND x <> y")
-    both = stored(one.unionByName(one.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "edges")
-    labels = checked(both.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("node"), F.least("x", "m").alias("label")))
-    while True:
-        near = (
-            both.join(labels.withColumnsRenamed({"node": "y", "label": "other"}), "y")
-            .groupBy("x")
-            .agg(F.min("other").alias("other"))
-            .withColumnRenamed("x", "node")
-        )
-        met = labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "other").alias("label"))
-        jump = met.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        after = checked(met.join(jump, "label", "left").select("node", "was", F.coalesce(F.least("label", "next"), "label").alias("label")))
-        labels = after.select("node", "label")
-        if after.where("label <> was").isEmpty():
-            return labels.select("node", F.col("label").alias("component"))

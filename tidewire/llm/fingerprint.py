@@ -1,8 +1,8 @@
 """Document fingerprints by content-defined chunking.
 
-A gear hash of the last 16 bytes is taken at every byte; a chunk ends where it meets a mask.  Chunking is normalised:
+A gear hash of the last 8 bytes is taken at every byte; a chunk ends where it meets a mask.  Chunking is normalised:
 up to the usual length the mask is strict, from there on it is loose, and a chunk never exceeds the longest length, so
-lengths gather around the usual one.  A boundary depends on the 16 bytes before it only, so an insertion or deletion
+lengths gather around the usual one.  A boundary depends on the 8 bytes before it only, so an insertion or deletion
 moves chunks but changes few of them.  The fingerprint is the set of chunk digests with the chunks' lengths.
 """
 
@@ -21,17 +21,17 @@ from pyspark.sql import functions as F
 from . import textops as T
 from .common import small
 
-LEAST, USUAL, MOST = 16, 48, 256
-_WINDOW = 16
-_STRICT, _LOOSE = np.uint32(0x3F0000), np.uint32(0x0F0000)  # one place in 64 and in 16
+#: Lengths of chunks in bytes; the least is the hash's window, so no boundary depends on the chunk before.
+LEAST, USUAL, MOST = 8, 24, 128
+_STRICT, _LOOSE = np.uint32(0x1F0000), np.uint32(0x070000)  # one place in 32 and in 8
 _GEAR = (T.seeds(256, 53) >> np.uint64(32)).astype(np.uint32)
 _VALUES = T.seeds(256, 59)
 
 
 def _gear(data: np.ndarray) -> np.ndarray:
-    """The sum of gear[b[i - j]] << j over j < 16, for every i, by doubling the window four times."""
+    """The sum of gear[b[i - j]] << j over j < LEAST, for every i, by doubling the window."""
     h = _GEAR[data]
-    for k in (1, 2, 4, 8):
+    for k in (1, 2, 4):
         shifted = np.zeros_like(h)
         shifted[k:] = h[:-k] << np.uint32(k)
         h = h + shifted

@@ -82,10 +82,8 @@ class Classifier:
         return np.clip(self._design(x) @ self.weights, -12, 12)
 
 
-def train(texts: Sequence[str], good: Sequence[int]) -> Classifier:
-    """Fits with both classes at equal weight, so the linear score is the evidence without a prior."""
-    raw = [t.encode() for t in texts]
-    x = features(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw]))).astype(np.int64)) if raw else np.zeros((0, FEATURES))
+def train(x: np.ndarray, good: Sequence[int]) -> Classifier:
+    """Fits features with both classes at equal weight, so the linear score is the evidence without a prior."""
     y = np.array(good, dtype=float)
     if not 0 < y.sum() < len(y):
         return Classifier(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(2 * FEATURES + 1))
@@ -103,8 +101,24 @@ def train(texts: Sequence[str], good: Sequence[int]) -> Classifier:
     return Classifier(model.centre, model.scale, w)
 
 
+def _described(rows: DataFrame) -> DataFrame:
+    """(good, x): the features of (good, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = T.utf8(batch.column(1))
+            x = np.concatenate([*(features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in T.row_slices(offsets)), np.zeros((0, FEATURES))])
+            lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * FEATURES, x.ravel())
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["good", "x"])
+
+    return rows.select("good", "text").mapInArrow(run, "good int, x array<double>")
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
-    """Learns from (doc_id, quality) labels that aren't held out, a bounded sample of each class."""
+    """Learns from (doc_id, quality) labels that aren't held out, a bounded sample of each class.
+
+    The features are made where the texts are; the driver gets FEATURES numbers for each document of the sample.
+    """
     usable = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("good")).where(
         F.col("doc_id").isNotNull() & F.col("good").isin(0, 1) & ~held_out(F.col("doc_id"))
     )
@@ -112,8 +126,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     order = F.xxhash64("doc_id", F.lit(13))
     some = usable.where("good = 1").orderBy(order).limit(GOOD_SAMPLE).unionByName(usable.where("good = 0").orderBy(order).limit(BAD_SAMPLE))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = sorted((r.text, r.good) for r in texts.join(small(some), "doc_id").select("text", "good").distinct().collect())
-    return train([t for t, _ in rows], [g for _, g in rows])
+    rows = sorted((list(r.x), r.good) for r in _described(texts.join(small(some), "doc_id")).distinct().collect())
+    return train(np.array([x for x, _ in rows]).reshape(-1, FEATURES), [g for _, g in rows])
 
 
 def with_evidence(rows: DataFrame, model: Classifier) -> DataFrame:

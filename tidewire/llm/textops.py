@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES, SLICE_ROWS = 2 << 20, 4096
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -70,12 +70,12 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw, ends
 
 
-def row_slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``limit`` bytes each, or of one longer row."""
+def row_slices(offsets: np.ndarray, limit: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``rows`` rows and ``limit`` bytes each, or of one longer row."""
     n, i = len(offsets) - 1, 0
     while i < n:
         j = int(np.searchsorted(offsets, offsets[i] + limit, side="right")) - 1
-        j = min(max(j, i + 1), n)
+        j = min(max(j, i + 1), i + rows, n)
         yield i, j
         i = j
 

@@ -50,16 +50,13 @@ def automaton(strict: Sequence[str], soft: Sequence[str]) -> ahocorasick.Automat
 
 
 def count_terms(machine: ahocorasick.Automaton, text: str) -> tuple[int, int]:
-    """How many strict hits, and how many different soft terms, stand between boundaries in a text."""
-    strict, soft = 0, set()
+    """How many different strict and soft terms stand between boundaries in a text."""
+    found: tuple[set[str], set[str]] = (set(), set())
     for end, (term, kind) in machine.iter(text):
         start = end + 1 - len(term)
         if (start == 0 or not text[start - 1].isalpha()) and (end + 1 == len(text) or not text[end + 1].isalpha()):
-            if kind:
-                strict += 1
-            else:
-                soft.add(term)
-    return strict, len(soft)
+            found[kind].add(term)
+    return len(found[1]), len(found[0])
 
 
 def judge_urls(
