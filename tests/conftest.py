@@ -16,7 +16,11 @@ os.environ["PYTHONPATH"] = os.pathsep.join([str(ROOT), os.environ.get("PYTHONPAT
 def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "3")
+        # Tiny tables: compiling and re-planning would cost more than running.
+        .config("spark.sql.codegen.wholeStage", "false")
+        .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
+        .config("spark.sql.adaptive.enabled", "false")
         .config("spark.driver.memory", "3g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

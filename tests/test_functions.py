@@ -94,7 +94,7 @@ def test_url_guard(spark, url, safe):
 
 
 def test_entities_and_versions(spark):
-    found = one(spark, entities.extract_entities(F.col("x")), x="Google DeepMind ships Gemini 3.5 with PyTorch at NATO; AI and DALL-E")
+    found = one(spark, entities.extract_entities(F.col("x")), x="Google DeepMind ships Gemini 3.5 with PyTorch at NATO; AI and Dall-E")
     assert set(found) == {"org:google", "org:google-deepmind", "model:gemini", "model:gemini-3.5", "product:pytorch", "term:nato", "model:dall-e"}
     assert one(spark, entities.extract_entities(F.col("x")), x=None) == []
 
