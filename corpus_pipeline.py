@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewire.llm.common import stored
+from tidewire.llm.common import bound_batches, stored
 from tidewire.llm.mixing import keep_mixed
 from tidewire.llm.neardup import keep_first
 from tidewire.llm.packing import pack
@@ -18,26 +18,31 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject."""
+    bound_batches(spark)
     return keep_civil(docs, fit(docs, _labels(spark, sf_dir)))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose posterior quality is good."""
+    bound_batches(spark)
     return keep_good(docs, _labels(spark, sf_dir))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    bound_batches(spark)
     return keep_first(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled to tempered source, language and topic weights."""
+    bound_batches(spark)
     return keep_mixed(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 1024 tokens."""
+    bound_batches(spark)
     return pack(docs)
 
 

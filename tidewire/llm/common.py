@@ -10,12 +10,23 @@ from pyspark.sql import functions as F
 
 from ..operators.lineage import checked, components, shared_dir
 
-__all__ = ["checked", "components", "held_out", "shared_dir", "small", "stored"]
+__all__ = ["checked", "components", "bound_batches", "held_out", "shared_dir", "small", "stored"]
 
 #: A side is broadcast only if it was counted and has at most so many rows of a few dozen bytes each.
 BROADCAST_ROWS = 200_000
 
 
+#: Rows of an Arrow batch; texts of a few kilobytes make that a few megabytes on either side of the pipe.
+BATCH_ROWS = 1024
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to BATCH_ROWS rows, so that a Python worker holds little text at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def _forget(spark: SparkSession, path: str) -> None:
     try:
         place = spark._jvm.org.apache.hadoop.fs.Path(path)

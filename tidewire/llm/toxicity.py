@@ -260,12 +260,13 @@ def train(texts: Sequence[str], labels: Sequence[int], prevalence: float | None
     values, vectors = np.linalg.eigh(gram[np.ix_(chosen, chosen)].astype(float))
     root = vectors / np.sqrt(np.maximum(values, 1e-3)) @ vectors.T
     kernel = similarities([n[:LONGEST] for n in names], marks, norms)
-    x = kernel.astype(np.float64) @ root
+    x = kernel @ root.astype(np.float32)
     padded = similarities([p for p in _padded(marks) if p not in index], marks, norms).astype(np.float64) @ root
     in_clean = np.zeros(len(names), dtype=bool)
     in_clean[unit[~toxic[doc]]] = True
     positive = set(seeds)
     strongest = np.argsort(-kernel.max(axis=1), kind="stable")
+    del kernel
     hard = strongest[in_clean[strongest]][:3000]
     spread = np.flatnonzero(in_clean)[:: max(1, int(in_clean.sum()) // 3000)]
     negative = set(hard.tolist()) | set(spread.tolist())
@@ -274,14 +275,14 @@ def train(texts: Sequence[str], labels: Sequence[int], prevalence: float | None
         rows = np.array(sorted(positive) + sorted(negative - positive))
         y = np.where(np.arange(len(rows)) < len(positive), 1.0, -1.0)
         cost = np.where(y > 0, 10.0 * max(1.0, (y < 0).sum() / max(1, (y > 0).sum()) / 10), 10.0)
-        w = _svm(np.vstack((x[rows], padded)), np.append(y, np.ones(len(padded))), np.append(cost, np.full(len(padded), 10.0)))
-        margin = x @ w[:-1] + w[-1]
+        w = _svm(np.vstack((x[rows].astype(np.float64), padded)), np.append(y, np.ones(len(padded))), np.append(cost, np.full(len(padded), 10.0)))
+        margin = x @ w[:-1].astype(np.float32) + np.float32(w[-1])
         negative |= set(np.flatnonzero(in_clean & (margin > -0.8))[:5000].tolist())
         best = np.full(len(order), -np.inf)
         np.maximum.at(best, doc, margin[unit])
         mine = toxic[doc] & ~in_clean[unit] & (margin[unit] > 0) & (margin[unit] >= best[doc])
         positive |= set(unit[mine].tolist())
-    margin = x @ w[:-1] + w[-1]
+    margin = x @ w[:-1].astype(np.float32) + np.float32(w[-1])
     best = np.full(len(order), float(w[-1]))
     np.maximum.at(best, doc, margin[unit])
     weight = np.where(toxic, rate / toxic.mean(), (1 - rate) / (1 - toxic.mean())) if 0 < toxic.mean() < 1 else np.ones(len(order))
@@ -352,7 +353,9 @@ def scored(docs: DataFrame, model: Model, keep: Sequence[str], name: str = "scor
     """The ``keep`` columns of ``docs`` and the score of ``text``: 0 to 1, higher for likelier toxic."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorers.get(model.key) or _scorers.setdefault(model.key, _Scorer(model))
+        if model.key not in _scorers:
+            _scorers.clear()  # a worker serves one model at a time
+        scorer = _scorers.setdefault(model.key, _Scorer(model))
         for batch in batches:
             data, offsets = T.utf8(batch.column(batch.num_columns - 1))
             margins = [scorer.documents(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in T.row_slices(offsets)]
