@@ -356,5 +356,30 @@ def test_mixing_on_the_driver_and_on_frames_agree(spark):
     assert mixing.keep_mixed(rows, share=0.5).columns == rows.columns
 
 
+def test_topics_are_fitted_on_all_documents(spark):
+    draw = random.Random(21)
+    pools = [[f"{letter}{k}" for k in range(30)] for letter in "abc"]
+    texts = [" ".join(draw.choices(pools[k % 3], k=60)) for k in range(6000)]
+    # Two texts of a topic of their own, behind the first 4,000 in the order of a hash of doc_id.
+    order = spark.range(6000).orderBy(F.xxhash64("id", F.lit(3)), "id").collect()
+    for k in (order[4500].id, order[5900].id):
+        texts[k] = " ".join(f"rare{i}" for i in draw.choices(range(14), k=60))
+    rows = docs(spark, texts)
+    centres = mixing.fit_topics(rows, 4)
+    own = {r.doc_id: r["__topic"] for r in mixing.with_topics(rows, centres, ["doc_id"]).collect()}
+    rare = {own[order[4500].id], own[order[5900].id]}
+    assert len(rare) == 1 and list(own.values()).count(rare.pop()) == 2
+    assert (mixing.fit_topics(rows.repartition(7), 4) == centres).all()
+    wide = docs(spark, ["long " * 300 + "word", "long " * 300 + "word", "other text", "", None])
+    assert (mixing.fit_topics(wide, 2) == mixing.fit_topics(wide.repartition(3), 2)).all()
+
+
+def test_both_raking_paths_stop_alike_and_keep_cells_without_a_target(spark):
+    cells = spark.createDataFrame([(f"s{a}", f"l{b}", c, 10 ** (a + 1) + 7 * b * c) for a in range(3) for b in range(2) for c in range(2)], "source string, lang string, topic int, tokens bigint")
+    targets = {"source": {"s0": 0.5, "s1": 0.5}}
+    near, far = ({(r.source, r.lang, r.topic): r.p for r in mixing.probabilities(cells, 0.3, targets, driver_cells=d).collect()} for d in (1000, 1))
+    assert len(far) == 12 and near.keys() == far.keys() and all(abs(near[k] - far[k]) < 1e-7 for k in near)
+
+
 def test_every_operator_has_a_query():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))

@@ -19,55 +19,119 @@ from pyspark.sql import functions as F
 from . import textops as T
 from .common import checked, small, stored
 
-#: Documents that the topics are fitted on, the first in the order of a hash of doc_id.
-TOPIC_SAMPLE = 4000
 #: Up to so many cells are raked on the driver (a few dozen bytes each), more by DataFrames.
 DRIVER_CELLS = 200_000
 _BUCKETS = 512
+#: Unit vectors are held in whole steps of 1 / _STEPS: products and sums are then exact in doubles, in any order.
+_STEPS = float(1 << 24)
+_LOGS = np.log1p(np.arange(256)).astype(np.float32)
 MARGINS = ("source", "lang", "topic")
 
 
-def vectors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Unit vectors of hashed word counts (damped), and the number of words, of the texts bounds[k]:bounds[k+1]."""
+def word_counts(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed word counts, and the number of words, of the texts bounds[k]:bounds[k+1]."""
     n = len(bounds) - 1
     hashes, words = T.words(data, bounds)
     count = np.diff(words)
     row = np.repeat(np.arange(n), count)
-    counts = np.bincount(row * _BUCKETS + (hashes % np.uint64(_BUCKETS)).astype(np.int64), minlength=n * _BUCKETS).reshape(n, _BUCKETS)
-    out = np.log1p(counts).astype(np.float32)
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9), count
+    return np.bincount(row * _BUCKETS + (hashes % np.uint64(_BUCKETS)).astype(np.int64), minlength=n * _BUCKETS).reshape(n, _BUCKETS), count
+
+
+def _unit(counts: np.ndarray) -> np.ndarray:
+    """Unit vectors of word counts (damped)."""
+    out = _LOGS[counts] if counts.dtype == np.uint8 else np.log1p(counts).astype(np.float32)
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
+
+def vectors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors of hashed word counts (damped), and the number of words, of the texts bounds[k]:bounds[k+1]."""
+    counts, count = word_counts(data, bounds)
+    return _unit(counts), count
 
 
 def _described(rows: DataFrame) -> DataFrame:
-    """(x): the vectors of (text)."""
+    """(x): the word counts of (text), a byte for each bucket, or four where one is above 255."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = T.utf8(batch.column(0))
             for i, j in T.row_slices(offsets):
-                x, _ = vectors(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                yield pa.RecordBatch.from_arrays([pa.array([v.tobytes() for v in x], pa.binary())], names=["x"])
+                counts, _ = word_counts(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                few, wide = counts.astype(np.uint8), counts.astype(np.uint32)
+                high = counts.max(axis=1, initial=0) > 255
+                yield pa.RecordBatch.from_arrays([pa.array([(wide if h else few)[k].tobytes() for k, h in enumerate(high)], pa.binary())], names=["x"])
 
     return rows.select("text").mapInArrow(run, "x binary")
 
 
+def _steps(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The unit vectors of (x), in steps."""
+    rows = batch.column(0).to_pylist()
+    for kind, width in ((np.uint8, _BUCKETS), (np.uint32, 4 * _BUCKETS)):
+        some = b"".join(r for r in rows if len(r) == width)
+        if some:
+            yield np.rint(_unit(np.frombuffer(some, kind).reshape(-1, _BUCKETS)).astype(np.float64) * _STEPS)
+
+
+def _least_alike(x: DataFrame, centres: np.ndarray) -> np.ndarray | None:
+    """The vector that ``centres`` resemble least, the first in the order of its bytes among equals; of none, the first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: tuple[float, bytes] | None = None
+        for batch in batches:
+            for steps in _steps(batch):
+                near = (steps @ centres.T).max(axis=1) if len(centres) else np.zeros(len(steps))
+                low = near.min()
+                if best is None or low <= best[0]:
+                    found = (float(low), min(v.tobytes() for v in steps[near == low].astype(np.uint32)))
+                    best = found if best is None else min(best, found)
+        if best is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([best[0]]), pa.array([best[1]], pa.binary())], names=["near", "x"])
+
+    found = min(((r.near, bytes(r.x)) for r in x.mapInArrow(run, "near double, x binary").collect()), default=None)
+    return None if found is None else np.frombuffer(found[1], np.uint32).astype(np.float64)
+
+
+def _sums(x: DataFrame, centres: np.ndarray) -> np.ndarray:
+    """The sum of the vectors nearest to each centre: one partial sum a partition and topic reaches the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(centres), _BUCKETS), np.int64)
+        for batch in batches:
+            for steps in _steps(batch):
+                own = (steps @ centres.T).argmax(axis=1)
+                total += (np.eye(len(centres))[own].T @ steps).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
+
+    found = np.zeros((len(centres), _BUCKETS), np.int64)
+    for r in x.mapInArrow(run, "total binary").collect():
+        found += np.frombuffer(bytes(r.total), np.int64).reshape(found.shape)
+    return found
+
+
 def fit_topics(docs: DataFrame, topics: int = 8, rounds: int = 12) -> np.ndarray:
-    """(topics, _BUCKETS) centres by spherical k-means on a bounded sample, whose vectors are made where the texts are."""
-    some = docs.where(F.length("text") > 0).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    picked = small(some.select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(TOPIC_SAMPLE))
-    found = sorted({bytes(r.x) for r in _described(some.join(picked, "doc_id", "left_semi")).collect()})
-    if not found:
+    """(topics, _BUCKETS) centres by spherical k-means over all documents with text, those of equal word counts once.
+
+    Word counts are made once, where the texts are; each step is one pass over them.  Sums are exact, so the centres
+    are the same in any partitioning.
+    """
+    texts = docs.where(F.length("text") > 0).select(F.col("text").cast("string").alias("text"))
+    x = stored(_described(texts).distinct(), "words")
+    first = _least_alike(x, np.zeros((0, _BUCKETS)))
+    if first is None:
         return np.zeros((topics, _BUCKETS), np.float32)
-    x = np.frombuffer(b"".join(found), np.float32).reshape(-1, _BUCKETS)
-    centres = [x[0]]
-    while len(centres) < topics:  # the text that those chosen resemble least
-        centres.append(x[int(np.argmin((x @ np.stack(centres).T).max(axis=1)))])
-    c = np.stack(centres)
+    c = first[None]
+    while len(c) < topics:  # the text that those chosen resemble least
+        c = np.vstack([c, _least_alike(x, c)])
     for _ in range(rounds):
-        own = (x @ c.T).argmax(axis=1)
-        c = np.stack([x[own == k].mean(axis=0) if (own == k).any() else c[k] for k in range(topics)])
-        c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
-    return c
+        # A topic without texts has no sum (nor has that of the wordless ones): it stays.
+        total = _sums(x, c).astype(np.float64)
+        size = np.linalg.norm(total, axis=1, keepdims=True)
+        after = np.where(size > 0, np.rint(total / np.maximum(size, 1.0) * _STEPS), c)
+        if (after == c).all():
+            break
+        c = after
+    return (c / _STEPS).astype(np.float32)
 
 
 def with_topics(docs: DataFrame, centres: np.ndarray, keep: Sequence[str]) -> DataFrame:
@@ -117,19 +181,25 @@ def rake(tokens: np.ndarray, codes: Sequence[np.ndarray], targets: Sequence[np.n
     return p
 
 
-def _rake_frames(cells: DataFrame, targets: Sequence[DataFrame], budget: float, rounds: int = 60, tolerance: float = 1e-5) -> DataFrame:
+def _rake_frames(cells: DataFrame, targets: Sequence[DataFrame], budget: float, rounds: int = 200, tolerance: float = 1e-9) -> DataFrame:
     """:func:`rake` for more cells than fit the driver: factors and cells stay DataFrames."""
-    state = cells.withColumn("raw", F.lit(budget) / F.lit(cells.agg(F.sum("tokens")).first()[0])).withColumn("p", F.least("raw", F.lit(1.0)))
+    base = F.least(F.lit(1.0), F.lit(budget) / F.greatest(F.lit(cells.agg(F.sum("tokens")).first()[0]), F.lit(1e-12)))
+    state = cells.withColumns({"base": base, "p": base, **{f"f_{name}": F.lit(1.0) for name in MARGINS}})
+    raw = F.col("base")
+    for name in MARGINS:
+        raw = raw * F.col(f"f_{name}")
     for _ in range(rounds):
         state = state.withColumn("was", F.col("p"))
         for name, target in zip(MARGINS, targets, strict=True):
             now = state.groupBy(F.col(name).alias("__m")).agg(F.sum(F.col("tokens") * F.col("p")).alias("now"))
-            step = now.join(target, now["__m"].eqNullSafe(target.key)).select("__m", (F.col("share") * budget / F.col("now")).alias("f"))
-            state = state.join(step, state[name].eqNullSafe(step["__m"])).withColumn("raw", F.least(F.col("raw") * F.col("f"), F.lit(1e12))).withColumn("p", F.least("raw", F.lit(1.0))).drop("__m", "f")
+            f = F.when(F.col("now") > 0, F.coalesce("share", F.lit(0.0)) * budget / F.col("now")).otherwise(1.0)
+            step = now.join(target, now["__m"].eqNullSafe(target.key), "left").select("__m", f.alias("f"))
+            state = state.join(step, state[name].eqNullSafe(step["__m"])).withColumn(f"f_{name}", F.least(F.col(f"f_{name}") * F.col("f"), F.lit(1e12)))
+            state = state.withColumn("p", F.least(raw, F.lit(1.0))).drop("__m", "f")
         state = checked(state)
-        if state.where(F.abs(F.col("p") - F.col("was")) > tolerance).isEmpty():
+        if state.where(F.abs(F.col("p") - F.col("was")) >= tolerance).isEmpty():
             break
-    return state.drop("raw", "was")
+    return state.select(*cells.columns, "p")
 
 
 def probabilities(cells: DataFrame, share: float = 0.7, targets: dict[str, dict] | None = None, power: float = 0.5, driver_cells: int = DRIVER_CELLS) -> DataFrame:
