@@ -6,6 +6,7 @@ from datetime import UTC, date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tidewire import catalogue
 from tidewire.functions.text import trigrams
 from tidewire.operators import claims, cluster, dedup, health, ranking, simjoin, timeline
 from tidewire.operators.lineage import components
@@ -199,3 +200,29 @@ def test_judgement_is_null_when_nothing_is_judged(spark):
     labels = spark.createDataFrame([("e", "", None)], "event_id string, importance string, category string")
     row = health.judgement(p, labels).first()
     assert row.matched == 0 and row.precision is None and row.category_accuracy is None
+
+
+def test_overlap_pairs_are_those_of_all_rows(spark):
+    draw = random.Random(4)
+    names = ["org:a", "org:b", "product:c", "model:gpt", "model:gpt-4", "model:gpt-5", "term:x"]
+    worth = {"org:a": 0.25, "org:b": 0.25, "product:c": 0.7, "model:gpt": 0.6, "model:gpt-4": 1.0, "model:gpt-5": 1.0, "term:x": 0.6}
+    rows = [(k, draw.sample(names, draw.randrange(4))) for k in range(150)]
+    out = ranking.overlap_pairs(spark.createDataFrame(rows, "id bigint, entities array<string>").repartition(5)).collect()
+    want = {}
+    for i, a in rows:
+        for j, b in rows:
+            both = set(a) & set(b)
+            if i < j and both:
+                want[i, j] = (round(sum(worth[x] for x in both) / sum(worth[x] for x in {*a, *b}), 6), max(worth[x] for x in both))
+    assert len(out) == len(want) and {(r.a, r.b): (round(r.overlap, 6), r.strongest) for r in out} == want
+
+
+def test_pairs_come_from_all_parts(spark):
+    sf = "/root/testdata/sf0.001"
+    last = spark.read.parquet(f"{sf}/part.parquet").agg(F.max("p_partkey")).first()[0]
+    out = catalogue.QUERIES["weighted_overlap_all_pairs"](spark, sf)
+    assert out.agg(F.max("b")).first()[0] > last - 20 > 60
+    some = catalogue.QUERIES["weighted_overlap_pairs"](spark, sf)
+    assert {tuple(r) for r in out.where("b <= 60").collect()} == {tuple(r) for r in some.collect()}
+    found = catalogue.QUERIES["candidate_pairs_shortlist"](spark, sf).collect()
+    assert 0 < len(found) <= 5 and max(max(r.left_id, r.right_id) for r in found) > 40

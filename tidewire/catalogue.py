@@ -353,6 +353,13 @@ def weighted_overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("a", "b", F.round(entities.weighted_overlap(a, b), 6).alias("overlap"), entities.strongest_shared(a, b).alias("strongest"))
 
 
+@query()
+def weighted_overlap_all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlap of the entities of all parts; weighted_overlap_pairs is the SQL's range of keys."""
+    rows = _headlines(spark, sf_dir).select(F.col("p_partkey").alias("id"), entities.extract_entities(F.col("title")).alias("entities"))
+    return ranking.overlap_pairs(rows).withColumn("overlap", F.round("overlap", 6))
+
+
 def _rules_sql(x: str) -> str:
     cases = " ".join("WHEN " + " OR ".join(f"instr({x}, ' {w} ') > 0" for w in words) + f" THEN '{name}'" for name, words in RULES)
     return f"CASE {cases} ELSE 'other' END"
@@ -455,6 +462,15 @@ def candidate_pairs_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.candidate_pairs(events)
 
 
+@query()
+def candidate_pairs_shortlist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five most alike pairs of the shortlist of all parts; candidate_pairs_topn is the SQL's range of keys."""
+    rows = _headlines(spark, sf_dir).select(F.col("p_partkey").alias("id"), F.col("title").alias("canonical_title"), categories.classify(F.col("title"), F.lit("")).alias("category"), entities.extract_entities(F.col("title")).alias("entities"))
+    score = ranking.relevance(F.col("canonical_title"), F.col("entities"), F.col("category"), _PROFILE)
+    scored = rows.withColumns({"score": score, "source_count": F.lit(1), "last_updated": F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 60)})
+    return ranking.candidate_pairs(ranking.shortlist(scored))
+
+
 # --- events ---
 
 

@@ -134,3 +134,19 @@ def candidate_pairs(events: DataFrame, limit: int = PAIRS, floor: float = PAIR_F
     found = pairs.where(~has_conflicting_version(le, re_)).withColumn("wording", wording).where(evidence).withColumn("blend", blend).where(F.col("blend") >= floor)
     found = found.withColumn("similarity", F.round("blend", 3)).orderBy(F.desc("similarity"), "l_rank", "r_rank").limit(limit)
     return found.select(F.col("l_id").alias("left_id"), F.col("r_id").alias("right_id"), "similarity")
+
+
+def overlap_pairs(rows: DataFrame) -> DataFrame:
+    """(a, b, overlap, strongest): all pairs a < b of (id, entities) that share an entity.
+
+    Rows of equal entities are one set: sets are compared, and a pair of them is spread over its members at the end.
+    """
+    rows = rows.select("id", F.array_sort("entities").alias("entities")).where(F.size("entities") > 0)
+    sets = rows.select("entities").distinct()
+    each = sets.select("entities", F.explode("entities").alias("entity"))
+    left, right = each.toDF("l", "entity"), each.toDF("r", "entity")
+    # Each pair of sets once, where their first common entity is.
+    met = left.join(right, "entity").where((F.col("l") <= F.col("r")) & (F.col("entity") == F.array_min(F.array_intersect("l", "r"))))
+    held = met.select("l", "r", weighted_overlap(F.col("l"), F.col("r")).alias("overlap"), strongest_shared(F.col("l"), F.col("r")).alias("strongest"))
+    spread = held.join(rows.toDF("x", "l"), "l").join(rows.toDF("y", "r"), "r").where((F.col("l") < F.col("r")) | (F.col("x") < F.col("y")))
+    return spread.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "overlap", "strongest")
