@@ -226,3 +226,27 @@ def test_pairs_come_from_all_parts(spark):
     assert {tuple(r) for r in out.where("b <= 60").collect()} == {tuple(r) for r in some.collect()}
     found = catalogue.QUERIES["candidate_pairs_shortlist"](spark, sf).collect()
     assert 0 < len(found) <= 5 and max(max(r.left_id, r.right_id) for r in found) > 40
+
+
+def test_components_of_all_orders(spark, tmp_path):
+    draw = random.Random(9)
+    # Orders above 400 and small quantities link orders too.
+    rows = [(draw.randrange(1, 900), draw.randrange(700), float(draw.randrange(1, 50))) for _ in range(900)]
+    rows += [(3, 5000, 1.0), (800, 5000, 1.0), (800, 5001, 50.0), (7, 5001, 50.0)]
+    spark.createDataFrame(rows, "l_orderkey bigint, l_partkey bigint, l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    up = {}
+
+    def root(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for o, p, _ in rows:
+        a, b = root(("o", o)), root(("p", p))
+        up[max(a, b)] = min(a, b)
+    groups = {}
+    for o in {r[0] for r in rows}:
+        groups.setdefault(root(("o", o)), set()).add(o)
+    want = {o: min(g) for g in groups.values() for o in g if len(g) > 1}
+    out = catalogue.QUERIES["connected_components_all"](spark, str(tmp_path))
+    assert {r.node: r.component for r in out.collect()} == want and want[800] == want[3] == want[7]

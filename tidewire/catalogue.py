@@ -502,6 +502,14 @@ def connected_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components(e.join(first, "p").select("a", F.col("o").alias("b")).where("a <> b"))
 
 
+@query()
+def connected_components_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of the whole table that are linked by common parts; connected_components is the SQL's range of keys."""
+    e = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o"), F.col("l_partkey").alias("p")).distinct()
+    first = e.groupBy("p").agg(F.min("o").alias("a"))
+    return components(e.join(first, "p").select("a", F.col("o").alias("b")).where("a <> b"))
+
+
 @query(
     "WITH t AS (SELECT conv_id, list_sort(list(DISTINCT role)) AS roles, min(turn) AS lo, max(turn) AS hi FROM conversations GROUP BY conv_id) "
     "SELECT a.conv_id AS id, array_to_string(list_concat(a.roles, list_filter(b.roles, lambda x: NOT list_contains(a.roles, x))), '|') AS roles, least(a.lo, b.lo) AS lo, greatest(a.hi, b.hi) AS hi FROM t a JOIN t b ON b.conv_id = a.conv_id + 1"
