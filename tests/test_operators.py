@@ -250,3 +250,18 @@ def test_components_of_all_orders(spark, tmp_path):
     want = {o: min(g) for g in groups.values() for o in g if len(g) > 1}
     out = catalogue.QUERIES["connected_components_all"](spark, str(tmp_path))
     assert {r.node: r.component for r in out.collect()} == want and want[800] == want[3] == want[7]
+
+
+def test_every_row_has_a_rank(spark):
+    draw = random.Random(6)
+    rows = [(k, draw.choice([None, 1.0, 2.0, 2.0, 2.0]), draw.randrange(1, 3), draw.choice([None, *(datetime(2024, 1, d) for d in (1, 2))])) for k in range(500)]
+    df = spark.createDataFrame(rows, "id bigint, score double, source_count int, last_updated timestamp").repartition(7)
+    out = ranking.ranked(df, ranking.total_order()).collect()
+    first = datetime(1970, 1, 1)
+    want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), -r[2], r[3] is None, first - (r[3] or first), r[0]))
+    assert [r.id for r in sorted(out, key=lambda r: r.rank)] == [r[0] for r in want] and sorted(r.rank for r in out) == list(range(1, 501))
+    assert ranking.ranked(df.limit(0), ranking.total_order()).count() == 0
+    sf = "/root/testdata/sf0.001"
+    every = {tuple(r) for r in catalogue.QUERIES["rank_total_order_all"](spark, sf).collect()}
+    assert len(every) == spark.read.parquet(f"{sf}/orders.parquet").count() > 100
+    assert {tuple(r) for r in catalogue.QUERIES["rank_total_order"](spark, sf).collect()} < every

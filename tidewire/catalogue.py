@@ -439,6 +439,12 @@ def rank_total_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select(F.row_number().over(W.orderBy(*ranking.total_order())).cast("bigint").alias("rank"), "id", "score")
 
 
+@query()
+def rank_total_order_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rank of every scored row; rank_total_order is the SQL's first hundred."""
+    return ranking.ranked(_scored(spark, sf_dir), ranking.total_order()).select("rank", "id", "score")
+
+
 @query(
     f"WITH {_SCORED}, r AS (SELECT *, row_number() OVER (ORDER BY {_ORDER}) AS g, row_number() OVER (PARTITION BY category ORDER BY {_ORDER}) AS c FROM s), "
     "k AS (SELECT * FROM r ORDER BY NOT (source_count > 1 OR c <= 4), g LIMIT 20) SELECT row_number() OVER (ORDER BY g) AS rank, id, category, score FROM k"

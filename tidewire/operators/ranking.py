@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.categories import Profile
 from ..functions.entities import DECISIVE_WEIGHT, has_conflicting_version, strongest_shared, weight, weighted_overlap
 from ..functions.text import identity_signature, title_similarity
+from .lineage import checked
 
 # Shares of the score, the shortlist's and the pairs' limits.
 CREDIBILITY_SHARE = NOVELTY_SHARE = PERSONAL_SHARE = 0.15
@@ -150,3 +151,18 @@ def overlap_pairs(rows: DataFrame) -> DataFrame:
     held = met.select("l", "r", weighted_overlap(F.col("l"), F.col("r")).alias("overlap"), strongest_shared(F.col("l"), F.col("r")).alias("strongest"))
     spread = held.join(rows.toDF("x", "l"), "l").join(rows.toDF("y", "r"), "r").where((F.col("l") < F.col("r")) | (F.col("x") < F.col("y")))
     return spread.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "overlap", "strongest")
+
+def ranked(rows: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """All ``rows`` with their ``rank`` in ``order``, which leaves no ties.
+
+    Ranges of the order are numbered one by one and the sizes of those before are added; no task gets all rows.
+    """
+    low = (1 << 33) - 1  # monotonically_increasing_id has a row's place in its partition in the lower 33 bits
+    placed = checked(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()))
+    placed = placed.withColumns({"__range": F.shiftright("__at", 33), "__at": F.col("__at").bitwiseAND(F.lit(low))})
+    before, offsets = 0, []
+    for k, n in sorted(tuple(r) for r in placed.groupBy("__range").count().collect()):
+        offsets.append((k, before))
+        before += n
+    ahead = F.broadcast(rows.sparkSession.createDataFrame(offsets, "__range bigint, __before bigint"))  # a row a range
+    return placed.join(ahead, "__range").withColumn("rank", F.col("__before") + F.col("__at") + 1).select("rank", *rows.columns)
