@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from datetime import UTC, date, datetime, timedelta
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -265,3 +266,22 @@ def test_every_row_has_a_rank(spark):
     every = {tuple(r) for r in catalogue.QUERIES["rank_total_order_all"](spark, sf).collect()}
     assert len(every) == spark.read.parquet(f"{sf}/orders.parquet").count() > 100
     assert {tuple(r) for r in catalogue.QUERIES["rank_total_order"](spark, sf).collect()} < every
+
+
+def test_items_are_found_anywhere_in_a_text(spark):
+    draw = random.Random(12)
+    words = "a b c d e".split()
+    items = [(k, " ".join(draw.choices(words, k=draw.randrange(1, 9)))) for k in range(40)] + [(40, ""), (41, None)]
+    texts = [(k, " ".join(draw.choices(words, k=draw.randrange(60)))) for k in range(60)] + [(60, None), (61, "x " * 100 + items[0][1])]
+    side = lambda rows, key: spark.createDataFrame([(k, None if t is None else t.strip()) for k, t in rows], f"{key} bigint, norm string")
+    out = [tuple(r) for r in simjoin.containing(side(texts, "doc_id"), side(items, "item_id"), "doc_id", "item_id").collect()]
+    want = {(d, i) for d, t in texts for i, x in items if t and x and f" {x} " in f" {t.strip()} "}
+    assert len(out) == len(set(out)) and set(out) == want
+
+
+def test_benchmark_containment_equals_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    out = {tuple(r) for r in catalogue.QUERIES["benchmark_containment"](spark, sf).collect()}
+    norm = catalogue._norm
+    sql = f"SELECT doc_id, item_id FROM (SELECT doc_id, {norm('text')} AS d FROM '{sf}/documents.parquet') JOIN (SELECT item_id, {norm('text')} AS i FROM '{sf}/benchmark.parquet') ON i <> '' AND contains(' ' || d || ' ', ' ' || i || ' ')"
+    assert out == set(duckdb.sql(sql).fetchall()) and out

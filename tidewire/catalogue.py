@@ -224,6 +224,14 @@ def near_dup_benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(number("b").alias("doc_id"), number("a").alias("item_id"))
 
 
+@query()
+def benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a whole benchmark item, anywhere; near_dup_benchmark_overlap is the SQL's, of first 80 characters."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", text.normalize_text(F.col("text")).alias("norm"))
+    items = _t(spark, sf_dir, "benchmark").select("item_id", text.normalize_text(F.col("text")).alias("norm"))
+    return simjoin.containing(docs, items, "doc_id", "item_id")
+
+
 # --- time and state ---
 
 _START = "TIMESTAMP '2024-01-15 00:00:00'"

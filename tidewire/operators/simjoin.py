@@ -41,3 +41,29 @@ def similar_pairs(df: DataFrame, key: str, tokens: str, threshold: float, same:
     found = pairs.join(sets.select(F.col("k").alias("a"), F.col("tokens").alias("ta")), "a").join(sets.select(F.col("k").alias("b"), F.col("tokens").alias("tb")), "b")
     score = 2.0 * F.size(F.array_intersect("ta", "tb")) / (F.size("ta") + F.size("tb"))
     return found.select("a", "b", score.alias("similarity")).where(F.col("similarity") >= threshold)
+
+
+def _windows(words: Column, width: Column | int) -> Column:
+    """Each distinct run of ``width`` words; the words are bound once, not made anew for each run."""
+    n = lambda w: F.size(w) - width + 1
+    runs = lambda w: F.when(n(w) > 0, F.transform(F.sequence(F.lit(1), n(w)), lambda i: F.array_join(F.slice(w, i, width), " "))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.flatten(F.transform(F.array(words), runs)))
+
+
+def containing(texts: DataFrame, items: DataFrame, text: str, item: str, anchor: int = 5) -> DataFrame:
+    """The pairs of keys of ``texts`` and ``items`` (key, norm) where a text holds all of an item's words in a row.
+
+    Items are indexed by that run of ``anchor`` words which the fewest items have (by all words, where they are fewer);
+    a text meets an item by that run, and its whole text is then looked for.  Items without a word are in no pair.
+    """
+    words = items.where("norm <> ''").select(item, F.col("norm").alias("__item"), F.split("norm", " ").alias("__words"))
+    sized = words.withColumn("__width", F.least(F.size("__words"), F.lit(anchor)))
+    runs = sized.select(item, "__item", "__width", F.explode(_windows(F.col("__words"), F.col("__width"))).alias("__run"))
+    often = runs.groupBy("__run").agg(F.count(F.lit(1)).alias("__n"))
+    rarest = runs.join(often, "__run").groupBy(item, "__item", "__width").agg(F.min(F.struct("__n", "__run")).getField("__run").alias("__run"))
+    widths = sorted(r[0] for r in rarest.select("__width").distinct().collect())  # at most ``anchor`` of them
+    split = F.split("norm", " ")
+    found = F.flatten(F.array(*[_windows(split, w) for w in widths])) if widths else F.array().cast("array<string>")
+    met = texts.where("norm <> ''").select(text, F.explode(found).alias("__run")).join(rarest, "__run").select(text, item, "__item")
+    whole = texts.select(text, F.concat(F.lit(" "), "norm", F.lit(" ")).alias("__text"))
+    return met.join(whole, text).where(F.contains("__text", F.concat(F.lit(" "), "__item", F.lit(" ")))).select(text, item)
