@@ -154,3 +154,48 @@ def test_units_join_spelled_out_words():
     raw = data.tobytes()
     found = [toxicity.plain(raw[i:j]) for i, j in zip(a, b, strict=True)]
     assert "idiot" in found and "really" in found and "ab" not in found and set(row.tolist()) == {0, 1}
+
+
+def thue_morse(letters, length):
+    """A word and its complement, which every hash that is a sum of powers of a base modulo 2^64 takes for equal."""
+    bits = [bin(k).count("1") % 2 for k in range(length)]
+    return ["".join(letters[b ^ flip] for b in bits) for flip in (0, 1)]
+
+
+PATTERNED = [w for n in (1024, 2048, 4096) for w in (*thue_morse("ab", n), *thue_morse("xQ", n), *thue_morse("éü", n))]
+
+
+def test_patterned_words_have_hashes_of_their_own(both):
+    hashes, _ = textops.words(*buffer(PATTERNED))
+    assert len(set(hashes.tolist())) == len(PATTERNED)
+    data, bounds = buffer(PATTERNED)
+    starts = fingerprint.chunk_starts(data, bounds)
+    raw, chunks = data.tobytes(), textops.span_hashes(data, starts, np.append(starts[1:], len(data)), 59)
+    assert len(set(chunks.tolist())) == len({raw[i:j] for i, j in zip(starts, [*starts[1:], len(raw)], strict=True)})
+    encoder, library = both
+    assert ids_of(encoder, PATTERNED) == [library.encode(t, add_special_tokens=False).ids for t in PATTERNED]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.binary(max_size=300), min_size=1, max_size=20))
+def test_spans_are_hashed_by_their_bytes_only(spans):
+    data = np.frombuffer(b"#".join([b"", *spans, b""]), np.uint8)
+    sizes = np.array([len(s) for s in spans])
+    starts = np.cumsum(np.concatenate(([1], sizes[:-1] + 1)))
+    got = textops.span_hashes(data, starts, starts + sizes)
+    alone = [textops.span_hashes(np.frombuffer(s, np.uint8), np.array([0]), np.array([len(s)]))[0] for s in spans]
+    assert got.tolist() == [int(a) for a in alone] and len(set(got.tolist())) == len(set(spans))
+
+
+def test_a_small_table_forgets_and_a_colliding_hash_is_replaced(both, monkeypatch):
+    _, library = both
+    draw = random.Random(3)
+    texts = [" ".join("".join(draw.choices("abcdé", k=draw.randrange(1, 20))) for _ in range(60)) for _ in range(30)]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    small = tokens.Encoder(tokens.vocabulary())
+    small.known = textops.SpanTable(200, 4000)
+    assert [ids_of(small, [t])[0] for t in texts + texts] == want + want
+    honest = textops.span_hashes
+    monkeypatch.setattr(textops, "span_hashes", lambda d, s, e, salt=0: honest(d, s, e, salt) % np.uint64(7 if salt == 101 else 2**63))
+    poor = tokens.Encoder(tokens.vocabulary())
+    assert [ids_of(poor, [t])[0] for t in texts] == want and poor.known.salt > 101

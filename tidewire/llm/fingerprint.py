@@ -25,7 +25,6 @@ from .common import small
 LEAST, USUAL, MOST = 8, 24, 128
 _STRICT, _LOOSE = np.uint32(0x1F0000), np.uint32(0x070000)  # one place in 32 and in 8
 _GEAR = (T.seeds(256, 53) >> np.uint64(32)).astype(np.uint32)
-_VALUES = T.seeds(256, 59)
 
 
 def _gear(data: np.ndarray) -> np.ndarray:
@@ -69,7 +68,7 @@ def chunk_sets(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     ends = np.append(starts[1:], len(data))
     if not len(starts):
         return [np.zeros(0, dtype=np.uint64)] * (len(bounds) - 1)
-    packed = (T.span_hashes(_VALUES[data], starts, ends) & ~np.uint64(0xFFFF)) | (ends - starts).astype(np.uint64)
+    packed = (T.span_hashes(data, starts, ends, 59) & ~np.uint64(0xFFFF)) | (ends - starts).astype(np.uint64)
     return T.sorted_sets(packed, np.searchsorted(starts, bounds))
 
 

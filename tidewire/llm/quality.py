@@ -51,7 +51,7 @@ def features(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     edge[bounds] = True
     starts = np.flatnonzero(edge[:-1] | np.concatenate(([False], data[:-1] == 10))) if len(data) else np.zeros(0, np.int64)
     ends = np.append(starts[1:], len(data))
-    lines = T.span_hashes(T._BYTE_VALUES[data], starts, ends) if len(starts) else np.zeros(0, np.uint64)
+    lines = T.span_hashes(data, starts, ends) if len(starts) else np.zeros(0, np.uint64)
     line_bounds = np.searchsorted(starts, bounds)
     n_lines = np.diff(line_bounds)
     unlike = np.array([len(s) for s in T.sorted_sets(lines, line_bounds)], dtype=float)

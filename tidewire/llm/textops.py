@@ -7,6 +7,7 @@ working memory of a Python worker is bounded by the slice (or by one document wh
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,8 +17,11 @@ import pyarrow.compute as pc
 SLICE_BYTES, SLICE_ROWS = 1 << 20, 4096
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INV = pow(_BASE, -1, 1 << 64)
+_ODD = _U(0x9E3779B97F4A7C15)
+#: Spans of up to so many bytes are hashed 8 bytes at a time for all spans at once, longer ones each by blake2b.
+_LONG = 128
+#: Masks that keep the first k bytes of a little-endian word of 8.
+_FIRST = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -31,27 +35,8 @@ def seeds(n: int, salt: int) -> np.ndarray:
     return mix64(np.arange(1, n + 1, dtype=np.uint64) * _U(0xD1342543DE82EF95) + _U(salt))
 
 
-class _Powers:
-    """base**i and base**-i modulo 2**64, grown on demand."""
-
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, dtype=np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            n = max(n, SLICE_BYTES + 1024)
-            for name, base in (("up", _BASE), ("down", _BASE_INV)):
-                steps = np.full(n, base, dtype=np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.cumprod(steps, dtype=np.uint64))
-        return self.up, self.down
-
-
-_powers = _Powers()
-_BYTE_VALUES = seeds(256, 11)
 _LOWERED = np.arange(256, dtype=np.uint8)
 _LOWERED[65:91] += 32
-_LOWERED_VALUES = _BYTE_VALUES[_LOWERED]
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -80,13 +65,123 @@ def row_slices(offsets: np.ndarray, limit: int = SLICE_BYTES, rows: int = SLICE_
         i = j
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the spans [start, end) of a sequence of uint64 values, by one prefix sum."""
-    up, down = _powers.upto(len(values) + 1)
-    prefix = np.empty(len(values) + 1, dtype=np.uint64)
-    prefix[0] = 0
-    np.cumsum(values * up[: len(values)], out=prefix[1:])
-    return mix64((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
+    """64-bit hashes of the byte spans [start, end) of ``data`` (uint8).
+
+    A chain of mix64 over the span's words of 8 bytes, from a state that holds its length: one-to-one for spans of up
+    to 8 bytes, and without the structure of a sum of powers, which patterned texts make collide for every base.
+    """
+    size = (ends - starts).astype(np.int64)
+    h = mix64(size.astype(np.uint64) * _ODD + _U(salt))
+    lanes = _lanes(data)
+    live = np.flatnonzero((size > 0) & (size <= _LONG))
+    at, left = starts[live], size[live]
+    while len(live):
+        h[live] = mix64(h[live] * _ODD ^ (lanes[at] & _FIRST[np.minimum(left, 8)]))
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    for k in np.flatnonzero(size > _LONG).tolist():
+        digest = hashlib.blake2b(data[starts[k] : ends[k]], digest_size=8, salt=salt.to_bytes(8, "little")).digest()
+        h[k] = int.from_bytes(digest, "little")
+    return h
+
+
+def _lanes(data: np.ndarray) -> np.ndarray:
+    """The little-endian 8 bytes from every position of ``data`` on, zeros behind its end."""
+    padded = np.zeros(len(data) + 8, dtype=np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+
+
+def same_spans(a: np.ndarray, at: np.ndarray, b: np.ndarray, bt: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` bytes of ``a`` (uint8) from ``at`` are those of ``b`` from ``bt``, for each span."""
+    equal = np.ones(len(size), dtype=bool)
+    left, right = _lanes(a), _lanes(b)
+    live = np.flatnonzero((size > 0) & (size <= _LONG))
+    i, j, rest = at[live], bt[live], size[live]
+    while len(live):
+        equal[live] &= (left[i] ^ right[j]) & _FIRST[np.minimum(rest, 8)] == 0
+        more = rest > 8
+        live, i, j, rest = live[more], i[more] + 8, j[more] + 8, rest[more] - 8
+    for k in np.flatnonzero(size > _LONG).tolist():
+        equal[k] = (a[at[k] : at[k] + size[k]] == b[bt[k] : bt[k] + size[k]]).all()
+    return equal
+
+
+class SpanTable:
+    """A growing table of byte spans: a hash finds a span's row, its bytes then decide.
+
+    ``rows`` gives a row number to each span; new spans get new rows and go to ``learn``, which keeps whatever is
+    known of them in columns of the same order.  Beyond ``most`` spans or ``most_bytes`` the table forgets those that
+    one call alone has asked for; ``keep`` is told which rows stay.
+    """
+
+    def __init__(self, most: int, most_bytes: int) -> None:
+        self.most, self.most_bytes, self.salt = most, most_bytes, 101
+        self._clear()
+
+    def _clear(self) -> None:
+        self.hashes, self.order = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # ascending; the rows they lead to
+        self.blob, self.ends = np.zeros(0, np.uint8), np.zeros(1, np.int64)
+        self.asked = np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.asked)
+
+    def _shrink(self, keep) -> None:
+        stay = np.flatnonzero(self.asked > 1)
+        size = np.diff(self.ends)[stay]
+        if len(stay) > self.most // 2 or size.sum() > self.most_bytes // 2:
+            stay, size = stay[:0], size[:0]
+        starts = self.ends[stay]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        self.blob, self.ends = self.blob[np.repeat(starts - ends[:-1], size) + np.arange(ends[-1])], ends
+        self.asked = np.ones(len(stay), np.int64)
+        hashes = span_hashes(self.blob, ends[:-1], ends[1:], self.salt)
+        self.order = np.argsort(hashes)
+        self.hashes = hashes[self.order]
+        keep(stay)
+
+    def _found(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.full(len(hashes), -1, dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.order[at], -1)
+
+    def rows(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, learn, keep) -> np.ndarray:
+        size = ends - starts
+        while True:
+            hashes = span_hashes(data, starts, ends, self.salt)
+            distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+            row = self._found(distinct)
+            old = np.flatnonzero(row >= 0)
+            a = first[old]
+            at = self.ends[row[old]]
+            sound = (self.ends[row[old] + 1] - at == size[a]).all() and same_spans(data, starts[a], self.blob, at, size[a]).all()
+            mate = first[back]
+            if sound and (size[mate] == size).all() and same_spans(data, starts, data, starts[mate], size).all():
+                break
+            # Different spans of one hash: start over with another hash.
+            self.salt += 1
+            self._clear()
+            keep(np.zeros(0, np.int64))
+        new = np.flatnonzero(row < 0)
+        if len(new) and len(self) and (len(self) + len(new) > self.most or len(self.blob) + size[first[new]].sum() > self.most_bytes):
+            self._shrink(keep)
+            row = self._found(distinct)
+            new = np.flatnonzero(row < 0)
+        if len(new):
+            raw = data.tobytes()
+            spans = [raw[i:j] for i, j in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
+            row[new] = len(self) + np.arange(len(new))
+            self.blob = np.concatenate((self.blob, np.frombuffer(b"".join(spans), np.uint8)))
+            self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(size[first[new]])))
+            self.asked = np.concatenate((self.asked, np.zeros(len(new), np.int64)))
+            at = np.searchsorted(self.hashes, distinct[new])
+            self.hashes, self.order = np.insert(self.hashes, at, distinct[new]), np.insert(self.order, at, row[new])
+            learn(spans)
+        self.asked[row] += 1
+        return row[back]
 
 
 def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -101,8 +196,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np
     edge[offsets] = True
     starts = np.flatnonzero(solid & (edge[:n] | ~np.concatenate(([False], solid[:-1])))) if n else np.zeros(0, np.int64)
     ends = np.flatnonzero(solid & (edge[1:] | ~np.concatenate((solid[1:], [False])))) + 1 if n else starts
-    values = (_LOWERED_VALUES if lower else _BYTE_VALUES)[data]
-    return span_hashes(values, starts, ends), np.searchsorted(starts, offsets)
+    return span_hashes(_LOWERED[data] if lower else data, starts, ends), np.searchsorted(starts, offsets)
 
 
 def shingles(hashes: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

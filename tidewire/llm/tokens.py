@@ -8,6 +8,7 @@ library's own regular expressions.  Texts that hold an added token's string are
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -17,8 +18,8 @@ from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 from . import textops as T
 
-#: Distinct pieces a worker remembers (about 25 bytes each) before it starts over.
-PIECES = 3_000_000
+#: Distinct pieces, and bytes of them, that a worker remembers before it starts over.
+PIECES, PIECE_BYTES = 1_000_000, 32 << 20
 
 _SIGN, _LETTER, _NUMBER, _SPACE = 0, 1, 2, 3
 _SUFFIXES = {(115,), (116,), (109,), (100,), (114, 101), (118, 101), (108, 108)}  # 's 't 'm 'd 're 've 'll
@@ -44,11 +45,6 @@ def _classes() -> np.ndarray:
     return table
 
 
-@cache
-def _values() -> np.ndarray:
-    return T.mix64(np.arange(1, 0x110001, dtype=np.uint64))
-
-
 def piece_starts(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Where pieces begin in a sequence of code points that holds the texts bounds[k]:bounds[k+1]."""
     n = len(points)
@@ -88,53 +84,42 @@ class Encoder:
         self.model = self.tokenizer.model
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._names = _byte_names()
-        self._empty()
-
-    def _empty(self) -> None:
-        self.known = np.zeros(0, dtype=np.uint64)
-        self.place = np.zeros(0, dtype=np.int64)
-        self.size = np.zeros(0, dtype=np.int64)
-        self.ids = np.zeros(0, dtype=np.uint32)
-
-    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
-        """``hashes`` are ascending and unknown."""
-        if len(self.known) + len(hashes) > PIECES:
-            self._empty()
+        self.known = T.SpanTable(PIECES, PIECE_BYTES)
+        self.place, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.mark, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+
+    def _learn(self, pieces: list[bytes]) -> None:
         names, tokenize = self._names, self.model.tokenize
-        found = [[t.id for t in tokenize(p.encode().decode("latin-1").translate(names))] for p in pieces]
+        found = [[t.id for t in tokenize(p.decode("latin-1").translate(names))] for p in pieces]
         size = np.array([len(f) for f in found], dtype=np.int64)
-        place = len(self.ids) + np.concatenate(([0], np.cumsum(size)[:-1]))
+        self.place = np.concatenate((self.place, len(self.ids) + np.cumsum(size) - size))
+        self.size = np.concatenate((self.size, size))
         self.ids = np.concatenate((self.ids, np.array([i for f in found for i in f], dtype=np.uint32)))
-        at = np.searchsorted(self.known, hashes)
-        self.place, self.size = np.insert(self.place, at, place), np.insert(self.size, at, size)
-        self.known = np.insert(self.known, at, hashes)
-
-    def _slice(self, text: str, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """ids, each text's first id, hashes of all pieces, each text's first piece."""
-        points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
-        starts = piece_starts(points, bounds)
-        ends = np.append(starts[1:], len(points))
-        hashes = T.span_hashes(_values()[points], starts, ends) if len(starts) else np.zeros(0, np.uint64)
-        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.known, distinct)
-        new = np.ones(len(distinct), dtype=bool)
-        inside = at < len(self.known)
-        new[inside] = self.known[at[inside]] != distinct[inside]
-        if new.any():
-            if len(self.known) + int(new.sum()) > PIECES:
-                self._empty()
-                new[:] = True
-            self._learn(distinct[new], [text[i:j] for i, j in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)])
-            at = np.searchsorted(self.known, distinct)
-        row = at[back]
-        size = self.size[row]
+        self.mark = np.concatenate((self.mark, np.array([zlib.crc32(p) for p in pieces], dtype=np.uint64)))
+
+    def _keep(self, rows: np.ndarray) -> None:
+        size = self.size[rows]
         stops = np.concatenate(([0], np.cumsum(size)))
-        ids = self.ids[np.repeat(self.place[row] - stops[:-1], size) + np.arange(stops[-1])] if len(row) else np.zeros(0, np.uint32)
+        self.ids = self.ids[np.repeat(self.place[rows] - stops[:-1], size) + np.arange(stops[-1])]
+        self.place, self.size, self.mark = stops[:-1], size, self.mark[rows]
+
+    def _slice(self, raw: bytes, text: str, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """ids, each text's first id, marks (hashes) of all pieces, each text's first piece."""
+        starts = piece_starts(np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32), bounds)
         pieces = np.searchsorted(starts, bounds)
-        return ids, stops[pieces], hashes, pieces
+        if not len(starts):
+            return np.zeros(0, np.uint32), np.zeros(len(bounds), np.int64), np.zeros(0, np.uint64), pieces
+        data, at = np.frombuffer(raw, np.uint8), starts
+        if len(text) != len(raw):
+            at = np.flatnonzero((data & 0xC0) != 0x80)[starts]
+        row = self.known.rows(data, at, np.append(at[1:], len(raw)), self._learn, self._keep)  # every byte is in a piece
+        size = self.size[row]
+        stops = np.concatenate(([0], np.cumsum(size)))
+        ids = self.ids[np.repeat(self.place[row] - stops[:-1], size) + np.arange(stops[-1])]
+        return ids, stops[pieces], self.mark[row], pieces
 
     def encode(self, column: pa.Array) -> Iterator[tuple[int, list[np.ndarray], np.ndarray, np.ndarray]]:
-        """For row ranges in order: the first row, each row's ids (uint32), all pieces' hashes, where each row's begin.
+        """For row ranges in order: the first row, each row's ids (uint32), all pieces' marks (hashes), where each row's begin.
 
         Null rows are empty texts.
         """
@@ -148,14 +133,14 @@ class Encoder:
             else:
                 leads = np.concatenate(([0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)))
                 bounds = leads[cut]
-            ids, stops, hashes, pieces = self._slice(text, bounds)
+            ids, stops, marks, pieces = self._slice(raw, text, bounds)
             rows = np.split(ids, stops[1:-1]) if j - i > 1 else [ids]
             if any(a in text for a in self.added):
                 for k in range(j - i):
                     one = text[bounds[k] : bounds[k + 1]]
                     if any(a in one for a in self.added):
                         rows[k] = np.array(self.tokenizer.encode(one, add_special_tokens=False).ids, dtype=np.uint32)
-            yield i, rows, hashes, pieces
+            yield i, rows, marks, pieces
 
 
 _encoders: dict[str, Encoder] = {}
