@@ -356,6 +356,46 @@ def test_mixing_on_the_driver_and_on_frames_agree(spark):
     assert mixing.keep_mixed(rows, share=0.5).columns == rows.columns
 
 
+def test_targets_beyond_what_there_is_leave_the_rest_to_others(spark):
+    goal = mixing.feasible(np.array([0.4, 0.3, 0.3]), np.array([10.0, 500.0, 490.0]), 700.0)
+    assert np.allclose(goal, [10, 345, 345])
+    cells = spark.createDataFrame([("a", "x", 0, 10), ("b", "x", 0, 300), ("b", "y", 1, 200), ("c", "x", 1, 250), ("c", "y", 0, 240)], "source string, lang string, topic int, tokens bigint")
+    targets = {"source": {"a": 0.4, "b": 0.3, "c": 0.3}}
+    for driver_cells in (100, 1):
+        found = mixing.probabilities(cells, 0.7, targets, driver_cells=driver_cells)
+        reached = {(r.margin, r.value): r for r in mixing.attained(found, 0.7, targets).collect()}
+        assert reached["source", "a"].target == pytest.approx(280) and reached["source", "a"].expected == pytest.approx(10)
+        assert reached["source", "b"].expected == pytest.approx(345, rel=1e-3) and reached["source", "c"].expected == pytest.approx(345, rel=1e-3)
+        assert sum(r.expected for k, r in reached.items() if k[0] == "lang") == pytest.approx(700, rel=1e-3)
+
+
+def test_the_registered_mixture_comes_as_near_its_margins_as_they_allow(spark):
+    """Topics go with languages, so both margins can't be met at once: the last one raked is, and the others gain."""
+    out = mixing.mix(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    cells = out.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens"), F.first("probability").alias("p"))
+    reached = mixing.attained(cells).collect()
+    total = sum(r.available for r in reached if r.margin == "source")
+    for margin in mixing.MARGINS:
+        rows = [r for r in reached if r.margin == margin]
+        whole = sum(r.available**0.5 for r in rows)
+        goals = mixing.feasible(np.array([r.available**0.5 / whole for r in rows]), np.array([r.available for r in rows]), 0.7 * total)
+        assert sum(r.expected for r in rows) == pytest.approx(0.7 * total, rel=0.02)
+        off, flat = (np.abs(np.array([f(r) for r in rows]) - goals).sum() / goals.sum() for f in (lambda r: r.expected, lambda r: 0.7 * r.available))
+        assert off < (0.03 if margin == "topic" else flat)
+    kept, weighted = out.where("kept").agg(F.sum("tokens"), F.sum(F.col("tokens") * F.col("weight"))).first()
+    assert kept == pytest.approx(0.7 * total, rel=0.1) and weighted == pytest.approx(total, rel=0.1)
+
+
+def test_user_columns_may_have_any_name(spark):
+    rows, labels, _ = quality_corpus(spark, 80)
+    own = "row,found,probability,draw,topic,tokens,evidence,site_rate,score,host,path,__text,__score,__p,__h,of_host,of_source,k,n,total,set_key,first,kept,size,cid".split(",")
+    wide = rows.drop("score", "component_id").select("*", *(F.lit(k).alias(c) for k, c in enumerate(own)))
+    model = toxicity.fit(wide, labels)
+    for out in (toxicity.keep_civil(wide, model), quality.keep_good(wide, labels), mixing.keep_mixed(wide), neardup.keep_first(wide)):
+        assert out.columns == wide.columns and 0 < out.count() <= 80
+        assert out.select(*own).distinct().collect() == [tuple(range(len(own)))]
+
+
 def test_topics_are_fitted_on_all_documents(spark):
     draw = random.Random(21)
     pools = [[f"{letter}{k}" for k in range(30)] for letter in "abc"]
@@ -366,7 +406,7 @@ def test_topics_are_fitted_on_all_documents(spark):
         texts[k] = " ".join(f"rare{i}" for i in draw.choices(range(14), k=60))
     rows = docs(spark, texts)
     centres = mixing.fit_topics(rows, 4)
-    own = {r.doc_id: r["__topic"] for r in mixing.with_topics(rows, centres, ["doc_id"]).collect()}
+    own = {r.doc_id: r.topic for r in mixing.described(rows, centres, F.col("doc_id")).collect()}
     rare = {own[order[4500].id], own[order[5900].id]}
     assert len(rare) == 1 and list(own.values()).count(rare.pop()) == 2
     assert (mixing.fit_topics(rows.repartition(7), 4) == centres).all()

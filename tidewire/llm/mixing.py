@@ -26,6 +26,8 @@ _BUCKETS = 512
 _STEPS = float(1 << 24)
 _LOGS = np.log1p(np.arange(256)).astype(np.float32)
 MARGINS = ("source", "lang", "topic")
+#: Raking ends after so many rounds, or where no probability moves by more.
+ROUNDS, TOLERANCE = 200, 1e-9
 
 
 def word_counts(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,24 +136,33 @@ def fit_topics(docs: DataFrame, topics: int = 8, rounds: int = 12) -> np.ndarray
     return (c / _STEPS).astype(np.float32)
 
 
-def with_topics(docs: DataFrame, centres: np.ndarray, keep: Sequence[str]) -> DataFrame:
-    """The ``keep`` columns of ``docs``, __topic, __tokens (words, and one for the text itself) and __draw (0 to 1)."""
+def topic_and_tokens(centres: np.ndarray, text: Column) -> Column:
+    """(topic, tokens) of a text column: the nearest centre, and its words and one for the text itself."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = T.utf8(batch.column(batch.num_columns - 1))
-            topic, tokens = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    @F.arrow_udf("topic int, tokens bigint")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            data, offsets = T.utf8(texts)
+            topic, tokens = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
             for i, j in T.row_slices(offsets):
                 x, count = vectors(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                topic.append((x @ centres.T).argmax(axis=1))
+                topic.append((x @ centres.T).argmax(axis=1).astype(np.int32))
                 tokens.append(count + 1)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(topic), pa.int32()), pa.array(np.concatenate(tokens), pa.int64())], names=names)
+            yield pa.StructArray.from_arrays([pa.array(np.concatenate(topic)), pa.array(np.concatenate(tokens).astype(np.int64))], names=["topic", "tokens"])
+
+    return of(text.cast("string"))
+
+
+def _draw() -> Column:
+    """A number in [0, 1) that follows from a document alone."""
+    return F.xxhash64("doc_id", "text", F.lit(29)).bitwiseAND(F.lit((1 << 52) - 1)) / float(1 << 52)
+
 
-    draw = (F.xxhash64("doc_id", "text", F.lit(29)).bitwiseAND(F.lit((1 << 52) - 1)) / float(1 << 52)).alias("__draw")
-    rows = docs.select(*keep, draw, F.col("text").cast("string").alias("__text"))
-    fields = rows.schema.fields[:-1]
-    names = [*(f.name for f in fields), "__topic", "__tokens"]
-    return rows.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "__topic int", "__tokens bigint"]))
+def described(docs: DataFrame, centres: np.ndarray, *more: Column) -> DataFrame:
+    """source, lang, topic, tokens, draw of ``docs`` (doc_id, text, source, lang), and ``more`` columns."""
+    seen = docs.select(*more, F.col("source").alias("source"), F.col("lang").alias("lang"), _draw().alias("draw"), topic_and_tokens(centres, F.col("text")).alias("found"))
+    kept = [c for c in seen.columns if c != "found"]
+    return seen.select(*kept, "found.topic", "found.tokens")
 
 
 def tempered(totals: dict, power: float = 0.5) -> dict:
@@ -161,8 +172,43 @@ def tempered(totals: dict, power: float = 0.5) -> dict:
     return {k: v / whole for k, v in raised.items()}
 
 
-def rake(tokens: np.ndarray, codes: Sequence[np.ndarray], targets: Sequence[np.ndarray], budget: float, rounds: int = 200, tolerance: float = 1e-9) -> np.ndarray:
-    """Each cell's probability: margins of tokens * p meet targets * budget as far as no p passes 1."""
+def _raised(budget: float, level: float, full: float, open_part: float) -> float:
+    """The next level: what the full values leave of the budget, by the part of the others."""
+    return max(level, (budget - full) / open_part) if open_part > 0 else level
+
+
+def feasible(parts: np.ndarray, available: np.ndarray, budget: float) -> np.ndarray:
+    """Token goals of one margin: parts of the budget, but none above what is available; the rest goes to the others.
+
+    That is min(level * part, available) with the level at which the goals sum up to the budget, or everything that
+    values with a part have.
+    """
+    level = budget
+    while True:
+        full = level * parts >= available
+        after = _raised(budget, level, float(available[full & (parts > 0)].sum()), float(parts[~full].sum()))
+        if after <= level * (1 + 1e-12):
+            return np.minimum(level * parts, available)
+        level = after
+
+
+def _feasible_frame(goals: DataFrame, budget: float) -> DataFrame:
+    """:func:`feasible` for (key, part, available): ``share`` is the goal by the budget."""
+    level = budget
+    while True:
+        full = F.col("part") * level >= F.col("available")
+        sums = goals.agg(F.sum(F.when(full & (F.col("part") > 0), F.col("available"))).alias("full"), F.sum(F.when(~full, F.col("part"))).alias("rest")).first()
+        after = _raised(budget, level, float(sums.full or 0.0), float(sums.rest or 0.0))
+        if after <= level * (1 + 1e-12):
+            return goals.select("key", (F.least(F.col("part") * level, F.col("available")) / max(budget, 1e-12)).alias("share"))
+        level = after
+
+
+def rake(tokens: np.ndarray, codes: Sequence[np.ndarray], targets: Sequence[np.ndarray], budget: float, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> np.ndarray:
+    """Each cell's probability: margins of tokens * p meet targets * budget as far as no p passes 1.
+
+    The reference of :func:`probabilities` for one machine.
+    """
     p = np.full(len(tokens), min(1.0, budget / max(tokens.sum(), 1e-12)))
     factors = [np.ones(len(t)) for t in targets]
     base = p.copy()
@@ -181,7 +227,7 @@ def rake(tokens: np.ndarray, codes: Sequence[np.ndarray], targets: Sequence[np.n
     return p
 
 
-def _rake_frames(cells: DataFrame, targets: Sequence[DataFrame], budget: float, rounds: int = 200, tolerance: float = 1e-9) -> DataFrame:
+def _rake_frames(cells: DataFrame, targets: Sequence[DataFrame], budget: float, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
     """:func:`rake` for more cells than fit the driver: factors and cells stay DataFrames."""
     base = F.least(F.lit(1.0), F.lit(budget) / F.greatest(F.lit(cells.agg(F.sum("tokens")).first()[0]), F.lit(1e-12)))
     state = cells.withColumns({"base": base, "p": base, **{f"f_{name}": F.lit(1.0) for name in MARGINS}})
@@ -206,7 +252,9 @@ def probabilities(cells: DataFrame, share: float = 0.7, targets: dict[str, dict]
     """(source, lang, topic, tokens, p) of cells (source, lang, topic, tokens).
 
     ``share`` of all tokens is the budget.  ``targets`` maps a margin to its shares by value; margins without targets
-    are tempered by ``power``; values without a target get none of the budget.
+    are tempered by ``power``; values without a target get none of the budget.  A value that has fewer tokens than its
+    target is wanted whole, and the others share what it leaves (:func:`feasible`); :func:`attained` tells the sums
+    that raking reached.  More than ``driver_cells`` cells are raked by DataFrames, by the same rule.
     """
     spark = cells.sparkSession
     cells = checked(cells)
@@ -222,27 +270,31 @@ def probabilities(cells: DataFrame, share: float = 0.7, targets: dict[str, dict]
             sums = np.bincount(code, tokens, minlength=len(values)) if len(rows) else np.zeros(0)
             wanted = (targets or {}).get(margin) or tempered(dict(zip(values, sums.tolist(), strict=True)), power)
             codes.append(code)
-            goals.append(np.array([wanted.get(v, 0.0) for v in values]))
+            goals.append(feasible(np.array([wanted.get(v, 0.0) for v in values]), sums, share * total) / max(share * total, 1e-12))
         p = rake(tokens, codes, goals, share * total)
         kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cells.select(*names).schema.fields)
         return spark.createDataFrame([(*r, float(x)) for r, x in zip(rows, p.tolist(), strict=True)], f"{kinds}, p double")
     goals = []
     for margin in MARGINS:
+        sums = cells.groupBy(F.col(margin).alias("key")).agg(F.sum("tokens").cast("double").alias("available"))
         if targets and margin in targets:
-            goals.append(spark.createDataFrame(list(targets[margin].items()), f"key {dict(cells.dtypes)[margin]}, share double"))
+            given = spark.createDataFrame(list(targets[margin].items()), f"goal {dict(cells.dtypes)[margin]}, part double")
+            sums = sums.join(given, F.col("key").eqNullSafe(F.col("goal")), "left").select("key", "available", F.coalesce("part", F.lit(0.0)).alias("part"))
         else:
-            sums = cells.groupBy(F.col(margin).alias("key")).agg((F.sum("tokens") ** power).alias("share"))
-            goals.append(checked(sums.withColumn("share", F.col("share") / F.lit(sums.agg(F.sum("share")).first()[0]))))
+            whole = sums.agg(F.sum(F.col("available") ** power)).first()[0] or 1.0
+            sums = sums.withColumn("part", F.col("available") ** power / whole)
+        goals.append(_feasible_frame(checked(sums), share * total))
     return _rake_frames(cells.select(*names), goals, share * total)
 
 
-def _with_probability(seen: DataFrame, cells: DataFrame, source: Column, lang: Column) -> DataFrame:
-    cells = small(cells.select(F.col("source").alias("__s"), F.col("lang").alias("__l"), F.col("topic").alias("__t"), "p"))
-    return seen.join(cells, source.eqNullSafe(F.col("__s")) & lang.eqNullSafe(F.col("__l")) & (F.col("__topic") == F.col("__t"))).drop("__s", "__l", "__t").withColumnRenamed("p", "__p")
+def _with_probability(seen: DataFrame, cells: DataFrame) -> DataFrame:
+    cells = small(cells.select(F.col("source").alias("of_source"), F.col("lang").alias("of_lang"), F.col("topic").alias("of_topic"), F.col("p").alias("probability")))
+    same = F.col("source").eqNullSafe(F.col("of_source")) & F.col("lang").eqNullSafe(F.col("of_lang")) & (F.col("topic") == F.col("of_topic"))
+    return seen.join(cells, same).drop("of_source", "of_lang", "of_topic")
 
 
 def _cells(seen: DataFrame) -> DataFrame:
-    return seen.groupBy("source", "lang", F.col("__topic").alias("topic")).agg(F.sum("__tokens").alias("tokens"))
+    return seen.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens"))
 
 
 def mix(docs: DataFrame, share: float = 0.7, targets: dict[str, dict] | None = None, power: float = 0.5, topics: int = 8) -> DataFrame:
@@ -250,19 +302,42 @@ def mix(docs: DataFrame, share: float = 0.7, targets: dict[str, dict] | None = N
 
     Null sources and languages are values of their own; null and empty texts have one token and the first topic.
     Repeated rows are kept or dropped together.  ``weight`` is 1 / probability, for estimates from the kept rows.
-    Other columns are ignored; an empty table gives an empty table.
+    Other columns are ignored; an empty table gives an empty table.  :func:`attained` tells which targets were met.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "source", "lang")
-    seen = stored(with_topics(rows, fit_topics(rows, topics), ["doc_id", "source", "lang"]), "topics")
-    out = _with_probability(seen, probabilities(_cells(seen), share, targets, power), F.col("source"), F.col("lang"))
-    return out.select(
-        "doc_id", "source", "lang", F.col("__topic").alias("topic"), F.col("__tokens").alias("tokens"), F.col("__p").alias("probability"), F.when(F.col("__p") > 0, 1 / F.col("__p")).alias("weight"), (F.col("__draw") < F.col("__p")).alias("kept")
-    )
+    seen = stored(described(rows, fit_topics(rows, topics), F.col("doc_id")), "topics")
+    out = _with_probability(seen, probabilities(_cells(seen), share, targets, power))
+    weight = F.when(F.col("probability") > 0, 1 / F.col("probability"))
+    return out.select("doc_id", "source", "lang", "topic", "tokens", "probability", weight.alias("weight"), (F.col("draw") < F.col("probability")).alias("kept"))
+
+
+def attained(cells: DataFrame, share: float = 0.7, targets: dict[str, dict] | None = None, power: float = 0.5) -> DataFrame:
+    """(margin, value, available, target, expected) of cells with p, tokens each: what raking reached.
+
+    ``target`` is the plain one, before values that can't meet it leave the rest to others.
+    """
+    total = F.lit(float(cells.agg(F.sum("tokens")).first()[0] or 0))
+    found = None
+    for margin in MARGINS:
+        sums = cells.groupBy(F.col(margin).cast("string").alias("value")).agg(F.sum("tokens").cast("double").alias("available"), F.sum(F.col("tokens") * F.col("p")).alias("expected"))
+        if targets and margin in targets:
+            goals = cells.sparkSession.createDataFrame([(None if k is None else str(k), float(v)) for k, v in targets[margin].items()], "goal string, part double")
+            sums = sums.join(goals, F.col("value").eqNullSafe(F.col("goal")), "left").withColumn("part", F.coalesce("part", F.lit(0.0)))
+        else:
+            whole = sums.agg(F.sum(F.col("available") ** power)).first()[0] or 1.0
+            sums = sums.withColumn("part", F.col("available") ** power / whole)
+        one = sums.select(F.lit(margin).alias("margin"), "value", "available", (F.col("part") * share * total).alias("target"), "expected")
+        found = one if found is None else found.unionByName(one)
+    return found
 
 
 def keep_mixed(docs: DataFrame, share: float = 0.7, targets: dict[str, dict] | None = None, power: float = 0.5, topics: int = 8) -> DataFrame:
-    """The rows of ``docs`` that :func:`mix` keeps, with all their columns."""
+    """The rows of ``docs`` that :func:`mix` keeps, with all their columns, whatever their names.
+
+    Nulls, empty texts and empty tables are as there; equal rows (ties) are kept or dropped together.
+    """
     centres = fit_topics(docs, topics)
-    cells = _cells(with_topics(docs, centres, ["source", "lang"]))
-    seen = with_topics(docs, centres, docs.columns)
-    return _with_probability(seen, probabilities(cells, share, targets, power), F.col("source"), F.col("lang")).where(F.col("__draw") < F.col("__p")).select(*docs.columns)
+    cells = _cells(described(docs, centres))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")  # user columns can't clash with those made here
+    seen = described(docs, centres, row)
+    return _with_probability(seen, probabilities(cells, share, targets, power)).where(F.col("draw") < F.col("probability")).select("row.*")

@@ -130,18 +130,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     return train(np.array([x for x, _ in rows]).reshape(-1, FEATURES), [g for _, g in rows])
 
 
-def with_evidence(rows: DataFrame, model: Classifier) -> DataFrame:
-    """``rows`` with __evidence, the log-likelihood ratio for good quality, in place of the last column, the text."""
+def evidence(model: Classifier, text: Column) -> Column:
+    """The log-likelihood ratio of a text column for good quality; only the text goes to Python, only numbers return."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = T.utf8(batch.column(batch.num_columns - 1))
+    @F.arrow_udf("double")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            data, offsets = T.utf8(texts)
             found = [model.evidence(features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])) for i, j in T.row_slices(offsets)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate([*found, np.zeros(0)]))], names=names)
+            yield pa.array(np.concatenate([*found, np.zeros(0)]))
 
-    fields = rows.schema.fields[:-1]
-    names = [*(f.name for f in fields), "__evidence"]
-    return rows.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "__evidence double"]))
+    return of(text.cast("string"))
 
 
 def _strength(mean: float, between: float | None, within: float) -> float:
@@ -162,8 +161,8 @@ def site_rates(soft: DataFrame) -> DataFrame:
     mean = min(max((whole.total or 0.0) / n if n else 0.5, 1e-3), 1 - 1e-3)
     spread = hosts.where("host_n > 1").agg(F.sum(F.col("host_n") * (F.col("host_total") / F.col("host_n") - mean) ** 2) / F.sum("host_n")).first()[0]
     k_host = _strength(mean, spread, mean * (1 - mean))
-    hosts = hosts.select(F.col("host").alias("__site"), ((k_host * mean + F.col("host_total")) / (k_host + F.col("host_n"))).alias("rate_host"))
-    joined = paths.join(small(hosts), F.col("host").eqNullSafe(F.col("__site"))).select("host", "path", "n", "total", "rate_host")
+    hosts = hosts.select(F.col("host").alias("site"), ((k_host * mean + F.col("host_total")) / (k_host + F.col("host_n"))).alias("rate_host"))
+    joined = paths.join(small(hosts), F.col("host").eqNullSafe(F.col("site"))).select("host", "path", "n", "total", "rate_host")
     off = joined.where("n > 1").agg(F.sum(F.col("n") * (F.col("total") / F.col("n") - F.col("rate_host")) ** 2) / F.sum("n")).first()[0]
     return joined.withColumn("k", F.lit(_strength(mean, off, mean * (1 - mean))))
 
@@ -174,25 +173,21 @@ def _logit(p: Column) -> Column:
 
 
 def posterior(seen: DataFrame, rates: DataFrame, prior: float) -> DataFrame:
-    """``seen`` (with __host, __path, __evidence) with site_rate and score, the posterior of good quality."""
+    """``seen`` (host, path, evidence and others) with site_rate and score, the posterior of good quality."""
     rate = (F.col("k") * F.col("rate_host") + F.col("total") - _soft(prior)) / (F.col("k") + F.col("n") - 1)
-    rates = rates.withColumnsRenamed({"host": "__h", "path": "__p"})
-    joined = seen.join(rates, F.col("__host").eqNullSafe(F.col("__h")) & F.col("__path").eqNullSafe(F.col("__p")), "left")
-    joined = joined.withColumn("__rate", rate).withColumn("__score", 1 / (1 + F.exp(-(F.col("__evidence") + _logit(F.col("__rate"))))))
-    return joined.drop("__h", "__p", "n", "total", "rate_host", "k")
+    rates = rates.withColumnsRenamed({"host": "of_host", "path": "of_path"})
+    joined = seen.join(rates, F.col("host").eqNullSafe(F.col("of_host")) & F.col("path").eqNullSafe(F.col("of_path")), "left")
+    joined = joined.withColumn("site_rate", rate).withColumn("score", 1 / (1 + F.exp(-(F.col("evidence") + _logit(F.col("site_rate"))))))
+    return joined.drop("of_host", "of_path", "n", "total", "rate_host", "k")
 
 
 def _soft(prior: float) -> Column:
     """A document's soft label: its evidence on top of the base rate."""
-    return 1 / (1 + F.exp(-(F.col("__evidence") + math.log(prior / (1 - prior)))))
+    return 1 / (1 + F.exp(-(F.col("evidence") + math.log(prior / (1 - prior)))))
 
 
 def _rates(seen: DataFrame, prior: float) -> DataFrame:
-    return small(checked(site_rates(seen.select(F.col("__host").alias("host"), F.col("__path").alias("path"), _soft(prior).alias("p")))))
-
-
-def _sited(docs: DataFrame, host: str, path: str, keep: Sequence[str]) -> DataFrame:
-    return docs.select(*keep, F.col(host).alias("__host"), F.col(path).alias("__path"), F.col("text").cast("string").alias("__text"))
+    return small(checked(site_rates(seen.select("host", "path", _soft(prior).alias("p")))))
 
 
 def quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", threshold: float = 0.5, prior: float = 0.8, model: Classifier | None = None) -> DataFrame:
@@ -204,17 +199,19 @@ def quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     Without labels of both kinds the evidence is 0 and every document has the base rate.
     """
     model = model or fit(docs, labels)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.col(host).alias("__h"), F.col(path).alias("__p"))
-    seen = stored(with_evidence(_sited(rows, "__h", "__p", ["doc_id"]), model), "evidence")
-    out = posterior(seen, _rates(seen, prior), prior)
-    return out.select(
-        "doc_id", F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__evidence").alias("evidence"), F.col("__rate").alias("site_rate"), F.col("__score").alias("score"), (F.col("__score") >= threshold).alias("kept")
-    )
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(host).alias("host"), F.col(path).alias("path"), evidence(model, F.col("text")).alias("evidence"))
+    seen = stored(rows, "evidence")
+    return posterior(seen, _rates(seen, prior), prior).select("doc_id", "host", "path", "evidence", "site_rate", "score", (F.col("score") >= threshold).alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", threshold: float = 0.5, prior: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that :func:`quality` keeps, with all their columns."""
+    """The rows of ``docs`` that :func:`quality` keeps, with all their columns, whatever their names.
+
+    Nulls, empty texts, repeated rows and empty tables are as there; equal rows are kept or dropped together.
+    """
     model = fit(docs, labels)
-    rates = _rates(with_evidence(_sited(docs, host, path, []), model), prior)
-    seen = with_evidence(_sited(docs, host, path, docs.columns), model)
-    return posterior(seen, rates, prior).where(F.col("__score") >= threshold).select(*docs.columns)
+    fields = [*docs.columns]
+    row = F.struct(*(F.col(f"`{c}`") for c in fields)).alias("row")  # user columns can't clash with those made here
+    seen = docs.select(row, F.col(host).alias("host"), F.col(path).alias("path"), evidence(model, F.col("text")).alias("evidence"))
+    rates = _rates(seen.drop("row"), prior)
+    return posterior(seen, rates, prior).where(F.col("score") >= threshold).select("row.*")
