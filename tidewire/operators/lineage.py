@@ -27,17 +27,49 @@ def checked(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: A key is spread by :func:`lookup` if it has more than a thousandth of the rows, and more rows than this.
+SPREAD_ROWS = 100
+
+
+def heavy_keys(rows: DataFrame, key: str) -> DataFrame | None:
+    """The values of ``key`` that more than a thousandth of ``rows`` have, so at most 1000; None if there are none.
+
+    ``rows`` should be stored or checkpointed: it is read twice.
+    """
+    n = rows.count()
+    level = max(SPREAD_ROWS, n // 1000)
+    found = rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > level).select(key).limit(1 + n // level).collect()
+    return rows.sparkSession.createDataFrame(found, rows.select(key).schema) if found else None
+
+
+def lookup(rows: DataFrame, table: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``table``, which has one row of a few numbers for each ``key``.
+
+    Rows of heavy keys don't meet in one task: they stay where they are and the table's rows of these keys, at most
+    1000, are broadcast.
+    """
+    heavy = heavy_keys(rows, key)
+    if heavy is None:
+        return rows.join(table, key, how)
+    few = F.broadcast(heavy)
+    spread = rows.join(few, key, "left_semi").join(F.broadcast(table.join(few, key, "left_semi")), key, how)
+    return spread.unionByName(rows.join(few, key, "left_anti").join(table, key, how))
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component): the smallest node reachable, for every node of the edges (a, b)."""
+    """(node, component): the smallest node reachable, for every node of the edges (a, b).
+
+    Min-label propagation with pointer jumping; neither a node of many edges nor a large component is one task's.
+    """
     ends = edges.select(F.col("a").alias("x"), F.col("b").alias("y")).where("x IS NOT NULL AND y IS NOT NULL")
     both = checked(ends.unionByName(ends.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
     labels = both.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("node"), F.least("x", "m").alias("label"))
     labels = checked(labels)
     while True:
-        near = both.join(labels.select(F.col("node").alias("y"), F.col("label").alias("other")), "y").groupBy("x").agg(F.min("other").alias("other"))
-        met = labels.join(near.withColumnRenamed("x", "node"), "node").select("node", F.col("label").alias("was"), F.least("label", "other").alias("label"))
+        near = lookup(both, labels.select(F.col("node").alias("y"), F.col("label").alias("other")), "y").groupBy("x").agg(F.min("other").alias("other"))
+        met = checked(labels.join(near.withColumnRenamed("x", "node"), "node").select("node", F.col("label").alias("was"), F.least("label", "other").alias("label")))
         jump = met.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        after = checked(met.join(jump, "label", "left").select("node", "was", F.coalesce(F.least("label", "next"), "label").alias("label")))
+        after = checked(lookup(met, jump, "label", "left").select("node", "was", F.coalesce(F.least("label", "next"), "label").alias("label")))
         labels = after.select("node", "label")
         if after.where("label <> was").isEmpty():
             return labels.withColumnRenamed("label", "component")
