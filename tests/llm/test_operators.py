@@ -82,6 +82,29 @@ def test_near_duplicates_equal_brute_force(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in out)
 
 
+def test_a_second_cluster_of_a_group_is_a_star_too(spark, monkeypatch):
+    draw = random.Random(18)
+    first = sentences(19, 1, 200)[0]
+    words = first.split()
+    for k in (20, 60, 100, 140, 180):
+        words[k] = "other"
+    second = " ".join(words)  # similarity 0.77: in one group by the bands, but not linked
+    texts = [edited(draw, t, 1) for t in (first, second) for _ in range(40)]
+    met, real = [], neardup._confirmed
+    monkeypatch.setattr(neardup, "_confirmed", lambda pairs, num, den: (met.append(pairs.count()), real(pairs, num, den))[1])
+    out = neardup.near_duplicates(docs(spark, texts)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute_components(list(enumerate(texts)))
+    assert len({r.component_id for r in out}) == 2 and sum(met) <= neardup.PAIRS_EACH * len(texts)
+
+
+def test_kept_rows_go_by_text_not_by_id_alone(spark):
+    a, b, c = sentences(23, 3)
+    near = a + " tail"
+    rows = docs(spark, [a, b, near, near, c, c, None], [3, 3, None, 9, None, None, 3])
+    kept = sorted(((r.doc_id, r.text) for r in neardup.keep_first(rows).collect()), key=str)
+    assert kept == sorted([(3, a), (3, b), (None, c), (3, None)], key=str)
+
+
 def test_near_duplicates_of_odd_rows(spark):
     text = sentences(3, 1)[0]
     rows = docs(spark, [text, text, text, "", None], [5, 5, None, 7, None])

@@ -48,7 +48,7 @@ def test_pipeline_stages(spark, tmp_path):
         assert out.columns == docs.columns
         out.write.parquet(str(tmp_path / name))
         if name == "near_dedup":
-            want = {r.doc_id for r in neardup.near_duplicates(docs).where("kept").collect()}
+            want = {r.doc_id for r in neardup.near_duplicates(docs, 80).where("kept").collect()}
         docs = spark.read.parquet(str(tmp_path / name))
         left = {r.doc_id for r in docs.select("doc_id").collect()}
         assert left <= ids and left

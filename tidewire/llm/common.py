@@ -4,29 +4,48 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.lineage import checked, components, shared_dir
+from ..operators.lineage import checked, components, heavy_keys, lookup, shared_dir
 
-__all__ = ["checked", "components", "bound_batches", "held_out", "shared_dir", "small", "stored"]
+__all__ = ["checked", "components", "bound_batches", "heavy_keys", "held_out", "lookup", "only", "shared_dir", "small", "stored"]
 
 #: A side is broadcast only if it was counted and has at most so many rows of a few dozen bytes each.
 BROADCAST_ROWS = 200_000
 
 
-#: Rows of an Arrow batch; texts of a few kilobytes make that a few megabytes on either side of the pipe.
-BATCH_ROWS = 1024
+#: Rows and bytes of an Arrow batch: what a Python worker gets at a time, or one longer document.
+BATCH_ROWS, BATCH_BYTES = 1024, 4 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Lowers the session's Arrow batches to BATCH_ROWS rows, so that a Python worker holds little text at a time."""
+    """Lowers the session's Arrow batches to BATCH_ROWS rows and BATCH_BYTES bytes.
+
+    Spark reads both settings when a query runs, so they stay with the session.  No result depends on them; other
+    queries of the session get smaller batches too.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+_held: dict[tuple, object] = {}
+
+
+def only(key: tuple, make: Callable[[], object]):
+    """The worker's object of that key; a worker holds one at a time, so a stage's tables don't outlive the stage."""
+    if key not in _held:
+        _held.clear()
+        pa.default_memory_pool().release_unused()
+        _held[key] = make()
+    return _held[key]
+
+
 def _forget(spark: SparkSession, path: str) -> None:
     try:
         place = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -13,7 +13,10 @@
    elements, c say, so they meet in the first |D_x| - c + 1 elements of any fixed order: the rarest first in large
    groups.  An equi-join on those finds them all without comparing all pairs of a group; sizes and positions are
    checked in the join and the exact overlap after it.  No bucket or group is capped.
-5. The confirmed links' components are the result.
+5. What isn't linked to its hub goes round again, grouped by the band keys that are still shared, with hubs of its own:
+   a second cluster in a group is a star of its own, not pairs of all its members.  Where the join of 4 would give few
+   pairs for what is left, it is done at once and ends the rounds.
+6. The confirmed links' components are the result.
 
 With 25 bands of 5 coordinates a pair of similarity 0.85 shares a band with a probability of 1 - 4e-7.
 """
@@ -25,17 +28,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import checked, components, small, stored
+from .common import checked, components, heavy_keys, lookup, small, stored
 from .sketch import band_keys, fast_sketch
 
 BANDS, ROWS = 25, 5
 #: Groups of so many classes count how often their elements occur, to order them; smaller ones are all rare.
 ORDERED = 16
+#: Tasks that the members of a large group are dealt to, each with a copy of the hub's set.
+SPREAD = 32
+#: What isn't linked to its hub is joined with itself if that gives at most so many pairs for each.
+PAIRS_EACH = 4
+#: After so many hubs in turn it is joined with itself however many pairs that gives.
+MOST_ROUNDS = 8
 
 
 def _sets(column: pa.Array, width: int) -> Iterator[list[np.ndarray]]:
@@ -166,22 +175,36 @@ def _confirmed(pairs: DataFrame, num: int, den: int) -> DataFrame:
     return pairs.select("a", "b", "n", "m", "ra", "rb").mapInArrow(run, "a binary, b binary")
 
 
+def _with_hub(held: DataFrame, hub_sets: DataFrame) -> DataFrame:
+    """``held`` (grp, ...) with its group's hub, a row each.  Members of large groups are dealt to SPREAD tasks."""
+    heavy = heavy_keys(held.select("grp"), "grp")
+    if heavy is None:
+        return held.join(hub_sets, "grp")
+    few = F.broadcast(heavy)
+    part = F.pmod(F.xxhash64("set_key"), F.lit(SPREAD)).cast("int")
+    members = held.join(few, "grp", "left_semi").withColumn("part", part)
+    copies = hub_sets.join(few, "grp", "left_semi").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    return members.join(copies, ["grp", "part"]).drop("part").unionByName(held.join(few, "grp", "left_anti").join(hub_sets, "grp"))
+
+
+def _shared_buckets(rows: DataFrame) -> DataFrame:
+    """(bucket, set_key, size, first) of the rows (bucket, set_key) whose bucket has more than one."""
+    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("set_key").alias("first")).where("size > 1")
+    return stored(lookup(rows, shared, "bucket"), "buckets")
+
+
+def _groups(members: DataFrame) -> DataFrame:
+    """(node, grp, meets) of the classes in shared buckets."""
+    groups = components(members.select(F.col("first").alias("a"), F.col("set_key").alias("b")))
+    meets = members.groupBy(F.col("set_key").alias("node")).agg(F.sum("size").alias("meets"))
+    return checked(groups.withColumnRenamed("component", "grp").join(meets, "node"))
+
+
 def links(classes: DataFrame, elements_of, num: int, den: int) -> DataFrame:
     """(a, b): confirmed links between classes (set_key, bands), enough to connect all that are connected.
 
     ``elements_of`` gives (set_key, elements) for a table of set keys.
     """
-    rows = classes.select("set_key", F.explode("bands").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("set_key").alias("first")).where("size > 1")
-    members = stored(rows.join(shared, "bucket"), "buckets")
-    groups = components(members.select(F.col("first").alias("a"), F.col("set_key").alias("b")))
-    meets = members.groupBy(F.col("set_key").alias("node")).agg(F.sum("size").alias("meets"))
-    groups = checked(groups.withColumnRenamed("component", "grp").join(meets, "node"))
-    hubs = groups.groupBy("grp").agg(F.max(F.struct("meets", "node")).getField("node").alias("hub"), F.count(F.lit(1)).alias("size"))
-    held = stored(groups.select("grp", F.col("node").alias("set_key")).join(elements_of(groups.select(F.col("node").alias("set_key"))), "set_key"), "sets")
-    hub_sets = hubs.join(held.select(F.col("set_key").alias("hub"), F.col("elements").alias("hub_elements")), "hub")
-    rest = stored(_differences(held.withColumnRenamed("set_key", "node").join(hub_sets, "grp"), num, den), "differences")
-    index = stored(_indexed(rest), "index")
     tau, ratio = (den - num) / (den + num), num / den
     # A pair's first common element lies early enough for as many to follow as a link needs.
     needed = (F.col("d") + F.col("e") - tau * (F.col("n") + F.col("m"))) / 2
@@ -191,13 +214,35 @@ def links(classes: DataFrame, elements_of, num: int, den: int) -> DataFrame:
     def side(rows: DataFrame, node: str, n: str, d: str, at: str) -> DataFrame:
         return rows.select("grp", "element", F.col("node").alias(node), F.col("n").alias(n), F.col("d").alias(d), F.col("at").alias(at))
 
-    alone = index.where("NOT linked AND at < lone")
-    found = side(alone, "a", "n", "d", "i").join(side(alone, "b", "m", "e", "j"), ["grp", "element"]).where(close & (F.col("a") < F.col("b")))
-    mixed = side(index.where("NOT linked AND at < most"), "a", "n", "d", "i").join(side(index.where("linked AND at < most"), "b", "m", "e", "j"), ["grp", "element"]).where(close)
-    pairs = found.unionByName(mixed).select("a", "b", "n", "m").distinct()
-    texts = rest.select("node", "rest")
-    pairs = pairs.join(texts.withColumnsRenamed({"node": "a", "rest": "ra"}), "a").join(texts.withColumnsRenamed({"node": "b", "rest": "rb"}), "b")
-    return rest.where("linked AND hub IS NOT NULL").select(F.col("node").alias("a"), F.col("hub").alias("b")).unionByName(_confirmed(pairs, num, den))
+    members = _shared_buckets(stored(classes.select("set_key", F.explode("bands").alias("bucket")), "bands"))
+    groups = _groups(members)
+    sets = stored(elements_of(groups.select(F.col("node").alias("set_key"))), "sets")
+    found = None
+    for turn in range(1, MOST_ROUNDS + 1):
+        hubs = groups.groupBy("grp").agg(F.max(F.struct("meets", "node")).getField("node").alias("hub"), F.count(F.lit(1)).alias("size"))
+        held = stored(groups.select("grp", F.col("node").alias("set_key")).join(sets, "set_key"), "held")
+        hub_sets = stored(hubs.join(held.select(F.col("set_key").alias("hub"), F.col("elements").alias("hub_elements")), "hub"), "hubs")
+        rest = stored(_differences(_with_hub(held, hub_sets).withColumnRenamed("set_key", "node"), num, den), "differences")
+        index = stored(_indexed(rest), "index")
+        lone, linked = index.where("NOT linked AND at < most"), index.where("linked AND at < most")
+        pairs = side(lone, "a", "n", "d", "i").join(side(linked, "b", "m", "e", "j"), ["grp", "element"]).where(close)
+        alone = index.where("NOT linked AND at < lone")
+        left = rest.where("NOT linked").count()
+        meet = alone.groupBy("grp", "element").agg(F.count(F.lit(1)).cast("double").alias("c")).agg(F.sum(F.col("c") * (F.col("c") - 1) / 2)).first()[0] or 0.0
+        last = meet <= PAIRS_EACH * left or turn == MOST_ROUNDS
+        if last and meet:
+            both = side(alone, "a", "n", "d", "i").join(side(alone, "b", "m", "e", "j"), ["grp", "element"]).where(close & (F.col("a") < F.col("b")))
+            pairs = pairs.unionByName(both)
+        pairs = pairs.select("a", "b", "n", "m").distinct()
+        texts = rest.select("node", "rest")
+        pairs = pairs.join(texts.withColumnsRenamed({"node": "a", "rest": "ra"}), "a").join(texts.withColumnsRenamed({"node": "b", "rest": "rb"}), "b")
+        own = rest.where("linked AND hub IS NOT NULL").select(F.col("node").alias("a"), F.col("hub").alias("b")).unionByName(_confirmed(pairs, num, den))
+        found = own if found is None else found.unionByName(own)
+        if last:
+            break
+        members = _shared_buckets(stored(members.select("set_key", "bucket").join(rest.where("NOT linked").select(F.col("node").alias("set_key")), "set_key", "left_semi"), "bands"))
+        groups = _groups(members)
+    return found
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -211,39 +256,77 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, bands: i
     ignored; an empty table gives an empty table.
     """
     made = stored(sketches(docs, width, bands, rows), "sketches")
-    classes = stored(
-        made.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_copies"), F.first("bands").alias("bands")),
-        "classes",
-    )
+    classes = _resolved(docs, made, percent, width)
+    rows_ = lookup(made.select("doc_id", "n_shingles", "set_key"), classes.select("set_key", "cid", "n_copies"), "set_key", "left")
+    component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("cid"))
+    kept = F.coalesce(F.col("doc_id") == component, component.isNull(), F.lit(False))
+    return rows_.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), F.coalesce("n_copies", F.lit(1).cast("bigint")).alias("n_copies"))
+
+
+def _resolved(docs: DataFrame, made: DataFrame, percent: int, width: int) -> DataFrame:
+    """(set_key, first, n_copies, cid, head) of the classes of the sketches ``made`` of ``docs``.
+
+    ``first`` is the smallest doc_id of the class, ``cid`` is the smallest of the component,
+    null if no row of it has one; ``head`` tells the one class of the component that stands for it.
+    """
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id")).getField("doc_id").alias("first")
+    classes = made.where("set_key IS NOT NULL").groupBy("set_key").agg(one, F.count(F.lit(1)).alias("n_copies"), F.first("bands").alias("bands"))
+    classes = stored(classes, "classes")
 
     def elements_of(keys: DataFrame) -> DataFrame:
         # The texts of one document of each class; rows without a doc_id are read too, they have no other handle.
         wanted = classes.select("set_key", "first").join(keys, "set_key")
-        ids = small(wanted.where("first IS NOT NULL").select(F.col("first").alias("doc_id")).distinct())
+        ids = small(stored(wanted.where("first IS NOT NULL").select(F.col("first").alias("doc_id")).distinct(), "ids"))
         texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
         texts = texts.join(ids, "doc_id", "left_semi").unionByName(texts.where("doc_id IS NULL"))
-        return shingle_sets(texts.select("doc_id", "text"), width).groupBy("set_key").agg(F.first("elements").alias("elements"))
+        sets = shingle_sets(texts.select("doc_id", "text"), width)
+        return sets.groupBy("set_key").agg(F.first("elements").alias("elements")).join(keys, "set_key", "left_semi")
 
     joined = components(links(classes, elements_of, percent, 100))
-    smallest = joined.join(classes.select(F.col("set_key").alias("node"), "first"), "node").groupBy("component").agg(F.min("first").alias("component_id"))
-    of_class = small(checked(joined.join(smallest, "component").select(F.col("node").alias("set_key"), "component_id")))
-    classes = classes.select("set_key", "first", "n_copies").join(of_class, "set_key", "left").select("set_key", F.coalesce("component_id", "first").alias("cid"), "n_copies")
-    rows_ = made.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
-    component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("cid"))
-    return rows_.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull(), F.lit(False)).alias("kept"), F.coalesce("n_copies", F.lit(1).cast("bigint")).alias("n_copies")
-    )
+    firsts = joined.join(classes.select(F.col("set_key").alias("node"), "first"), "node")
+    # Nulls last; of equal ids the smaller set_key.
+    best = firsts.groupBy("component").agg(F.min(F.struct(F.col("first").isNull().alias("late"), "first", "node")).alias("best"))
+    best = best.select("component", F.col("best.first").alias("cid"), F.col("best.node").alias("head"))
+    of_class = small(checked(lookup(checked(joined), best, "component").select(F.col("node").alias("set_key"), "cid", "head")))
+    out = classes.select("set_key", "first", "n_copies").join(of_class, "set_key", "left")
+    own = F.col("head").isNull()
+    out = out.select("set_key", "first", "n_copies", F.when(own, F.col("first")).otherwise(F.col("cid")).alias("cid"), (own | (F.col("head") == F.col("set_key"))).alias("head"))
+    return stored(out, "resolved")
+
+
+def set_keys(text: Column, width: int = 5) -> Column:
+    """The digest of a text column's set of shingles; null where there is no word."""
+
+    @F.arrow_udf("binary")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([_digest(s) if len(s) else None for sets in _sets(texts, width) for s in sets], pa.binary())
+
+    return of(text.cast("string"))
 
 
 def keep_first(docs: DataFrame, percent: int = 85, width: int = 5) -> DataFrame:
-    """The rows of ``docs`` that :func:`near_duplicates` keeps, with all their columns; of repeated rows one.
+    """One row of each component of :func:`near_duplicates`, with all its columns, whatever their names.
 
-    Rows without a doc_id are kept unless a document with one stands for their text.
+    That is a row of the smallest doc_id; where a component has none, any row of one text.  Two different texts under
+    one doc_id are two texts: each is kept or dropped with its own component.  Wordless texts are kept, repeated rows
+    of them (doc_id, text) once.
     """
-    found = near_duplicates(docs, percent, width).where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    found = stored(found, "kept")
-    rows = docs.withColumn("doc_id", F.col("doc_id").cast("bigint")) if dict(docs.dtypes)["doc_id"] != "bigint" else docs
-    once = rows.join(small(found.where("rows = 1").select("doc_id")), "doc_id", "left_semi")
-    more = rows.join(small(found.where("rows > 1").select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = rows.where("doc_id IS NULL").dropDuplicates(["text"])
-    return once.unionByName(more).unionByName(nameless).select(*docs.columns)
+    made = stored(sketches(docs, width), "sketches")
+    heads = _resolved(docs, made, percent, width).where("head").select("set_key", "first")
+    # Rows that could stand for their class: of repeated ones there is more than one.
+    rows = lookup(made.select("doc_id", "set_key"), heads, "set_key").where(F.col("doc_id").eqNullSafe(F.col("first")))
+    heads = stored(rows.groupBy("set_key", "first").agg(F.count(F.lit(1)).alias("rows")), "heads")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")  # user columns can't clash with those made here
+    doc_id = F.col("doc_id").cast("bigint").alias("doc_id")
+    keyed = docs.select(row, doc_id, set_keys(F.col("text"), width).alias("set_key"))
+
+    def standing(some: DataFrame) -> DataFrame:
+        some = small(some.select(F.col("set_key").alias("head"), "first"))
+        return keyed.join(some, (F.col("set_key") == F.col("head")) & F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
+
+    once = standing(heads.where("rows = 1"))
+    more = standing(heads.where("rows > 1")).dropDuplicates(["set_key"])
+    wordless = keyed.where("set_key IS NULL")
+    wordless = wordless.withColumn("text", F.col("row.text")).dropDuplicates(["doc_id", "text"]).drop("text")
+    return once.unionByName(more).unionByName(wordless).select("row.*")

@@ -17,9 +17,10 @@ import pyarrow as pa
 from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 from . import textops as T
+from .common import only
 
 #: Distinct pieces, and bytes of them, that a worker remembers before it starts over.
-PIECES, PIECE_BYTES = 1_000_000, 32 << 20
+PIECES, PIECE_BYTES = 500_000, 16 << 20
 
 _SIGN, _LETTER, _NUMBER, _SPACE = 0, 1, 2, 3
 _SUFFIXES = {(115,), (116,), (109,), (100,), (114, 101), (118, 101), (108, 108)}  # 's 't 'm 'd 're 've 'll
@@ -143,14 +144,9 @@ class Encoder:
             yield i, rows, marks, pieces
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """The worker's encoder of a vocabulary file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    return only(("encoder", path), lambda: Encoder(path))
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:

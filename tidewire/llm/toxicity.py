@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import held_out, small
+from .common import held_out, only, small
 
 #: At most so many labelled documents of each class are learnt from, the first in the order of a hash of doc_id, and
 #: at most so many bytes of text.
@@ -51,7 +51,7 @@ PURE = 0.95
 #: Copies of each such landmark with one character put in at random, as further examples.
 PADDED = 4
 #: Distinct units, and bytes of them, that a worker remembers.
-KNOWN, KNOWN_BYTES = 1_000_000, 32 << 20
+KNOWN, KNOWN_BYTES = 500_000, 16 << 20
 
 _SIGN = np.zeros(256, dtype=bool)
 _SIGN[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
@@ -487,15 +487,9 @@ def train(texts: Sequence[str], labels: Sequence[int], prevalence: float | None
     return Model(tuple(marks.words), len(words), tuple(map(tuple, pairs.tolist())), root, w, slope, shift, key)
 
 
-_units: dict[str, _Units] = {}
-
-
 def _table(model: Model) -> _Units:
-    """The worker's table of units for a model; a worker serves one model at a time."""
-    if model.key not in _units:
-        _units.clear()
-        _units[model.key] = _Units(Marks(model.marks))
-    return _units[model.key]
+    """The worker's table of units for a model."""
+    return only(("units", model.key), lambda: _Units(Marks(model.marks)))
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[int], float | None]:
