@@ -31,24 +31,24 @@ def checked(df: DataFrame) -> DataFrame:
 SPREAD_ROWS = 100
 
 
-def heavy_keys(rows: DataFrame, key: str) -> DataFrame | None:
+def heavy_keys(rows: DataFrame, key: str, n: int | None = None) -> DataFrame | None:
     """The values of ``key`` that more than a thousandth of ``rows`` have, so at most 1000; None if there are none.
 
-    ``rows`` should be stored or checkpointed: it is read twice.
+    ``rows`` should be stored or checkpointed: it is read twice, once where its number ``n`` is known.
     """
-    n = rows.count()
-    level = max(SPREAD_ROWS, n // 1000)
-    found = rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > level).select(key).limit(1 + n // level).collect()
+    level = max(SPREAD_ROWS, (rows.count() if n is None else n) // 1000)
+    found = rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > level).select(key).collect()
     return rows.sparkSession.createDataFrame(found, rows.select(key).schema) if found else None
 
 
-def lookup(rows: DataFrame, table: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def lookup(rows: DataFrame, table: DataFrame, key: str, how: str = "inner", heavy: DataFrame | None = None, known: bool = False) -> DataFrame:
     """``rows`` joined to ``table``, which has one row of a few numbers for each ``key``.
 
-    Rows of heavy keys don't meet in one task: they stay where they are and the table's rows of these keys, at most
-    1000, are broadcast.
+    Rows of heavy keys (found here unless ``known``) don't meet in one task: they stay where they are and the table's
+    rows of these keys, at most 1000, are broadcast.
     """
-    heavy = heavy_keys(rows, key)
+    if not known:
+        heavy = heavy_keys(rows, key)
     if heavy is None:
         return rows.join(table, key, how)
     few = F.broadcast(heavy)
@@ -65,11 +65,12 @@ def components(edges: DataFrame) -> DataFrame:
     both = checked(ends.unionByName(ends.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
     labels = both.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("node"), F.least("x", "m").alias("label"))
     labels = checked(labels)
+    nodes, hubs = labels.count(), heavy_keys(both, "y")
     while True:
-        near = lookup(both, labels.select(F.col("node").alias("y"), F.col("label").alias("other")), "y").groupBy("x").agg(F.min("other").alias("other"))
+        near = lookup(both, labels.select(F.col("node").alias("y"), F.col("label").alias("other")), "y", heavy=hubs, known=True).groupBy("x").agg(F.min("other").alias("other"))
         met = checked(labels.join(near.withColumnRenamed("x", "node"), "node").select("node", F.col("label").alias("was"), F.least("label", "other").alias("label")))
         jump = met.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        after = checked(lookup(met, jump, "label", "left").select("node", "was", F.coalesce(F.least("label", "next"), "label").alias("label")))
+        after = checked(lookup(met, jump, "label", "left", heavy_keys(met, "label", nodes), True).select("node", "was", F.coalesce(F.least("label", "next"), "label").alias("label")))
         labels = after.select("node", "label")
         if after.where("label <> was").isEmpty():
             return labels.withColumnRenamed("label", "component")
