@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import sys
 import uuid
 from collections.abc import Callable
 
@@ -37,11 +40,17 @@ def bound_batches(spark: SparkSession) -> None:
 _held: dict[tuple, object] = {}
 
 
-def only(key: tuple, make: Callable[[], object]):
-    """The worker's object of that key; a worker holds one at a time, so a stage's tables don't outlive the stage."""
+def only(key: tuple, make: Callable[[], object] = lambda: None):
+    """The worker's object of that key; a worker holds one at a time, so a stage's tables don't outlive the stage.
+
+    Stages without a table name themselves too, to end that of the stage before, whose memory goes back to the system.
+    """
     if key not in _held:
         _held.clear()
         pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL(None).malloc_trim(0)
         _held[key] = make()
     return _held[key]
 

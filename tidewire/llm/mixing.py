@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import checked, small, stored
+from .common import checked, only, small, stored
 
 #: Up to so many cells are raked on the driver (a few dozen bytes each), more by DataFrames.
 DRIVER_CELLS = 200_000
@@ -32,6 +32,7 @@ ROUNDS, TOLERANCE = 200, 1e-9
 
 def word_counts(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashed word counts, and the number of words, of the texts bounds[k]:bounds[k+1]."""
+    only(("mixing",))
     n = len(bounds) - 1
     hashes, words = T.words(data, bounds)
     count = np.diff(words)

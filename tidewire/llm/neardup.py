@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import checked, components, heavy_keys, lookup, small, stored
+from .common import checked, components, heavy_keys, lookup, only, small, stored
 from .sketch import band_keys, fast_sketch
 
 BANDS, ROWS = 25, 5
@@ -48,6 +48,7 @@ MOST_ROUNDS = 8
 
 
 def _sets(column: pa.Array, width: int) -> Iterator[list[np.ndarray]]:
+    only(("sets",))
     data, offsets = T.utf8(column)
     for i, j in T.row_slices(offsets):
         cut = data[offsets[i] : offsets[j]]
@@ -175,16 +176,20 @@ def _confirmed(pairs: DataFrame, num: int, den: int) -> DataFrame:
     return pairs.select("a", "b", "n", "m", "ra", "rb").mapInArrow(run, "a binary, b binary")
 
 
-def _with_hub(held: DataFrame, hub_sets: DataFrame) -> DataFrame:
-    """``held`` (grp, ...) with its group's hub, a row each.  Members of large groups are dealt to SPREAD tasks."""
-    heavy = heavy_keys(held.select("grp"), "grp")
+def _with_hub(groups: DataFrame, sets: DataFrame, hub_sets: DataFrame) -> DataFrame:
+    """(grp, set_key, elements) of ``groups`` (grp, node) with its group's hub, a row each.
+
+    Members of large groups are dealt to SPREAD tasks.
+    """
+    own = groups.select("grp", F.col("node").alias("set_key"))
+    heavy = heavy_keys(own, "grp")
     if heavy is None:
-        return held.join(hub_sets, "grp")
+        return own.join(sets, "set_key").join(hub_sets, "grp")
     few = F.broadcast(heavy)
     part = F.pmod(F.xxhash64("set_key"), F.lit(SPREAD)).cast("int")
-    members = held.join(few, "grp", "left_semi").withColumn("part", part)
+    members = own.join(few, "grp", "left_semi").join(sets, "set_key").withColumn("part", part)
     copies = hub_sets.join(few, "grp", "left_semi").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-    return members.join(copies, ["grp", "part"]).drop("part").unionByName(held.join(few, "grp", "left_anti").join(hub_sets, "grp"))
+    return members.join(copies, ["grp", "part"]).drop("part").unionByName(own.join(few, "grp", "left_anti").join(sets, "set_key").join(hub_sets, "grp"))
 
 
 def _shared_buckets(rows: DataFrame) -> DataFrame:
@@ -220,9 +225,8 @@ def links(classes: DataFrame, elements_of, num: int, den: int) -> DataFrame:
     found = None
     for turn in range(1, MOST_ROUNDS + 1):
         hubs = groups.groupBy("grp").agg(F.max(F.struct("meets", "node")).getField("node").alias("hub"), F.count(F.lit(1)).alias("size"))
-        held = stored(groups.select("grp", F.col("node").alias("set_key")).join(sets, "set_key"), "held")
-        hub_sets = stored(hubs.join(held.select(F.col("set_key").alias("hub"), F.col("elements").alias("hub_elements")), "hub"), "hubs")
-        rest = stored(_differences(_with_hub(held, hub_sets).withColumnRenamed("set_key", "node"), num, den), "differences")
+        hub_sets = stored(hubs.join(sets.select(F.col("set_key").alias("hub"), F.col("elements").alias("hub_elements")), "hub"), "hubs")
+        rest = stored(_differences(_with_hub(groups, sets, hub_sets).withColumnRenamed("set_key", "node"), num, den), "differences")
         index = stored(_indexed(rest), "index")
         lone, linked = index.where("NOT linked AND at < most"), index.where("linked AND at < most")
         pairs = side(lone, "a", "n", "d", "i").join(side(linked, "b", "m", "e", "j"), ["grp", "element"]).where(close)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import checked, held_out, small, stored
+from .common import checked, held_out, only, small, stored
 
 #: At most so many labelled documents of each class are learnt from, the first in the order of a hash of doc_id.
 GOOD_SAMPLE = BAD_SAMPLE = 4000
@@ -38,6 +38,7 @@ FEATURES = 22
 
 def features(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """(n, FEATURES): shares of character kinds, lengths, repetition of words, of word pairs and of lines."""
+    only(("quality",))
     n, size = len(bounds) - 1, np.diff(bounds)
     row = np.repeat(np.arange(n), size)
     kinds = np.bincount(row * 9 + _KINDS[data], minlength=n * 9).reshape(n, 9)

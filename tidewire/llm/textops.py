@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES, SLICE_ROWS = 1 << 19, 4096
+SLICE_BYTES, SLICE_ROWS = 1 << 18, 1024
 
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)

@@ -20,7 +20,7 @@ from . import textops as T
 from .common import only
 
 #: Distinct pieces, and bytes of them, that a worker remembers before it starts over.
-PIECES, PIECE_BYTES = 500_000, 16 << 20
+PIECES, PIECE_BYTES = 300_000, 8 << 20
 
 _SIGN, _LETTER, _NUMBER, _SPACE = 0, 1, 2, 3
 _SUFFIXES = {(115,), (116,), (109,), (100,), (114, 101), (118, 101), (108, 108)}  # 's 't 'm 'd 're 've 'll

@@ -51,7 +51,7 @@ PURE = 0.95
 #: Copies of each such landmark with one character put in at random, as further examples.
 PADDED = 4
 #: Distinct units, and bytes of them, that a worker remembers.
-KNOWN, KNOWN_BYTES = 500_000, 16 << 20
+KNOWN, KNOWN_BYTES = 300_000, 8 << 20
 
 _SIGN = np.zeros(256, dtype=bool)
 _SIGN[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
@@ -438,7 +438,10 @@ def train(texts: Sequence[str], labels: Sequence[int], prevalence: float | None
     weight = _votes(own_doc, hashes[own_unit], len(order))
     words = _chosen([names[k] for k in _significant(own_doc, own_unit, n, toxic, weight)])
     # Pairs of neighbouring units that tell more than their members: neither is like a landmark word.
-    covered = Marks(words).alike(names).any(axis=1) if words else np.zeros(n, dtype=bool)
+    covered = np.zeros(n, dtype=bool)
+    marks = Marks(words)
+    for at in range(0, n if words else 0, 8192):
+        covered[at : at + 8192] = marks.alike(names[at : at + 8192]).any(axis=1)
     near = np.flatnonzero((doc[1:] == doc[:-1]) & (unit[1:] >= 0) & (unit[:-1] >= 0))
     left, right = unit[near], unit[near + 1]
     plain_ = ~covered[left] & ~covered[right] & (left != right)
