@@ -22,15 +22,19 @@ BROADCAST_ROWS = 200_000
 
 
 #: Rows and bytes of an Arrow batch: what a Python worker gets at a time, or one longer document.
-BATCH_ROWS, BATCH_BYTES = 1024, 4 << 20
+BATCH_ROWS, BATCH_BYTES = 1024, 2 << 20
+#: Rows that a scan decodes at a time, and bytes of a written row group: texts are long, so both are below the defaults.
+SCAN_ROWS, GROUP_BYTES = 256, 16 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Lowers the session's Arrow batches to BATCH_ROWS rows and BATCH_BYTES bytes.
+    """Lowers the session's Arrow batches to BATCH_ROWS rows and BATCH_BYTES bytes, scans and row groups likewise.
 
-    Spark reads both settings when a query runs, so they stay with the session.  No result depends on them; other
+    Spark reads these settings when a query runs, so they stay with the session.  No result depends on them; other
     queries of the session get smaller batches too.
     """
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(SCAN_ROWS))
+    spark.conf.set("parquet.block.size", str(GROUP_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
