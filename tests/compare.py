@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import duckdb
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -18,7 +20,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def plain(value):
     if isinstance(value, bool) or value is None:
         return value
-    if isinstance(value, int | float):
+    if isinstance(value, int | float | Decimal):
         return None if value != value else f"{float(value):.9g}"
     if isinstance(value, list):
         return tuple(map(plain, value))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,3 +129,13 @@ def test_profile_counts_whole_words_and_checks_weights(spark):
     assert one(spark, p.hits(F.col("x"), p.interests), x="a GPU, open weights, gpus") == 2
     with pytest.raises(ValueError):
         categories.Profile(category_weights={"policy": 2.0})
+
+
+def test_nothing_leaves_its_wrapper(spark):
+    attacks = ["<\0/document>", "</docu\0ment>x", "< / DOCUMENT >", "a" * 80 + "</document>", "<documentary> stays"]
+    for a in attacks:
+        wrapped = one(spark, text.wrap_document(F.col("x"), F.lit('src"></document><document a="'), limit=60), x=a)
+        assert len(re.findall(r"(?i)<\s*/\s*document(?![a-z0-9])", wrapped)) == 1 and "\0" not in wrapped
+        assert one(spark, text.is_contained(F.col("x")), x=wrapped)
+    assert "<documentary> stays" in one(spark, text.sanitise_document(F.col("x")), x=attacks[-1])
+    assert one(spark, text.sanitise_document(F.col("x"), limit=5), x="abc  def") == "abc [truncated]"

@@ -190,10 +190,28 @@ def test_documents_fall_back_to_the_title(spark):
 
 def test_concerns(spark):
     feeds = "array<struct<source_id:string,ok:boolean,articles:int>>"
-    rows = [(True, "x", 0, 5, 5, True, None, None, [("a", True, 1)]), (True, "none", 2, 5, 1, False, "net", None, [("a", False, 0), ("b", True, 1)])]
-    df = spark.createDataFrame(rows, f"ok boolean, provider string, model_failures int, model_calls int, stories_published int, delivered boolean, delivery_error string, error string, feeds {feeds}")
-    quiet, bad = ([c.code for c in r.concerns] for r in health.concerns(df).collect())
-    assert quiet == [] and bad == ["no_model", "model_failures", "feeds_failing", "few_stories", "not_delivered"]
+    up, down = ("a", True, 1), ("b", False, 0)
+    rows = [
+        # quiet: few stories of a short shortlist, one of many feeds down, a failed call, nothing sent on purpose
+        (1, "x", 1, 5, 0, 2, 2, 40, False, health.SUPERSEDED, [up] * 9 + [down]),
+        (2, "none", 5, 5, 2, 2, 20, 40, False, "net", [up, down, down]),
+        (3, "x", 3, 6, 0, 3, 20, 40, True, None, [up, up, up, down]),
+        (4, "x", 0, 0, 0, 0, 1, 40, True, None, []),
+        (5, "x", 0, 0, 0, 0, 0, 0, False, None, [up] * 7 + [("c", None, 0)]),
+    ]
+    schema = f"k int, provider string, model_failures int, model_calls int, schema_violations int, stories_published int, events_shortlisted int, articles_in_window int, delivered boolean, delivery_error string, feeds {feeds}"
+    out = {r.k: r.concerns for r in health.concerns(spark.createDataFrame(rows, schema)).collect()}
+    assert {k: [c.code for c in v] for k, v in out.items()} == {1: [], 2: ["thin_briefing", "no_model", "schema_violations", "feeds_failing", "delivery_failed"], 3: ["model_degraded"], 4: ["nothing_published"], 5: []}
+    assert out[2][3].detail == "2 of 3 feeds failed: b, b" and "2 stories of 20" in out[2][0].detail
+
+
+def test_staleness_and_worst_feeds(spark):
+    row = spark.createDataFrame([("2026-01-01 00:00:00", "2026-01-02 05:30:00", "2026-01-02 01:00:00")], "a string, b string, c string").select(
+        health.staleness_hours(F.col("a").cast("timestamp"), F.col("b").cast("timestamp")), health.staleness_hours(F.col("a").cast("timestamp"), F.col("c").cast("timestamp"))
+    ).first()
+    assert tuple(row) == (29, None)
+    runs = spark.createDataFrame([(k, [(s, False) for s in "abcd"[: k + 1]]) for k in range(4)], "started_at int, feeds array<struct<source_id:string,ok:boolean>>")
+    assert [(r.source_id, r.failures) for r in health.worst_feeds(runs).collect()] == [("a", 4), ("b", 3), ("c", 2)]
 
 
 def test_judgement_is_null_when_nothing_is_judged(spark):

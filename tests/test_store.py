@@ -134,3 +134,27 @@ def test_streams(spark, tmp_path):
     ev = spark.createDataFrame([(1, T0, "x", 1.0), (1, datetime(2026, 1, 2, 0, 20, tzinfo=UTC), "x", 3.0), (1, datetime(2026, 1, 2, 2, tzinfo=UTC), "y", 1.0)], "user_id bigint, ts timestamp, event_type string, value double")
     assert streams.tumbling_counts(ev).where("n = 2").first().mean_value == 2.0
     assert streams.sessions(ev).count() == 2 and streams.sliding_counts(ev).count() > 2
+
+
+def test_states_of_one_write_briefings_and_datasets(spark, tmp_path):
+    root = str(tmp_path)
+    states = spark.createDataFrame([("e", "first", 1), ("e", "last", 2), ("f", "only", 0)], "id string, canonical_title string, seq int").repartition(3)
+    store.write_events(root, DAY, states)
+    assert sorted(r.canonical_title for r in store.latest_events(spark, root, [DAY]).collect()) == ["last", "only"]
+    assert store.event_days(spark, root) == [DAY] and store.event_days(spark, root + "/none") == []
+    for day, headline in ((DAY, "h1"), (date(2026, 1, 9), "h2")):
+        one = spark.createDataFrame([({"articles": 3.0}, [(1, "e", headline)])], "stats map<string,double>, stories array<struct<rank:int,event_id:string,headline:string>>")
+        assert store.write_briefing(root, day, one)
+    assert [r.stories[0].headline for r in store.read_briefings(spark, root).collect()] == ["h2", "h1"]
+    assert [r.stories[0].headline for r in store.read_briefings(spark, root, DAY).collect()] == ["h1"]
+    path = tmp_path / "labels.json"
+    assert store.load_labels(spark, str(path)).count() == 0
+    path.write_text('{"labels": [{"event_id": "e",\n "importance": "noise"}]}')
+    assert [(r.event_id, r.importance, r.notes) for r in store.load_labels(spark, str(path)).collect()] == [("e", "noise", None)]
+
+
+def test_feeds_keep_to_the_registry(spark):
+    registry = feeds.load_registry(spark, '{"sources": [{"id": "a", "tier": "primary", "feed_url": "http://a/", "max_items_per_run": 1}, {"id": "b", "tier": "research", "feed_url": "http://b/", "enabled": false}]}')
+    files = spark.createDataFrame([("a", RSS), ("b", RSS)], "source_id string, content binary")
+    assert [r.source_id for r in feeds.parse_feeds(files, registry=registry).collect()] == ["a"]
+    assert [r.id for r in feeds.by_tier(registry, "research").collect()] == ["b"] and [r.id for r in feeds.enabled_sources(registry).collect()] == ["a"]

@@ -145,19 +145,23 @@ def duration_seconds(text: Column) -> Column:
 
 
 def sanitise_document(text: Column, tag: str = "document", limit: int = 4000, mark: str = " [truncated]") -> Column:
-    """Text that cannot close or reopen its wrapper: its tags defanged, NULs dropped, length bounded."""
-    safe = F.regexp_replace(F.coalesce(text, F.lit("")), rf"(?i)<\s*(/?)\s*{tag}", f"[$1{tag}")
-    safe = F.replace(safe, F.lit("\0"), F.lit(""))
-    return F.when(F.length(safe) > limit, F.concat(F.left(safe, F.lit(limit)), F.lit(mark))).otherwise(safe)
+    """Text that cannot close or reopen its wrapper: NULs dropped, then its tags defanged, length bounded.
+
+    NULs go first: a tag that they split is a tag without them.  Names that only begin like the tag's stay as they are.
+    """
+    safe = F.replace(F.coalesce(text, F.lit("")), F.lit("\0"), F.lit(""))
+    safe = F.regexp_replace(safe, rf"(?i)<\s*(/?)\s*{tag}(?![A-Za-z0-9])", f"[$1{tag}")
+    return F.when(F.length(safe) > limit, F.concat(F.rtrim(F.left(safe, F.lit(limit))), F.lit(mark))).otherwise(safe)
 
 
 def wrap_document(text: Column, source: Column, tag: str = "document", limit: int = 4000) -> Column:
-    return F.concat(F.lit(f'<{tag} source="'), source, F.lit('">\n'), sanitise_document(text, tag, limit), F.lit(f"\n</{tag}>"))
+    """The text in its wrapper; the source is an escaped attribute, so it cannot leave it either."""
+    return F.concat(F.lit(f'<{tag} source="'), escape_html(F.replace(F.coalesce(source, F.lit("")), F.lit("\0"), F.lit(""))), F.lit('">\n'), sanitise_document(text, tag, limit), F.lit(f"\n</{tag}>"))
 
 
 def is_contained(wrapped: Column, tag: str = "document") -> Column:
     """Structural check of a wrapped document: one opening tag, one closing tag, no NUL."""
-    opens, closes = (F.regexp_count(wrapped, F.lit(p)) for p in (rf"(?i)<\s*{tag}", rf"(?i)<\s*/\s*{tag}"))
+    opens, closes = (F.regexp_count(wrapped, F.lit(p)) for p in (rf"(?i)<\s*{tag}(?![A-Za-z0-9])", rf"(?i)<\s*/\s*{tag}(?![A-Za-z0-9])"))
     return (opens == 1) & (closes == 1) & (F.instr(wrapped, "\0") == 0)
 
 

@@ -9,6 +9,8 @@ from ..functions.text import is_contained
 
 # Share of feeds that may fail, and stories that a briefing should have.
 FEED_FAILURES, LEAST_STORIES, HEALTHY = 0.25, 3, 0.95
+#: The delivery error of a run that kept a better briefing: on purpose, so no concern.
+SUPERSEDED = "superseded by the existing briefing"
 IMPORTANCE = ("important", "marginal", "noise")
 
 
@@ -38,26 +40,45 @@ def feed_outcomes(feeds: DataFrame) -> DataFrame:
     return feeds.agg(F.count(F.lit(1)).alias("sources"), F.count_if("ok").alias("ok"), F.count_if(~F.col("ok")).alias("failed"), F.coalesce(F.sum("articles"), F.lit(0)).alias("articles"))
 
 
-def concerns(run: DataFrame) -> DataFrame:
-    """``run`` with concerns: an array of (code, detail) for what a reader should be told of a run that ended."""
+def concerns(run: DataFrame, least_stories: int = LEAST_STORIES) -> DataFrame:
+    """``run`` with concerns: an array of (code, detail) for what a reader should be told of a run that ended.
+
+    Outputs are held against what the run had: few stories are a concern only if the shortlist offered enough, none
+    only if articles came in; half of the model calls, or a quarter of the feeds and at least two, have to fail.
+    """
     feeds = F.col("feeds")
     bad = F.filter(feeds, lambda f: ~f["ok"])
     names = F.transform(bad, lambda f: f["source_id"])
     more = F.size(names) - 5
     listed = F.concat(F.array_join(F.slice(names, 1, 5), ", "), F.when(more > 0, F.concat(F.lit(" and "), more.cast("string"), F.lit(" more"))).otherwise(""))
-    limit = F.greatest(F.lit(1), F.bround(F.size(feeds) * FEED_FAILURES))
+    limit = F.greatest(F.lit(2), F.bround(F.size(feeds) * FEED_FAILURES))
+    text = lambda *parts: F.concat(*(F.col(p[1:]).cast("string") if p.startswith("@") else F.lit(p) for p in parts))
     make = lambda when, code, detail: F.when(F.coalesce(when, F.lit(False)), F.struct(F.lit(code).alias("code"), detail.alias("detail")))
+    thin = F.coalesce((F.col("stories_published") < least_stories) & (F.col("events_shortlisted") >= least_stories), F.lit(False))
+    no_model = F.coalesce(F.col("provider") == "none", F.lit(False))
     found = F.array(
-        make(~F.col("ok"), "run_failed", F.coalesce("error", F.lit("the run failed"))),
-        make(F.col("ok") & (F.col("provider") == "none"), "no_model", F.lit("no model was available")),
-        make(F.col("model_failures") > 0, "model_failures", F.concat(F.col("model_failures").cast("string"), F.lit(" of "), F.col("model_calls").cast("string"), F.lit(" model calls failed"))),
-        make((F.size(feeds) > 0) & (F.size(bad) >= limit), "feeds_failing", listed),
-        make(F.col("ok") & (F.col("stories_published") < LEAST_STORIES), "few_stories", F.concat(F.col("stories_published").cast("string"), F.lit(" stories"))),
-        make(F.col("ok") & ~F.col("delivered"), "not_delivered", F.coalesce("delivery_error", F.lit("the message was not delivered"))),
+        make(thin, "thin_briefing", text("@stories_published", " stories of ", "@events_shortlisted", f" events on the shortlist; {least_stories} were expected")),
+        make(~thin & (F.col("stories_published") == 0) & (F.col("articles_in_window") > 0), "nothing_published", text("no story of ", "@articles_in_window", " articles")),
+        make(no_model, "no_model", F.lit("no model was available")),
+        make(~no_model & (F.col("model_calls") > 0) & (F.col("model_failures") * 2 >= F.col("model_calls")), "model_degraded", text("@model_failures", " of ", "@model_calls", " model calls failed")),
+        make(F.col("schema_violations") > 0, "schema_violations", text("@schema_violations", " answers had the wrong shape")),
+        make((F.size(feeds) > 0) & (F.size(bad) >= limit), "feeds_failing", F.concat(F.size(bad).cast("string"), F.lit(" of "), F.size(feeds).cast("string"), F.lit(" feeds failed: "), listed)),
+        make(~F.col("delivered") & (F.col("delivery_error") != "") & (F.col("delivery_error") != SUPERSEDED), "delivery_failed", text("not delivered: ", "@delivery_error")),
     )
     return run.withColumn("concerns", F.filter(found, lambda c: c.isNotNull()))
 
 
+def worst_feeds(runs: DataFrame, most: int = 3) -> DataFrame:
+    """The first ``most`` of :func:`failing_feeds`."""
+    return failing_feeds(runs).limit(most)
+
+
+def staleness_hours(last: Column, now: Column, after: int = 26) -> Column:
+    """Whole hours since the last briefing if they are more than ``after``, else null."""
+    hours = F.floor((F.unix_timestamp(now) - F.unix_timestamp(last)) / 3600)
+    return F.when(hours > after, hours)
+
+
 def structural_quality(stories: DataFrame) -> DataFrame:
     """One row over published stories (day, event_id, what_happened, sources, claims): citations, attributions, repeats."""
     cited = F.size("sources") > 0

@@ -59,6 +59,14 @@ def credibility_by_id(registry: DataFrame) -> dict[str, float]:
     return {r.id: r.credibility for r in registry.select("id", "credibility").collect()}
 
 
+def enabled_sources(registry: DataFrame) -> DataFrame:
+    return registry.where("enabled")
+
+
+def by_tier(registry: DataFrame, tier: str) -> DataFrame:
+    return registry.where(F.col("tier") == tier)
+
+
 def _local(tag: str) -> str:
     return tag.rsplit("}", 1)[-1].lower()
 
@@ -105,20 +113,30 @@ def parse_feed(body: bytes, most: int = ITEMS) -> Iterator[tuple]:
         n += 1
 
 
-def parse_feeds(files: DataFrame, most: int = ITEMS) -> DataFrame:
-    """ENTRY rows and, for feeds that don't parse, one row with an ``error``, of (source_id, content) rows."""
+def parse_feeds(files: DataFrame, most: int = ITEMS, registry: DataFrame | None = None) -> DataFrame:
+    """ENTRY rows and, for feeds that don't parse, one row with an ``error``, of (source_id, content) rows.
+
+    With a ``registry`` only its enabled sources are read, and each up to its own max_items_per_run.
+    """
+    if registry is not None:
+        limits = enabled_sources(registry).select(F.col("id").alias("source_id"), F.col("max_items_per_run").alias("most"))
+        files = files.join(F.broadcast(limits), "source_id")  # a registry is a few hundred checked rows
+    else:
+        files = files.withColumn("most", F.lit(most))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for source, body in zip(batch["source_id"], batch["content"], strict=True):
+            for source, body, limit in zip(batch["source_id"], batch["content"], batch["most"], strict=True):
+                if body is None:
+                    continue
                 try:
-                    rows += [(source, *entry, None) for entry in parse_feed(bytes(body), most)]
+                    rows += [(source, *entry, None) for entry in parse_feed(bytes(body), int(limit))]
                 except (ET.ParseError, ValueError, TypeError) as e:
                     rows.append((source, None, None, None, None, None, None, str(e)[:200]))
             yield pd.DataFrame(rows, columns=["source_id", "entry", "url", "title", "published_at", "summary", "content", "error"])
 
-    return files.select("source_id", "content").mapInPandas(run, f"{ENTRY}, error string")
+    return files.select("source_id", "content", "most").mapInPandas(run, f"{ENTRY}, error string")
 
 
 def liveness(registry: DataFrame, entries: DataFrame) -> DataFrame:
@@ -170,9 +188,12 @@ class _FeedReader(DataSourceReader):
 
 
 def flattened(entries: DataFrame, registry: DataFrame, fetched_at: datetime) -> DataFrame:
-    """Articles with ``ord``: registry order, then entry order."""
+    """Articles with ``ord``: registry order, then entry order; numbered within each source, no task sees all."""
     from pyspark.sql import Window as W
 
     rows = entries.where("url IS NOT NULL").join(registry.select(F.col("id").alias("source_id"), "registry_pos"), "source_id")
-    place = F.row_number().over(W.orderBy("registry_pos", "entry")) - 1  # one run's feeds, at most 500 entries each
-    return rows.withColumn("ord", place.cast("bigint")).withColumn("fetched_at", F.lit(fetched_at)).drop("entry", "error", "registry_pos")
+    sizes = rows.groupBy("registry_pos").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("registry_pos", (F.sum("n").over(W.orderBy("registry_pos")) - F.col("n")).alias("before"))  # a row a source
+    place = F.row_number().over(W.partitionBy("registry_pos").orderBy("entry")) - 1
+    rows = rows.withColumn("place", place).join(F.broadcast(before), "registry_pos")
+    return rows.withColumn("ord", (F.col("before") + F.col("place")).cast("bigint")).drop("before", "place").withColumn("fetched_at", F.lit(fetched_at)).drop("entry", "error", "registry_pos")

@@ -97,24 +97,43 @@ def append_articles(spark: SparkSession, root: str, day: date, articles: DataFra
 
 
 def write_events(root: str, day: date, events: DataFrame) -> None:
-    """Appends snapshots, with ``seq`` in the order of ids; repeats converge where they are read."""
+    """Appends snapshots; ``seq`` tells states of one event in one write apart, the later one wins where they are read.
+
+    seq is the column of that name where ``events`` has one, else the order of the rows (partition, then row).
+    """
     names = [c.split()[0] for c in EVENT.split(", ")]
     have = [c for c in names if c in events.columns]
-    _append(events.select(*sorted(have), F.lit(day).alias("day"), F.current_timestamp().alias("written_at")), f"{root}/events", "day")
+    seq = F.col("seq").cast("bigint") if "seq" in events.columns else F.monotonically_increasing_id()
+    _append(events.select(*sorted(have), seq.alias("seq"), F.lit(day).alias("day"), F.current_timestamp().alias("written_at")), f"{root}/events", "day")
 
 
 def read_events(spark: SparkSession, root: str, days: list[date] | None = None) -> DataFrame:
-    rows = _read(spark, f"{root}/events", f"{EVENT}, written_at timestamp", REQUIRED["events"])
+    rows = _read(spark, f"{root}/events", f"{EVENT}, seq bigint, written_at timestamp", REQUIRED["events"])
     return rows.where(F.col("day").isin(*days)) if days is not None else rows
 
 
 def latest_events(spark: SparkSession, root: str, days: list[date]) -> DataFrame:
     """Each event's last state over the days, newest update first."""
-    return latest_by(read_events(spark, root, days), ["id"], ["day", "written_at"]).drop("written_at").orderBy(F.desc("last_updated"), "id")
+    return latest_by(read_events(spark, root, days), ["id"], ["day", "written_at", "seq"]).drop("written_at", "seq").orderBy(F.desc("last_updated"), "id")
 
 
 def event_days(spark: SparkSession, root: str) -> list[date]:
-    return sorted(r.day for r in read_events(spark, root).select("day").distinct().collect() if r.day)
+    """The days that have snapshots, by the folders' names; no row is read."""
+    return _days(spark, f"{root}/events")
+
+
+def _days(spark: SparkSession, path: str) -> list[date]:
+    if not _exists(spark, path):
+        return []
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)]
+    found = []
+    for name in names:
+        try:
+            found.append(date.fromisoformat(name.removeprefix("day=")))
+        except ValueError:
+            continue
+    return sorted(found)
 
 
 def write_run(root: str, run: DataFrame) -> None:
@@ -138,6 +157,45 @@ def write_briefing(root: str, day: date, briefing: DataFrame) -> bool:
     return True
 
 
+STORY = (
+    "struct<rank:int,event_id:string,headline:string,what_happened:string,why_it_matters:string,confidence:double,category:string,score:double,first_seen:timestamp,last_updated:timestamp,"
+    "sources:array<struct<source_id:string,title:string,url:string>>,claims:array<struct<text:string,supported_by:array<string>,contradicted_by:array<string>,status:string>>>"
+)
+BRIEFING = f"stats map<string,double>, stories array<{STORY}>"
+
+
+def read_briefings(spark: SparkSession, root: str, day: date | None = None) -> DataFrame:
+    """(day, stats, stories) of all briefings, newest first, or of one day; lines that don't parse are left out."""
+    rows = _read(spark, f"{root}/briefings", BRIEFING, ()).where("stories IS NOT NULL")
+    return (rows.where(F.col("day") == F.lit(day)) if day is not None else rows).orderBy(F.desc("day"))
+
+
+def load_dataset(spark: SparkSession, path: str, schema: str, key: str) -> DataFrame:
+    """The rows under ``key`` of a JSON document, such as labelled stories or attacks; none where there is no file."""
+    if not _exists(spark, path):
+        return spark.createDataFrame([], schema)
+    fields = ",".join(f"{c.split()[0]}:{c.split(maxsplit=1)[1]}" for c in schema.split(", "))
+    rows = spark.read.schema(f"{key} array<struct<{fields}>>").option("multiLine", "true").json(path)
+    return rows.select(F.explode(key).alias("row")).select("row.*")
+
+
+LABELS = "event_id string, importance string, category string, notes string"
+ATTACKS = "id string, category string, payload string"
+
+
+def load_labels(spark: SparkSession, path: str) -> DataFrame:
+    return load_dataset(spark, path, LABELS, "labels")
+
+
+def load_attacks(spark: SparkSession, path: str) -> DataFrame:
+    return load_dataset(spark, path, ATTACKS, "attacks")
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """A small report (evaluation results, a reply feed) as one JSON file."""
+    report.coalesce(1).write.mode("overwrite").json(path)
+
+
 def read_state(spark: SparkSession, root: str) -> dict:
     """The run state; a missing or broken file means that nothing ran yet."""
     start = {"last_briefing_at": None, "last_run_at": None, "successful_runs": 0, "total_runs": 0}
