@@ -190,6 +190,10 @@ def test_training_order_and_shards(spark, tmp_path):
     path = str(tmp_path / "shards")
     materialise.write_shards(ordered, path)
     back = {(r.shard, r.byte_offset): bytes(r.ids) for r in materialise.read_slots(spark, path, 33).collect()}
+    by_slot = {r.slot: bytes(r.ids) for r in found}
+    for slot in (0, 33, n - 1, n):
+        rest = materialise.resume(spark, path, 33, 32, slot).collect()
+        assert [(r.slot, bytes(r.ids)) for r in rest] == [(s, by_slot[s]) for s in range(slot, n)]
     assert back == {(r.shard, r.byte_offset): bytes(r.ids) for r in found}
     assert materialise.training_order(docs(spark, [])).count() == 0
 
@@ -213,6 +217,22 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 10 == 0).count() == 0
 
 
+def test_bounds_leave_few_pairs_of_clustered_vectors():
+    draw = np.random.default_rng(6)
+    centres = draw.normal(size=(40, 64)).cumsum(axis=1)  # neighbouring components go together
+    x = np.floor(1024 * (centres[draw.integers(0, 40, 4000)] + 0.1 * draw.normal(size=(4000, 64))))
+    best = topk._Best(np.arange(50), x[:50], 10, (1, 4, 16))
+    for at in range(0, 4000, 1000):
+        best.add(np.arange(at, at + 1000), x[at : at + 1000])
+        best.shrink()
+    assert best.pairs == 50 * 4000 and best.scored < best.pairs / 2
+    scores = (x[:50] @ x.T).astype(np.int64)
+    row, ids, score = best.found[0]
+    for q in range(50):
+        want = sorted((-int(scores[q, c]), c) for c in range(4000) if c != q)[:10]
+        assert [(-int(v), int(c)) for v, c in zip(score[row == q], ids[row == q], strict=True)] == want
+
+
 def test_top_k_with_few_candidates_and_large_values(spark):
     df = spark.createDataFrame([(0, [1e6, 1e6]), (1, [1e6, -1e6]), (2, [-3e5, 1e6])], "vec_id bigint, embedding array<double>")
     assert [(r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()] == [(2, int(1024**2 * 1e6 * 7e5)), (1, 0)]
@@ -232,7 +252,10 @@ def test_urls_by_rule_then_vocabulary(spark):
         "http://casino-win.net/a": ("casino-win.net", "/a", None, "block"),
         "http://cheap-pills.net": ("cheap-pills.net", "", None, "block"),
         "http://windows.net/winter/cheap": ("windows.net", "/winter/cheap", None, "allow"),
-        "http://notexampleorg.net?casino": ("notexampleorg.net", "", None, "allow"),
+        "http://notexampleorg.net?casino": ("notexampleorg.net", "", None, "block"),
+        "http://x.net/a#free-bonus": ("x.net", "/a", None, "block"),
+        "http://x.net/a?free=free": ("x.net", "/a", None, "allow"),
+        "casino.net/xxx": ("", "", None, "block"),
         "no scheme": ("", "", None, "allow"),
         "http://": ("", "", None, "allow"),
         "": ("", "", None, "allow"),
@@ -243,6 +266,9 @@ def test_urls_by_rule_then_vocabulary(spark):
     out = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urlfilter.judge_urls(df).collect()}
     assert out == dict(enumerate(cases.values()))
     assert urlfilter.judge_urls(df.limit(0)).count() == 0
+    assert {r.verdict for r in urlfilter.judge_urls(df, rules=(), weights={}).collect()} == {"allow"}
+    light = urlfilter.judge_urls(df, rules=(), weights={"win": 0.4, "casino": 0.4, "winter": 0.2}).where("verdict = 'block'").collect()
+    assert light == []
 
 
 # --- chat ---
@@ -274,6 +300,24 @@ def test_masks_hold_the_assistant_texts(spark):
     assert back == [(t or "") for k, t in enumerate(NASTY) if k % 2]
 
 
+def test_the_loss_follows_the_mask(spark):
+    df = spark.createDataFrame([(1, k, "assistant" if k % 2 else "user", t) for k, t in enumerate(NASTY)], "conv_id bigint, turn bigint, role string, text string")
+    out = chat.formatted(chat.folded(chat.by_conversation(chat.as_events(df))))
+    want = "".join(t or "" for k, t in enumerate(NASTY) if k % 2)
+    assert chat.read_back(out).first().loss_sha256 == hashlib.sha256(want.encode()).hexdigest()
+    off = out.withColumn("mask", F.transform("mask", lambda m: m.withField("byte_start", m["byte_start"] + 1)))
+    assert chat.read_back(off).first().loss_sha256 != hashlib.sha256(want.encode()).hexdigest()
+    plan = chat.format_conversations(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan and "Arrow" not in plan
+
+
+def test_stored_messages_pass_edits_and_regenerations(spark):
+    df = spark.createDataFrame([(1, 0, "user", "x" * 9000), (1, 1, "assistant", "y" * 5000 + "z" * 20), (1, 2, None, None)], "conv_id bigint, turn bigint, role string, text string")
+    events = chat.as_events(df)
+    assert {r.kind for r in events.select("kind").collect()} == {"message", "delta", "edit", "regenerate"}
+    assert [(r.role, r.text) for r in chat.folded(events.repartition(5)).orderBy("turn").collect()] == [("user", "x" * 9000), ("assistant", "y" * 5000 + "z" * 20), (None, "")]
+
+
 def test_events_fold_to_final_messages(spark):
     log = [
         (1, 0, 0, "message", "user", "hel"), (1, 0, 1, "delta", None, "lo"), (1, 1, 2, "message", "assistant", ""), (1, 1, 3, "delta", None, "bad"), (1, 1, 4, "regenerate", None, None), (1, 1, 5, "delta", None, "go"),

@@ -154,13 +154,36 @@ def write_shards(ordered: DataFrame, path: str) -> None:
     """Writes :func:`training_order`'s result as one binary file a shard, through Spark's own committer.
 
     A record is the ids' bytes and one newline byte, so records have a fixed stride and slot s of shard k lies at
-    byte_offset of part k.  The text writer puts bytes out as they are.
+    byte_offset of part k.  The text writer puts bytes out as they are.  An empty table writes no record; ``ordered``
+    has no null ids, and repeated sequences are records of their own.
     """
     ordered.select(F.col("ids").cast("string").alias("value")).write.option("lineSep", "\n").option("compression", "none").text(path)
 
 
+def resume(spark: SparkSession, path: str, stride: int, per_shard: int, slot: int = 0) -> DataFrame:
+    """(slot, ids) from a slot on, in order: the records of written shards, read by their fixed stride.
+
+    Shards before the slot's are not opened, and a shard is read in splits at whole records, never as one value.  A
+    slot behind the last gives no rows.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = [f.getPath().toString() for f in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)]
+    shards = sorted((int(f.rsplit("part-", 1)[1].split("-", 1)[0]), f) for f in files if "/part-" in f)
+    first = slot // per_shard
+    wanted = [f for shard, f in shards if shard >= first]
+    if not wanted:
+        return spark.createDataFrame([], "slot bigint, ids binary")
+    # Splits come in the order of files and offsets, and all shards but the last are full, so a record's place is its slot.
+    records = spark.sparkContext.binaryRecords(",".join(wanted), stride).zipWithIndex()
+    rows = records.map(lambda r: (first * per_shard + r[1], r[0][:-1])).filter(lambda r: r[0] >= slot)
+    return spark.createDataFrame(rows, "slot bigint, ids binary")
+
+
 def read_slots(spark: SparkSession, path: str, stride: int) -> DataFrame:
-    """(shard, byte_offset, ids): the records of written shards, each shard split at its fixed stride."""
+    """(shard, byte_offset, ids): the records of written shards, each shard split at its fixed stride.
+
+    A shard is one value here; :func:`resume` reads in smaller splits and from any slot.  No shards give no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -45,9 +45,9 @@ def _rule(column: str) -> str:
 
 
 URLS = f"""
-WITH a AS (SELECT page_id, CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substring(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
-h AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM a),
-c AS (SELECT *, lower(host || path) AS hp FROM h),
+WITH a AS (SELECT page_id, lower(coalesce(url, '')) AS whole, CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substring(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, whole, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM a),
+c AS (SELECT *, whole AS hp FROM h),
 t AS (SELECT *, {_hits(STRICT)} AS strict_hits, {_hits(SOFT)} AS soft_hits, {_rule("rule")} AS rule, {_rule("verdict")} AS given FROM c)
 SELECT page_id, host, path, rule, coalesce(given, CASE WHEN strict_hits > 0 OR soft_hits >= {SOFT_NEEDED} THEN 'block' ELSE 'allow' END) AS verdict, strict_hits, soft_hits FROM t
 """
