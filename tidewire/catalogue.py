@@ -348,22 +348,11 @@ _WEIGHT_SQL = "CASE WHEN entity LIKE 'model:%-%' AND entity <> 'model:dall-e' TH
 
 @query(
     f"WITH {_entity_sql()}, w AS (SELECT p_partkey, entity, {_WEIGHT_SQL} AS w FROM e), n AS (SELECT p_partkey, sum(w) AS total FROM w GROUP BY 1), "
-    "s AS (SELECT a.p_partkey AS a, b.p_partkey AS b, sum(a.w) AS shared, max(a.w) AS strongest FROM w a JOIN w b ON a.entity = b.entity AND a.p_partkey < b.p_partkey WHERE a.p_partkey <= 60 AND b.p_partkey <= 60 GROUP BY 1, 2) "
-    "SELECT a, b, round(shared / (x.total + y.total - shared), 6) AS overlap, strongest FROM s JOIN n x ON x.p_partkey = a JOIN n y ON y.p_partkey = b"
+    "s AS (SELECT a.p_partkey AS a, b.p_partkey AS b, sum(a.w) AS shared, max(a.w) AS strongest FROM w a JOIN w b ON a.entity = b.entity AND a.p_partkey < b.p_partkey GROUP BY 1, 2) "
+    "SELECT a, b, round(CAST(shared / (x.total + y.total - shared) AS DOUBLE), 6) AS overlap, CAST(strongest AS DOUBLE) AS strongest FROM s JOIN n x ON x.p_partkey = a JOIN n y ON y.p_partkey = b"
 )
 def weighted_overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overlap of the entities of a shortlist's parts: those of the first 60 keys."""
-    rows = _headlines(spark, sf_dir).where("p_partkey <= 60").select("p_partkey", entities.extract_entities(F.col("title")).alias("e"))
-    each = rows.select("p_partkey", F.explode("e").alias("entity"))
-    pairs = each.toDF("a", "entity").join(each.toDF("b", "entity"), "entity").where("a < b").select("a", "b").distinct()
-    both = pairs.join(rows.toDF("a", "ea"), "a").join(rows.toDF("b", "eb"), "b")
-    a, b = F.col("ea"), F.col("eb")
-    return both.select("a", "b", F.round(entities.weighted_overlap(a, b), 6).alias("overlap"), entities.strongest_shared(a, b).alias("strongest"))
-
-
-@query()
-def weighted_overlap_all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overlap of the entities of all parts; weighted_overlap_pairs is the SQL's range of keys."""
+    """Overlap of the entities of all pairs of parts that share one."""
     rows = _headlines(spark, sf_dir).select(F.col("p_partkey").alias("id"), entities.extract_entities(F.col("title")).alias("entities"))
     return ranking.overlap_pairs(rows).withColumn("overlap", F.round("overlap", 6))
 
@@ -438,18 +427,9 @@ _SCORED = "s AS (SELECT o_orderkey AS id, o_orderpriority AS category, round(o_t
 _ORDER = "score DESC, source_count DESC, last_updated DESC, id"
 
 
-@query(f"WITH {_SCORED} SELECT CAST(row_number() OVER (ORDER BY {_ORDER}) AS BIGINT) AS rank, id, score FROM s ORDER BY rank LIMIT 100")
+@query(f"WITH {_SCORED} SELECT CAST(row_number() OVER (ORDER BY {_ORDER}) AS BIGINT) AS rank, id, score FROM s")
 def rank_total_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A report: the first hundred."""
-    from pyspark.sql import Window as W
-
-    top = _scored(spark, sf_dir).orderBy(*ranking.total_order()).limit(100)
-    return top.select(F.row_number().over(W.orderBy(*ranking.total_order())).cast("bigint").alias("rank"), "id", "score")
-
-
-@query()
-def rank_total_order_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rank of every scored row; rank_total_order is the SQL's first hundred."""
+    """The rank of every scored row."""
     return ranking.ranked(_scored(spark, sf_dir), ranking.total_order()).select("rank", "id", "score")
 
 
@@ -461,24 +441,9 @@ def capped_topk_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.shortlist(_scored(spark, sf_dir)).select(F.col("rank").cast("bigint").alias("rank"), "id", "category", "score")
 
 
-@query(f"WITH {_entity_sql()}, t AS (SELECT p_partkey, title, {_norm('title')} AS norm FROM h WHERE p_partkey <= 40), g AS (SELECT p_partkey, norm, {_grams('norm')} AS g, {_SIGNATURE} AS sig, {_rules_sql(chr(39) + ' ' + chr(39) + ' || norm || ' + chr(39) + ' ' + chr(39))} AS category FROM t), "
-    f"w AS (SELECT p_partkey, entity, {_WEIGHT_SQL} AS w FROM e WHERE p_partkey <= 40), n AS (SELECT p_partkey, sum(w) AS total FROM w GROUP BY 1), "
-    "p AS (SELECT a.p_partkey AS a, b.p_partkey AS b, 2.0 * len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g)) AS wording FROM g a JOIN g b ON a.p_partkey < b.p_partkey AND a.category = b.category AND a.sig = b.sig), "
-    "s AS (SELECT p.*, coalesce((SELECT sum(x.w) FROM w x JOIN w y ON x.entity = y.entity WHERE x.p_partkey = p.a AND y.p_partkey = p.b), 0) AS shared, "
-    "coalesce((SELECT max(x.w) FROM w x JOIN w y ON x.entity = y.entity WHERE x.p_partkey = p.a AND y.p_partkey = p.b), 0) AS strongest, "
-    "(SELECT count(*) FROM w x JOIN w y ON x.entity = y.entity WHERE x.p_partkey = p.a AND y.p_partkey = p.b) AS k FROM p), "
-    "b AS (SELECT s.a, s.b, 0.5 * CASE WHEN x.total IS NULL OR y.total IS NULL THEN 0 ELSE shared / (x.total + y.total - shared) END + 0.5 * wording AS blend FROM s LEFT JOIN n x ON x.p_partkey = a LEFT JOIN n y ON y.p_partkey = b WHERE strongest >= 1 OR k >= 2 OR wording >= 0.35) "
-    "SELECT a AS left_id, b AS right_id, round(blend, 3) AS similarity FROM b WHERE blend >= 0.12 ORDER BY round(blend, 3) DESC, a, b LIMIT 5")
-def candidate_pairs_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A report: the five most alike pairs of a shortlist of forty."""
-    rows = _headlines(spark, sf_dir).where("p_partkey <= 40")
-    events = rows.select(F.col("p_partkey").alias("rank"), F.col("p_partkey").alias("id"), F.col("title").alias("canonical_title"), categories.classify(F.col("title"), F.lit("")).alias("category"), entities.extract_entities(F.col("title")).alias("entities"))
-    return ranking.candidate_pairs(events)
-
-
 @query()
-def candidate_pairs_shortlist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five most alike pairs of the shortlist of all parts; candidate_pairs_topn is the SQL's range of keys."""
+def candidate_pairs_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report: the five most alike pairs of the shortlist of all parts."""
     rows = _headlines(spark, sf_dir).select(F.col("p_partkey").alias("id"), F.col("title").alias("canonical_title"), categories.classify(F.col("title"), F.lit("")).alias("category"), entities.extract_entities(F.col("title")).alias("entities"))
     score = ranking.relevance(F.col("canonical_title"), F.col("entities"), F.col("category"), _PROFILE)
     scored = rows.withColumns({"score": score, "source_count": F.lit(1), "last_updated": F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 60)})
@@ -504,21 +469,9 @@ def cluster_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster.cluster_stats(leader_clusters(spark, sf_dir))
 
 
-@query(
-    "WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS p FROM lineitem WHERE l_orderkey <= 400 AND l_quantity > 25), "
-    "g AS (SELECT DISTINCT a.o AS a, b.o AS b FROM e a JOIN e b ON a.p = b.p AND a.o <> b.o), r(node, c) AS (SELECT DISTINCT a, a FROM g UNION SELECT g.b, r.c FROM r JOIN g ON g.a = r.node) "
-    "SELECT node, min(c) AS component FROM r GROUP BY node"
-)
-def connected_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of a key range that are linked by common parts."""
-    e = _t(spark, sf_dir, "lineitem").where("l_orderkey <= 400 AND l_quantity > 25").select(F.col("l_orderkey").alias("o"), F.col("l_partkey").alias("p")).distinct()
-    first = e.groupBy("p").agg(F.min("o").alias("a"))
-    return components(e.join(first, "p").select("a", F.col("o").alias("b")).where("a <> b"))
-
-
 @query()
-def connected_components_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of the whole table that are linked by common parts; connected_components is the SQL's range of keys."""
+def connected_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that are linked by common parts."""
     e = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o"), F.col("l_partkey").alias("p")).distinct()
     first = e.groupBy("p").agg(F.min("o").alias("a"))
     return components(e.join(first, "p").select("a", F.col("o").alias("b")).where("a <> b"))
