@@ -43,7 +43,8 @@ ORDERED = 16
 SPREAD = 32
 #: What isn't linked to its hub is joined with itself if that gives at most so many pairs for each.
 PAIRS_EACH = 4
-#: After so many hubs in turn it is joined with itself however many pairs that gives.
+#: After so many hubs in turn, or a turn that links less than one in so many rows to its hub, it is joined with itself
+#: however many pairs that gives: further hubs would settle as little, and no link is lost either way.
 MOST_ROUNDS = 8
 
 
@@ -231,9 +232,9 @@ def links(classes: DataFrame, elements_of, num: int, den: int) -> DataFrame:
         lone, linked = index.where("NOT linked AND at < most"), index.where("linked AND at < most")
         pairs = side(lone, "a", "n", "d", "i").join(side(linked, "b", "m", "e", "j"), ["grp", "element"]).where(close)
         alone = index.where("NOT linked AND at < lone")
-        left = rest.where("NOT linked").count()
+        rows, left = rest.agg(F.count(F.lit(1)), F.count_if(~F.col("linked"))).first()
         meet = alone.groupBy("grp", "element").agg(F.count(F.lit(1)).cast("double").alias("c")).agg(F.sum(F.col("c") * (F.col("c") - 1) / 2)).first()[0] or 0.0
-        last = meet <= PAIRS_EACH * left or turn == MOST_ROUNDS
+        last = meet <= PAIRS_EACH * left or turn == MOST_ROUNDS or MOST_ROUNDS * (rows - left) < rows
         if last and meet:
             both = side(alone, "a", "n", "d", "i").join(side(alone, "b", "m", "e", "j"), ["grp", "element"]).where(close & (F.col("a") < F.col("b")))
             pairs = pairs.unionByName(both)
