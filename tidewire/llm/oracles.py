@@ -63,4 +63,30 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM l GROUP BY conv_id
 """
 
-ORACLES = {"op4_minhash_near_dedup": NEAR_DUPLICATES, "op7_exact_top_k": TOP_K, "op8_url_filter": URLS, "op9_chat_formatting": CHAT}
+#: The remainders of the reflected polynomial for 4 bits, fixed values of CRC-32.
+_CRC4 = [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, 3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, 4 bits at a time, lower half first."""
+    nibbles = f"flatten([[ascii(c) & 15, ascii(c) >> 4] FOR c IN string_split({text}, '')])"
+    step = f"xor({_CRC4}[CAST(xor(c, CAST(n AS BIGINT)) & 15 AS INT) + 1], c >> 4)"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), CAST({nibbles} AS BIGINT[])), lambda c, n: {step}), 4294967295)"
+
+
+RETENTION = f"""
+WITH c AS (SELECT DISTINCT * FROM clicks WHERE ts IS NOT NULL AND client_id IS NOT NULL),
+h AS (SELECT *, {_crc32("CAST(click_id AS VARCHAR)")} AS h FROM c),
+k AS (SELECT client_id, ts, kind, coalesce(arrived_at + to_days(CAST(CASE WHEN h % 3 = 0 THEN h % 100 ELSE 0 END AS INTEGER)) < TIMESTAMP '2024-02-15 00:00:00', FALSE) AS known,
+  CASE WHEN value IS NULL OR NOT isfinite(value) OR abs(value) >= 9e13 THEN 0 ELSE CAST(floor(100 * value + 0.5) AS BIGINT) END AS cents FROM h),
+s AS (SELECT client_id, min(ts) FILTER (known) AS s0, min(ts) AS s1 FROM k WHERE kind = 'signup' GROUP BY client_id),
+g AS (SELECT client_id, segment FROM clients QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY updated_at DESC NULLS LAST, segment DESC NULLS LAST) = 1),
+u AS (SELECT s.client_id, s0, s1, coalesce(segment, '') AS segment, {_crc32("CAST(s.client_id AS VARCHAR)")} AS crc, CAST(coalesce(CAST(s0 AS DATE) <> CAST(s1 AS DATE), FALSE) AS BIGINT) AS moved FROM s LEFT JOIN g ON g.client_id = s.client_id),
+b AS (
+  SELECT 0 AS state, u.client_id, s0 AS start, ts, segment, crc, moved, cents FROM k JOIN u ON u.client_id = k.client_id WHERE known AND ts >= s0
+  UNION ALL SELECT 1, u.client_id, s1, ts, segment, crc, moved, cents FROM k JOIN u ON u.client_id = k.client_id WHERE ts >= s1),
+p AS (SELECT state, client_id, segment, crc, moved, CAST(date_diff('day', DATE '1970-01-01', CAST(start AS DATE)) AS BIGINT) AS cohort, CAST((epoch_us(ts) - epoch_us(start)) // 86400000000 AS BIGINT) AS period, sum(cents) AS cents FROM b GROUP BY ALL)
+SELECT CAST(state AS INTEGER) AS state, segment, cohort, period, count(*) AS users, CAST(sum(crc) AS BIGINT) AS users_crc32, CAST(sum(moved) AS BIGINT) AS moved, CAST(sum(cents) AS BIGINT) AS cents FROM p GROUP BY state, segment, cohort, period
+"""
+
+ORACLES = {"op4_minhash_near_dedup": NEAR_DUPLICATES, "op7_exact_top_k": TOP_K, "op8_url_filter": URLS, "op9_chat_formatting": CHAT, "op12_cohort_retention": RETENTION}

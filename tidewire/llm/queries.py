@@ -16,6 +16,7 @@ from .neardup import near_duplicates
 from .oracles import ORACLES
 from .packing import pack
 from .quality import quality
+from .retention import arrival, retention
 from .topk import top_k
 from .toxicity import toxicity
 from .urlfilter import judge_urls
@@ -86,3 +87,9 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query
+def op12_cohort_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = arrival(F.col("click_id"), F.col("arrived_at")) < F.lit("2024-02-15 00:00:00").cast("timestamp_ntz")
+    return retention(_table(spark, sf_dir, "clicks"), _table(spark, sf_dir, "clients"), known)
