@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators.lineage import checked, components, heavy_keys, lookup, shared_dir
 
-__all__ = ["checked", "components", "bound_batches", "heavy_keys", "held_out", "lookup", "only", "shared_dir", "small", "stored"]
+__all__ = ["checked", "components", "bound_batches", "forget", "heavy_keys", "held_out", "lookup", "only", "shared_dir", "small", "stored"]
 
 #: A side is broadcast only if it was counted and has at most so many rows of a few dozen bytes each.
 BROADCAST_ROWS = 200_000
@@ -76,6 +76,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame) -> None:
+    """Deletes the files of a :func:`stored` table, of which ``df`` reads columns, at once; nothing else may read it."""
+    spark = df.sparkSession
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if path.rstrip("/").rsplit("/", 2)[-2] == shared_dir(spark).rstrip("/").rsplit("/", 1)[-1]:
+            _forget(spark, path)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if counting shows at most ``rows`` rows; else as it is, for a shuffled join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

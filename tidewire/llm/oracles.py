@@ -63,6 +63,14 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM l GROUP BY conv_id
 """
 
+LINES = f"""
+WITH l AS (SELECT rowid AS r, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM (SELECT row_number() OVER () AS rowid, * FROM documents)),
+k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS key FROM l),
+c AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10),
+m AS (SELECT k.*, c.key IS NOT NULL AS common FROM k LEFT JOIN c ON c.key = k.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (common) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT common), '')) AS kept_sha256 FROM m GROUP BY r, doc_id
+"""
+
 #: The remainders of the reflected polynomial for 4 bits, fixed values of CRC-32.
 _CRC4 = [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, 3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]
 
@@ -89,4 +97,4 @@ p AS (SELECT state, client_id, segment, crc, moved, CAST(date_diff('day', DATE '
 SELECT CAST(state AS INTEGER) AS state, segment, cohort, period, count(*) AS users, CAST(sum(crc) AS BIGINT) AS users_crc32, CAST(sum(moved) AS BIGINT) AS moved, CAST(sum(cents) AS BIGINT) AS cents FROM p GROUP BY state, segment, cohort, period
 """
 
-ORACLES = {"op4_minhash_near_dedup": NEAR_DUPLICATES, "op7_exact_top_k": TOP_K, "op8_url_filter": URLS, "op9_chat_formatting": CHAT, "op12_cohort_retention": RETENTION}
+ORACLES = {"op4_minhash_near_dedup": NEAR_DUPLICATES, "op7_exact_top_k": TOP_K, "op8_url_filter": URLS, "op9_chat_formatting": CHAT, "op11_line_dedup": LINES, "op12_cohort_retention": RETENTION}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .chat import format_conversations
 from .common import bound_batches
 from .fingerprint import edited_fingerprints
+from .linededup import dedup_lines
 from .materialise import training_order
 from .mixing import mix
 from .neardup import near_duplicates
@@ -20,6 +21,7 @@ from .retention import arrival, retention
 from .topk import top_k
 from .toxicity import toxicity
 from .urlfilter import judge_urls
+from .whitening import whiten
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -89,7 +91,18 @@ def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+@_query
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @_query
 def op12_cohort_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = arrival(F.col("click_id"), F.col("arrived_at")) < F.lit("2024-02-15 00:00:00").cast("timestamp_ntz")
     return retention(_table(spark, sf_dir, "clicks"), _table(spark, sf_dir, "clients"), known)
+
+
+@_query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"))
