@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,44 @@ def checked(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Spark deletes a query's shuffle files as soon as it ends.
+_CLEANS = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    except Exception:  # the session is gone
+        return
+
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written once as Parquet to the shared folder and read back: cut lineage that outlives an executor.
+
+    The shuffles behind it are deleted at once, the table at the interpreter's end or by :func:`forget`.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANS, "false")
+    spark.conf.set(_CLEANS, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANS, before)
+    atexit.register(_delete, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes the files of :func:`stored` tables, of which these are columns or rows; nothing may read them any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if path.rsplit("/", 2)[-2] == shared_dir(spark).rstrip("/").rsplit("/", 1)[-1]:
+                _delete(spark, path)
+
+
 #: A key is spread by :func:`lookup` if it has more than a thousandth of the rows, and more rows than this.
 SPREAD_ROWS = 100
 
@@ -59,18 +99,23 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, how: str = "inner", heav
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of the edges (a, b).
 
-    Min-label propagation with pointer jumping; neither a node of many edges nor a large component is one task's.
+    Min-label propagation with pointer jumping; neither a node of many edges nor a large component is one task's.  Each
+    round's tables are deleted once the next ones are written.
     """
     ends = edges.select(F.col("a").alias("x"), F.col("b").alias("y")).where("x IS NOT NULL AND y IS NOT NULL")
-    both = checked(ends.unionByName(ends.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
-    labels = both.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("node"), F.least("x", "m").alias("label"))
-    labels = checked(labels)
+    both = stored(ends.unionByName(ends.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "edges")
+    labels = stored(both.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("node"), F.least("x", "m").alias("label")), "labels")
     nodes, hubs = labels.count(), heavy_keys(both, "y")
     while True:
-        near = lookup(both, labels.select(F.col("node").alias("y"), F.col("label").alias("other")), "y", heavy=hubs, known=True).groupBy("x").agg(F.min("other").alias("other"))
-        met = checked(labels.join(near.withColumnRenamed("x", "node"), "node").select("node", F.col("label").alias("was"), F.least("label", "other").alias("label")))
+        near = lookup(both, labels.select(F.col("node").alias("y"), "label"), "y", heavy=hubs, known=True).select(F.col("x").alias("node"), "label", F.lit(False).alias("own"))
+        own = labels.select("node", "label", F.lit(True).alias("own"))
+        met = near.unionByName(own).groupBy("node").agg(F.max(F.when(F.col("own"), F.col("label"))).alias("was"), F.min("label").alias("label"))
+        met = stored(met, "labels")
         jump = met.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        after = checked(lookup(met, jump, "label", "left", heavy_keys(met, "label", nodes), True).select("node", "was", F.coalesce(F.least("label", "next"), "label").alias("label")))
+        after = lookup(met, jump, "label", "left", heavy_keys(met, "label", nodes), True).select("node", "was", F.coalesce(F.least("label", "next"), "label").alias("label"))
+        after = stored(after, "labels")
+        forget(met, labels)
         labels = after.select("node", "label")
         if after.where("label <> was").isEmpty():
+            forget(both)
             return labels.withColumnRenamed("label", "component")
