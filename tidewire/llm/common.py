@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import ctypes
 import sys
-import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.lineage import checked, components, heavy_keys, lookup, shared_dir
+from ..operators.lineage import checked, components, forget, heavy_keys, lookup, shared_dir, stored
 
 __all__ = ["checked", "components", "bound_batches", "forget", "heavy_keys", "held_out", "lookup", "only", "shared_dir", "small", "stored"]
 
@@ -59,31 +57,6 @@ def only(key: tuple, make: Callable[[], object] = lambda: None):
     return _held[key]
 
 
-def _forget(spark: SparkSession, path: str) -> None:
-    try:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-    except Exception:  # the session is gone
-        return
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet to the shared folder and read back: cut lineage that outlives an executor."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(_forget, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def forget(df: DataFrame) -> None:
-    """Deletes the files of a :func:`stored` table, of which ``df`` reads columns, at once; nothing else may read it."""
-    spark = df.sparkSession
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if path.rstrip("/").rsplit("/", 2)[-2] == shared_dir(spark).rstrip("/").rsplit("/", 1)[-1]:
-            _forget(spark, path)
-
-
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if counting shows at most ``rows`` rows; else as it is, for a shuffled join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import checked, components, heavy_keys, lookup, only, small, stored
+from .common import components, forget, heavy_keys, lookup, only, small, stored
 from .sketch import band_keys, fast_sketch
 
 BANDS, ROWS = 25, 5
@@ -195,15 +195,26 @@ def _with_hub(groups: DataFrame, sets: DataFrame, hub_sets: DataFrame) -> DataFr
 
 def _shared_buckets(rows: DataFrame) -> DataFrame:
     """(bucket, set_key, size, first) of the rows (bucket, set_key) whose bucket has more than one."""
+    rows = stored(rows, "bands")
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("set_key").alias("first")).where("size > 1")
-    return stored(lookup(rows, shared, "bucket"), "buckets")
+    found = stored(lookup(rows, shared, "bucket"), "buckets")
+    forget(rows)
+    return found
 
 
 def _groups(members: DataFrame) -> DataFrame:
-    """(node, grp, meets) of the classes in shared buckets."""
-    groups = components(members.select(F.col("first").alias("a"), F.col("set_key").alias("b")))
-    meets = members.groupBy(F.col("set_key").alias("node")).agg(F.sum("size").alias("meets"))
-    return checked(groups.withColumnRenamed("component", "grp").join(meets, "node"))
+    """(node, grp, meets) of the classes in shared buckets.
+
+    A class goes with the smallest of its buckets' first classes; only those first classes are then connected.
+    """
+    own = members.groupBy(F.col("set_key").alias("node")).agg(F.min("first").alias("label"), F.sum("size").alias("meets"), F.collect_set("first").alias("firsts"))
+    own = stored(own, "labels")
+    edges = own.select(F.col("label").alias("a"), F.explode("firsts").alias("b")).where("a <> b").distinct()
+    found = components(edges)
+    groups = lookup(own.select("node", "label", "meets"), found.withColumnRenamed("node", "label"), "label", "left")
+    groups = stored(groups.select("node", F.coalesce("component", "label").alias("grp"), "meets"), "groups")
+    forget(own, found)
+    return groups
 
 
 def links(classes: DataFrame, elements_of, num: int, den: int) -> DataFrame:
@@ -220,7 +231,7 @@ def links(classes: DataFrame, elements_of, num: int, den: int) -> DataFrame:
     def side(rows: DataFrame, node: str, n: str, d: str, at: str) -> DataFrame:
         return rows.select("grp", "element", F.col("node").alias(node), F.col("n").alias(n), F.col("d").alias(d), F.col("at").alias(at))
 
-    members = _shared_buckets(stored(classes.select("set_key", F.explode("bands").alias("bucket")), "bands"))
+    members = _shared_buckets(classes.select("set_key", F.explode("bands").alias("bucket")))
     groups = _groups(members)
     sets = stored(elements_of(groups.select(F.col("node").alias("set_key"))), "sets")
     found = None
@@ -242,12 +253,17 @@ def links(classes: DataFrame, elements_of, num: int, den: int) -> DataFrame:
         texts = rest.select("node", "rest")
         pairs = pairs.join(texts.withColumnsRenamed({"node": "a", "rest": "ra"}), "a").join(texts.withColumnsRenamed({"node": "b", "rest": "rb"}), "b")
         own = rest.where("linked AND hub IS NOT NULL").select(F.col("node").alias("a"), F.col("hub").alias("b")).unionByName(_confirmed(pairs, num, den))
+        own = stored(own, "links")
         found = own if found is None else found.unionByName(own)
+        old = (hub_sets, rest, index, members, groups)
+        if not last:
+            members = _shared_buckets(members.select("set_key", "bucket").join(rest.where("NOT linked").select(F.col("node").alias("set_key")), "set_key", "left_semi"))
+            groups = _groups(members)
+        forget(*old)
         if last:
-            break
-        members = _shared_buckets(stored(members.select("set_key", "bucket").join(rest.where("NOT linked").select(F.col("node").alias("set_key")), "set_key", "left_semi"), "bands"))
-        groups = _groups(members)
-    return found
+            forget(sets)
+            return found
+    raise AssertionError("the last turn returns")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -292,7 +308,7 @@ def _resolved(docs: DataFrame, made: DataFrame, percent: int, width: int) -> Dat
     # Nulls last; of equal ids the smaller set_key.
     best = firsts.groupBy("component").agg(F.min(F.struct(F.col("first").isNull().alias("late"), "first", "node")).alias("best"))
     best = best.select("component", F.col("best.first").alias("cid"), F.col("best.node").alias("head"))
-    of_class = small(checked(lookup(checked(joined), best, "component").select(F.col("node").alias("set_key"), "cid", "head")))
+    of_class = small(stored(lookup(joined, best, "component").select(F.col("node").alias("set_key"), "cid", "head"), "of-class"))
     out = classes.select("set_key", "first", "n_copies").join(of_class, "set_key", "left")
     own = F.col("head").isNull()
     out = out.select("set_key", "first", "n_copies", F.when(own, F.col("first")).otherwise(F.col("cid")).alias("cid"), (own | (F.col("head") == F.col("set_key"))).alias("head"))
