@@ -300,3 +300,22 @@ def test_benchmark_containment_equals_brute_force(spark):
     norm = catalogue._norm
     sql = f"SELECT doc_id, item_id FROM (SELECT doc_id, {norm('text')} AS d FROM '{sf}/documents.parquet') JOIN (SELECT item_id, {norm('text')} AS i FROM '{sf}/benchmark.parquet') ON i <> '' AND contains(' ' || d || ' ', ' ' || i || ' ')"
     assert out == set(duckdb.sql(sql).fetchall()) and out
+
+
+def test_components_of_more_edges_than_a_task_has(spark, monkeypatch):
+    monkeypatch.setattr("tidewire.operators.lineage.TASK_EDGES", 40)
+    draw = random.Random(7)
+    edges = [(str(i), str(i + 1)) for i in range(100, 160)] + [("500", str(k)) for k in range(501, 640)] + [(str(draw.randrange(700, 900)), str(draw.randrange(700, 900))) for _ in range(90)]
+    edges += edges[:20] + [("7", "7")]
+    root = {n: n for e in edges for n in e}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges + [(None, "1")], "a string, b string").repartition(6)).collect()}
+    assert got == {n: find(n) for n in root}

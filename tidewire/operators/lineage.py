@@ -5,7 +5,11 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,13 +100,63 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, how: str = "inner", heav
     return spread.unionByName(rows.join(few, key, "left_anti").join(table, key, how))
 
 
+#: Edges that one task contracts at a time.
+TASK_EDGES = 200_000
+
+
+def _contracted(edges: pa.Table) -> pa.Table:
+    """(a, b) with a the smallest node that b is connected with, for every node b of the edges (a, b)."""
+    ends = pa.chunked_array([*edges.column("a").chunks, *edges.column("b").chunks], edges.schema.field("a").type).combine_chunks()
+    nodes = ends.unique()
+    nodes = nodes.take(pc.array_sort_indices(nodes))
+    codes = pc.index_in(ends, nodes).to_numpy(zero_copy_only=False).astype(np.int64)
+    a, b = codes[: len(codes) // 2], codes[len(codes) // 2 :]
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, label[a], least)
+        np.minimum.at(new, label[b], least)
+        new = new[new]
+        if (new == label).all():
+            return pa.table({"a": nodes.take(pa.array(label)), "b": nodes})
+        label = new
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges of a task as stars, contracted every TASK_EDGES edges."""
+    held: list[pa.Table] = []
+    rows = limit = 0
+    for batch in batches:
+        held.append(pa.Table.from_batches([batch]))
+        rows += batch.num_rows
+        if rows > limit + TASK_EDGES:
+            held = [_contracted(pa.concat_tables(held))]
+            rows = limit = held[0].num_rows
+    if rows:
+        yield from _contracted(pa.concat_tables(held)).combine_chunks().to_batches(max_chunksize=10_000)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of the edges (a, b).
 
-    Min-label propagation with pointer jumping; neither a node of many edges nor a large component is one task's.  Each
-    round's tables are deleted once the next ones are written.
+    Tasks first contract TASK_EDGES edges each, without a shuffle; what one task holds is done by that.  More edges go
+    through min-label propagation with pointer jumping, where neither a node of many edges nor a large component is one
+    task's.  Each round's tables are deleted once the next ones are written.
     """
-    ends = edges.select(F.col("a").alias("x"), F.col("b").alias("y")).where("x IS NOT NULL AND y IS NOT NULL")
+    given = stored(edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL").distinct(), "edges")
+    tasks = -(-given.count() // TASK_EDGES)
+    stars = stored(given.coalesce(max(1, tasks)).mapInArrow(_contract, given.schema), "stars")
+    forget(given)
+    if tasks <= 1:
+        return stars.select(F.col("b").alias("node"), F.col("a").alias("component"))
+    found = _propagated(stars)
+    forget(stars)
+    return found
+
+
+def _propagated(edges: DataFrame) -> DataFrame:
+    ends = edges.select(F.col("a").alias("x"), F.col("b").alias("y"))
     both = stored(ends.unionByName(ends.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "edges")
     labels = stored(both.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("node"), F.least("x", "m").alias("label")), "labels")
     nodes, hubs = labels.count(), heavy_keys(both, "y")
