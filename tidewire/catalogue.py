@@ -14,6 +14,7 @@ from .operators import claims, cluster, dedup, health, ranking, simjoin, timelin
 from .operators.lineage import components
 from .plans import briefing
 from .sources.store import validated
+from .streaming import catalogue as streamed
 from .streaming import events as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -656,3 +657,9 @@ def tumbling_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def session_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.sessions(_t(spark, sf_dir, "events"))
+
+
+# --- streams ---
+
+for _made, _sql in streamed.queries(_norm("left(text, 80)")):
+    query(_sql)(_made)
