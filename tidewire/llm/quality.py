@@ -23,6 +23,8 @@ from .common import checked, held_out, only, small, stored
 
 #: At most so many labelled documents of each class are learnt from, the first in the order of a hash of doc_id.
 GOOD_SAMPLE = BAD_SAMPLE = 4000
+#: A prior counts for so many documents at least and at most.
+LEAST_STRENGTH, MOST_STRENGTH = 0.1, 1e4
 
 _KINDS = np.zeros(256, dtype=np.int64)  # letter and the rest
 _KINDS[65:91] = 1
@@ -115,15 +117,18 @@ def _described(rows: DataFrame) -> DataFrame:
     return rows.select("good", "text").mapInArrow(run, "good int, x array<double>")
 
 
+def _usable(labels: DataFrame) -> DataFrame:
+    """(doc_id, good) of the labels that aren't held out; of several labels of a document the worse."""
+    rows = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("good"))
+    return rows.where(F.col("doc_id").isNotNull() & F.col("good").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("good").alias("good"))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     """Learns from (doc_id, quality) labels that aren't held out, a bounded sample of each class.
 
     The features are made where the texts are; the driver gets FEATURES numbers for each document of the sample.
     """
-    usable = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("good")).where(
-        F.col("doc_id").isNotNull() & F.col("good").isin(0, 1) & ~held_out(F.col("doc_id"))
-    )
-    usable = usable.groupBy("doc_id").agg(F.min("good").alias("good"))
+    usable = _usable(labels)
     order = F.xxhash64("doc_id", F.lit(13))
     some = usable.where("good = 1").orderBy(order).limit(GOOD_SAMPLE).unionByName(usable.where("good = 0").orderBy(order).limit(BAD_SAMPLE))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -144,28 +149,51 @@ def evidence(model: Classifier, text: Column) -> Column:
     return of(text.cast("string"))
 
 
-def _strength(mean: float, between: float | None, within: float) -> float:
-    """Pseudo-counts of a prior: what the binomial spread inside groups is to the spread between their rates."""
-    return float(np.clip(within / max(between or 0.0, 1e-6) - 1, 1.0, 1e4))
+def base_rate(labels: DataFrame) -> float:
+    """The share of good ones among the labels that may be used; a half without any."""
+    return _usable(labels).agg(F.avg("good")).first()[0] or 0.5
+
+
+def strength(between: float, groups: int, spread: float, within: float, degrees: int) -> float:
+    """How many documents a prior counts for: the variance inside groups over that of the groups' own rates.
+
+    ``between`` is the sum of n (mean - upper mean)^2 over groups, whose number less that of their upper groups is
+    ``groups`` and whose effective number of documents is ``spread``; ``within`` the sum of squares inside groups with
+    ``degrees`` of freedom.  What the groups' means vary by sampling alone is taken off.  Without two documents in a
+    group, or without a second group, nothing says that rates differ: the most.
+    """
+    if degrees <= 0 or groups <= 0 or spread <= 0:
+        return MOST_STRENGTH
+    noise = max(within, 0.0) / degrees
+    own = (between - groups * noise) / spread
+    return float(np.clip(noise / own, LEAST_STRENGTH, MOST_STRENGTH)) if own > 0 else MOST_STRENGTH
 
 
 def site_rates(soft: DataFrame) -> DataFrame:
-    """(host, path, n, total, rate_host, k) of soft labels (host, path, p): per path what a document's prior needs.
+    """(host, path, n, total, host_n, host_total, rate_host, all_n, all_total, k_host, k) of soft labels (host, path, p).
 
-    Grouped aggregation only: paths first, then hosts from the paths, then everything from the hosts, so a host with
-    a third of all rows is summed in parts.
+    Per path what a document's prior needs, and the host's rate with all of its documents.  Grouped aggregation only: paths first, then hosts from the paths, then
+    everything from the hosts, so a host with a third of all rows is summed in parts.  Null hosts and paths are groups of
+    their own; an empty table gives an empty table.
     """
-    paths = checked(soft.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("total")))
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("total").alias("host_total"))
-    whole = hosts.agg(F.sum("host_n").alias("n"), F.sum("host_total").alias("total")).first()
-    n = whole.n or 0
-    mean = min(max((whole.total or 0.0) / n if n else 0.5, 1e-3), 1 - 1e-3)
-    spread = hosts.where("host_n > 1").agg(F.sum(F.col("host_n") * (F.col("host_total") / F.col("host_n") - mean) ** 2) / F.sum("host_n")).first()[0]
-    k_host = _strength(mean, spread, mean * (1 - mean))
-    hosts = hosts.select(F.col("host").alias("site"), ((k_host * mean + F.col("host_total")) / (k_host + F.col("host_n"))).alias("rate_host"))
-    joined = paths.join(small(hosts), F.col("host").eqNullSafe(F.col("site"))).select("host", "path", "n", "total", "rate_host")
-    off = joined.where("n > 1").agg(F.sum(F.col("n") * (F.col("total") / F.col("n") - F.col("rate_host")) ** 2) / F.sum("n")).first()[0]
-    return joined.withColumn("k", F.lit(_strength(mean, off, mean * (1 - mean))))
+    one = F.count(F.lit(1))
+    paths = checked(soft.groupBy("host", "path").agg(one.alias("n"), F.sum("p").alias("total"), F.sum(F.col("p") * F.col("p")).alias("squares")))
+    hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("total").alias("host_total"), one.alias("paths"), F.sum(F.col("total") ** 2 / F.col("n")).alias("of_paths"), F.sum(F.col("n") * F.col("n")).alias("sizes"), F.sum("squares").alias("squares"))
+    hosts = checked(hosts)
+    s = hosts.agg(
+        one.alias("hosts"), F.sum("paths").alias("paths"), F.sum("host_n").alias("n"), F.sum("host_total").alias("total"), F.sum("squares").alias("squares"), F.sum("of_paths").alias("of_paths"),
+        F.sum(F.col("host_total") ** 2 / F.col("host_n")).alias("of_hosts"), F.sum(F.col("sizes") / F.col("host_n")).alias("path_sizes"), F.sum(F.col("host_n") * F.col("host_n")).alias("host_sizes"),
+    ).first()
+    if not s.n:
+        k_host = k = MOST_STRENGTH
+    else:
+        k = strength(s.of_paths - s.of_hosts, s.paths - s.hosts, s.n - s.path_sizes, s.squares - s.of_paths, s.n - s.paths)
+        k_host = strength(s.of_hosts - s.total**2 / s.n, s.hosts - 1, s.n - s.host_sizes / s.n, s.squares - s.of_hosts, s.n - s.hosts)
+    hosts = hosts.select(F.col("host").alias("site"), "host_n", "host_total")
+    joined = paths.join(small(hosts), F.col("host").eqNullSafe(F.col("site"))).select("host", "path", "n", "total", "host_n", "host_total")
+    mean = s.total / s.n if s.n else 0.5
+    rate_host = (k_host * mean + F.col("host_total")) / (k_host + F.col("host_n"))
+    return joined.withColumns({"rate_host": rate_host, "all_n": F.lit(s.n or 0).cast("bigint"), "all_total": F.lit(s.total or 0.0), "k_host": F.lit(k_host), "k": F.lit(k)})
 
 
 def _logit(p: Column) -> Column:
@@ -174,16 +202,24 @@ def _logit(p: Column) -> Column:
 
 
 def posterior(seen: DataFrame, rates: DataFrame, prior: float) -> DataFrame:
-    """``seen`` (host, path, evidence and others) with site_rate and score, the posterior of good quality."""
-    rate = (F.col("k") * F.col("rate_host") + F.col("total") - _soft(prior)) / (F.col("k") + F.col("n") - 1)
+    """``seen`` (host, path, evidence and others) with site_rate and score, the posterior of good quality.
+
+    A document's own soft label is taken out of its path, its host and the whole before they are its prior, so its
+    evidence counts once: alone on its host it has the rate of all others.
+    """
+    own = _soft(prior)
+    top = F.when(F.col("all_n") > 1, (F.col("all_total") - own) / (F.col("all_n") - 1)).otherwise(F.lit(prior))
+    host = (F.col("k_host") * top + F.col("host_total") - own) / (F.col("k_host") + F.col("host_n") - 1)
+    rate = (F.col("k") * host + F.col("total") - own) / (F.col("k") + F.col("n") - 1)
     rates = rates.withColumnsRenamed({"host": "of_host", "path": "of_path"})
     joined = seen.join(rates, F.col("host").eqNullSafe(F.col("of_host")) & F.col("path").eqNullSafe(F.col("of_path")), "left")
     joined = joined.withColumn("site_rate", rate).withColumn("score", 1 / (1 + F.exp(-(F.col("evidence") + _logit(F.col("site_rate"))))))
-    return joined.drop("of_host", "of_path", "n", "total", "rate_host", "k")
+    return joined.drop("of_host", "of_path", "n", "total", "host_n", "host_total", "rate_host", "all_n", "all_total", "k_host", "k")
 
 
 def _soft(prior: float) -> Column:
     """A document's soft label: its evidence on top of the base rate."""
+    prior = min(max(prior, 1e-3), 1 - 1e-3)
     return 1 / (1 + F.exp(-(F.col("evidence") + math.log(prior / (1 - prior)))))
 
 
@@ -191,28 +227,30 @@ def _rates(seen: DataFrame, prior: float) -> DataFrame:
     return small(checked(site_rates(seen.select("host", "path", _soft(prior).alias("p")))))
 
 
-def quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", threshold: float = 0.5, prior: float = 0.8, model: Classifier | None = None) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", threshold: float = 0.5, prior: float | None = None, model: Classifier | None = None) -> DataFrame:
     """(doc_id, host, path, evidence, site_rate, score, kept) of each row of ``docs`` (doc_id, text, host, path).
 
     A document is kept if its posterior reaches ``threshold``; ``prior`` is the base rate of the soft labels that the
-    sites are rated by.  Null hosts and paths are groups of their own.  Null and empty texts are judged by the form
-    of an empty text.  Repeated rows give a row each; other columns are ignored; an empty table gives an empty table.
-    Without labels of both kinds the evidence is 0 and every document has the base rate.
+    sites are rated by, if not given that of the labels.  Null hosts and paths are groups of their own.  Null and empty
+    texts are judged by the form of an empty text.  Repeated rows give a row each; other columns are ignored; an empty
+    table gives an empty table.  Without labels of both kinds the evidence is 0 and every document has the base rate.
     """
     model = model or fit(docs, labels)
+    prior = base_rate(labels) if prior is None else prior
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(host).alias("host"), F.col(path).alias("path"), evidence(model, F.col("text")).alias("evidence"))
     seen = stored(rows, "evidence")
     return posterior(seen, _rates(seen, prior), prior).select("doc_id", "host", "path", "evidence", "site_rate", "score", (F.col("score") >= threshold).alias("kept"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", threshold: float = 0.5, prior: float = 0.8) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", threshold: float = 0.5, prior: float | None = None) -> DataFrame:
     """The rows of ``docs`` that :func:`quality` keeps, with all their columns, whatever their names.
 
     Nulls, empty texts, repeated rows and empty tables are as there; equal rows are kept or dropped together.
     """
     model = fit(docs, labels)
+    prior = base_rate(labels) if prior is None else prior
     fields = [*docs.columns]
-    row = F.struct(*(F.col(f"`{c}`") for c in fields)).alias("row")  # user columns can't clash with those made here
+    row = F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in fields)).alias("row")  # user columns can't clash with those made here
     seen = docs.select(row, F.col(host).alias("host"), F.col(path).alias("path"), evidence(model, F.col("text")).alias("evidence"))
     rates = _rates(seen.drop("row"), prior)
     return posterior(seen, rates, prior).where(F.col("score") >= threshold).select("row.*")

@@ -26,7 +26,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import textops as T
@@ -505,17 +504,30 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[int], f
     order = F.xxhash64("doc_id", F.lit(7))
     some = usable.where("toxic = 1").orderBy(order).limit(TOXIC_SAMPLE).unionByName(usable.where("toxic = 0").orderBy(order).limit(CLEAN_SAMPLE))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = texts.join(small(some), "doc_id").select("doc_id", "text", "toxic", order.alias("place"), F.octet_length("text").cast("bigint").alias("size"))
-    # Bounded by rows, and by bytes: each class has half of them, in the same order.
-    running = F.sum("size").over(W.partitionBy("toxic").orderBy("place", "doc_id", F.sha2("text", 256)).rowsBetween(W.unboundedPreceding, 0))
-    rows = found.withColumn("running", running).where(F.col("running") <= SAMPLE_BYTES // 2).select("text", "toxic").collect()
+    found = texts.join(small(some), "doc_id").select("doc_id", "text", "toxic", order.alias("place"), F.octet_length("text").cast("bigint").alias("size"), F.sha2("text", 256).alias("digest"))
+    sizes = found.select("toxic", "place", "doc_id", "digest", "size").distinct().collect()  # a row a document of the sample
+    chosen = sample_within(sorted(map(tuple, sizes)), SAMPLE_BYTES // 2)
+    ids = docs.sparkSession.createDataFrame([c[2:4] for c in chosen], "doc_id bigint, digest string")
+    rows = found.join(F.broadcast(ids), ["doc_id", "digest"]).select("text", "toxic").collect()
     return [r.text for r in rows], [r.toxic for r in rows], share
 
 
+def sample_within(rows: list[tuple], most: int) -> list[tuple]:
+    """The rows (class, ..., size), in order, that fit into ``most`` bytes a class; one that doesn't is passed over."""
+    used: dict[int, int] = {}
+    chosen = []
+    for row in rows:
+        if used.get(row[0], 0) + row[-1] <= most:
+            used[row[0]] = used.get(row[0], 0) + row[-1]
+            chosen.append(row)
+    return chosen
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """A model of (doc_id, toxic) labels of documents (doc_id, text); rows that are held out give no label.
 
-    At most TOXIC_SAMPLE and CLEAN_SAMPLE labelled documents with SAMPLE_BYTES of text are used.  Without labels of
+    At most TOXIC_SAMPLE and CLEAN_SAMPLE labelled documents with SAMPLE_BYTES of text are used; a text that
+    doesn't fit into what is left of its class's half is passed over.  Without labels of
     both kinds, or words that tell them apart, every document gets the base rate.
     """
     texts, toxic, share = _sample(docs, labels)
