@@ -109,19 +109,59 @@ def test_one_source_needs_equal_wording_and_stored_events_go_on(spark):
     assert sum(len(e.article_ids) for e in events.values() if e.is_new) + sum(len(e.article_ids) - 1 for e in events.values() if not e.is_new) == 2
 
 
-def test_components_do_not_change_clusters(spark):
-    draw = random.Random(5)
-    heads = ["OpenAI ships GPT-5", "Meta ships Llama 4", "New paper on chips", "EU act on chips", "NVIDIA GPU launch event"]
-    rows = [(draw.choice(heads) + " " + " ".join(draw.choices("now today in europe for phones and more".split(), k=draw.randrange(4))), f"s{draw.randrange(6)}") for _ in range(60)]
-    df = articles(spark, rows)
-    out = sorted((r.id, tuple(r.article_ids)) for r in cluster.cluster_articles(df.repartition(3)).collect())
-    from tidewire.functions.categories import classify
+def walk(rows, rules=cluster.ClusterRules()):
+    """Articles (id, title, source, entities) one after the other against every event: {event id: article ids}."""
+    weigh = lambda e: round(cluster._weight(e) * 1000)
+    versions = lambda es: {f: {e.rpartition("-")[2] for e in es if e.rpartition("-")[0] == f and cluster._weight(e) == 1.0} for f in {e.rpartition("-")[0] for e in es if e.startswith("model:") and cluster._weight(e) == 1.0}}
+    events = []
+    for i, title, source, entities in rows:
+        best, top = None, rules.threshold
+        for e in events:
+            mine, theirs = versions(entities), versions(e["entities"])
+            if any(not mine[f] & theirs[f] for f in mine.keys() & theirs.keys()):
+                continue
+            shared = entities & e["entities"]
+            strongest = max((weigh(x) / 1000 for x in shared), default=0.0)
+            wording = max(dice(grams(title), grams(t)) for t in e["titles"][-rules.titles :])
+            needed = 0.0 if strongest >= rules.decisive else rules.wording_least if strongest >= rules.gate else rules.wording_alone
+            if wording < (max(needed, rules.wording_same_source) if source in e["sources"] else needed):
+                continue
+            whole = sum(map(weigh, entities | e["entities"]))
+            score = (rules.entity_share * (sum(map(weigh, shared)) / whole) if whole else 0.0) + (1 - rules.entity_share) * wording
+            score = max(score, wording if wording >= rules.wording_alone else rules.threshold if strongest >= rules.decisive else 0.0)
+            if score >= top:
+                best, top = e, score
+        if best is None:
+            events.append({"id": f"evt_{i}", "ids": [i], "titles": [title], "sources": {source}, "entities": set(entities)})
+        elif i not in best["ids"]:
+            best["ids"].append(i)
+            best["titles"].append(title)
+            best["sources"].add(source)
+            best["entities"] |= entities
+    return sorted((e["id"], tuple(e["ids"]), tuple(sorted(e["entities"])), frozenset(e["sources"])) for e in events)
+
+
+@pytest.mark.parametrize(("seed", "slice_rows"), [(5, 20_000), (6, 25), (7, 7)])
+def test_clusters_equal_the_walk(spark, monkeypatch, seed, slice_rows):
     from tidewire.functions.entities import article_entities
 
-    node = df.select("ord", F.lit(False).alias("stored"), "id", "title", classify(F.col("title"), F.col("summary"), F.col("source_id")).alias("category"), article_entities(F.col("title"), F.col("summary")).alias("entities"), trigrams(F.col("title")).alias("grams"), "source_id", F.col("fetched_at").alias("at"))
-    whole = [r.asDict() for r in node.orderBy("ord").collect()]
-    want = sorted((e["id"], tuple(e["article_ids"])) for e in cluster.fold_component(whole, cluster.ClusterRules()))
-    assert out == want
+    monkeypatch.setattr(cluster, "SLICE_ROWS", slice_rows)
+    draw = random.Random(seed)
+    # Half of the rows name one version: one component that takes several slices.
+    heads = ["OpenAI ships GPT-5", "OpenAI ships GPT-5", "GPT-5 and Llama 4", "Meta ships Llama 4", "New paper on chips", "EU act on chips", "NVIDIA GPU launch event", "GPT-5"]
+    rows = [(draw.choice(heads) + " " + " ".join(draw.choices("now today in europe for phones and more with CUDA".split(), k=draw.randrange(6))), f"s{draw.randrange(9)}") for _ in range(150)]
+    df = articles(spark, rows)
+    out = sorted((r.id, tuple(r.article_ids), tuple(sorted(r.entities)), frozenset(r.source_ids)) for r in cluster.cluster_articles(df.repartition(3)).collect())
+    named = {r.id: set(r.e) for r in df.select("id", article_entities(F.col("title"), F.col("summary")).alias("e")).collect()}
+    assert out == walk([(f"a{k}", t, s, named[f"a{k}"]) for k, (t, s) in enumerate(rows)])
+
+
+def test_a_fold_forgets_titles_that_left_their_events():
+    fold = cluster._Fold(cluster.ClusterRules())
+    row = lambda k, t: {"stored": False, "id": f"a{k}", "title": t, "category": "x", "entities": ["model:gpt", "model:gpt-5"], "titles": [list(grams(t))], "source_id": f"s{k}", "at": k, "article_ids": [], "source_ids": []}
+    for k in range(5000):
+        fold.add(row(k, f"GPT-5 story {k % 40}"))
+    assert len(fold.events) == 1 and len(fold.index.size) <= 2049 and len(next(fold.out())["titles"]) == 12
 
 
 @pytest.mark.parametrize("seed", range(3))

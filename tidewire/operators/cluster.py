@@ -1,25 +1,29 @@
 """Grouping articles into events that persist across days.
 
 Articles join the best-scoring event so far or open a new one, in input order.  No article can join an event unless it
-shares a versioned entity with one of its members or a title of sufficient likeness, so the connected components of
-those relations hold every event whole: components are found distributed, and the order-dependent part runs once per
-component.
+shares an entity of some weight with one of its members or a title of sufficient likeness, so the connected components of
+those relations hold every event whole: components are found distributed, and the order-dependent part goes slice by slice
+through each component.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.categories import classify
 from ..functions.entities import DECISIVE_WEIGHT, GATE_WEIGHT, MODEL_FAMILIES, OTHER_WEIGHT, VERSIONED_WEIGHT, WEIGHTS, article_entities, weight
 from ..functions.text import trigrams
-from .lineage import checked, components
+from .lineage import components, lookup, stored
+from .ranking import ranked
 from .simjoin import similar_pairs
 
 
@@ -56,70 +60,144 @@ def _versions(entities: set[str]) -> dict[str, set[str]]:
     return found
 
 
-def _likeness(a: frozenset[str], b: frozenset[str]) -> float:
-    return 2 * len(a & b) / (len(a) + len(b)) if a and b else 0.0
-
-
-class _Event:
-    """An event while its component is folded."""
-
-    def __init__(self, row: dict, new: bool, rules: ClusterRules) -> None:
-        self.id, self.title, self.category, self.new, self.touched = row["id"], row["title"], row["category"], new, new
-        self.entities, self.articles, self.sources = set(row["entities"]), dict.fromkeys(row["article_ids"]), dict.fromkeys(row["source_ids"])
-        self.first, self.last = row["first_seen"], row["last_updated"]
-        self.grams: deque[frozenset[str]] = deque([frozenset(row["grams"])], maxlen=rules.titles)
-
-    def score(self, entities: set[str], grams: frozenset[str], source: str, rules: ClusterRules) -> float:
-        mine, theirs = _versions(entities), _versions(self.entities)
-        if any(not (mine[f] & theirs[f]) for f in mine.keys() & theirs.keys()):
-            return 0.0
-        shared = entities & self.entities
-        strongest = max(map(_weight, shared), default=0.0)
-        wording = max(_likeness(grams, g) for g in self.grams)
-        needed = 0.0 if strongest >= rules.decisive else rules.wording_least if strongest >= rules.gate else max(rules.wording_alone, rules.wording_least)
-        if source in self.sources:
-            needed = max(needed, rules.wording_same_source)
-        if wording < needed:
-            return 0.0
-        whole = sum(map(_weight, entities | self.entities)) if entities and self.entities else 0.0
-        blend = (rules.entity_share * sum(map(_weight, shared)) / whole if whole else 0.0) + (1 - rules.entity_share) * wording
-        floor = wording if wording >= rules.wording_alone else rules.threshold if strongest >= rules.decisive else 0.0
-        return max(blend, floor)
+#: Weights as whole numbers, so that sums don't depend on their order.
+_UNIT = 1000
+
+
+def _units(entity: str) -> int:
+    return round(_weight(entity) * _UNIT)
+
+
+class _Index:
+    """What is known of the open events by trigram, entity, family and source; positions are those of the events."""
+
+    def __init__(self) -> None:
+        self.grams: dict[str, array] = {}
+        self.of_title, self.size, self.alive = array("q"), array("q"), array("b")
+        self.entities: dict[str, array] = {}
+        self.families: dict[str, array] = {}
+        self.sources: dict[str, array] = {}
+        self.whole = array("q")
+
+    def put(self, kind: dict[str, array], name: str, event: int) -> None:
+        kind.setdefault(name, array("q")).append(event)
+
+    def title(self, grams: frozenset[str], event: int) -> int:
+        for g in grams:
+            self.grams.setdefault(g, array("q")).append(len(self.size))
+        self.of_title.append(event)
+        self.size.append(len(grams))
+        self.alive.append(1)
+        return len(self.size) - 1
+
+
+def _at(kind: dict[str, array], name: str) -> np.ndarray:
+    found = kind.get(name)
+    return np.frombuffer(found, np.int64) if found else np.zeros(0, np.int64)
+
+
+class _Fold:
+    """The events of one component, in the order in which they were opened, and the scores of all of them at once."""
+
+    def __init__(self, rules: ClusterRules) -> None:
+        self.rules, self.events, self.index = rules, [], _Index()
+
+    def open(self, row: dict) -> None:
+        """An event as it is: one that was stored, one that an earlier slice left, or one that an article opens."""
+        k, event = len(self.events), dict(row)
+        event["entities"], event["article_ids"], event["source_ids"] = set(), dict.fromkeys(row["article_ids"]), dict.fromkeys(row["source_ids"])
+        event["places"] = deque(self.index.title(frozenset(t), k) for t in row["titles"])
+        event["titles"] = deque((list(t) for t in row["titles"]), maxlen=self.rules.titles)
+        self.events.append(event)
+        self.index.whole.append(0)
+        self._name(k, row["entities"])
+        for s in event["source_ids"]:
+            self.index.put(self.index.sources, s, k)
+
+    def _name(self, k: int, entities: Iterable[str]) -> None:
+        event, index = self.events[k], self.index
+        for e in set(entities) - event["entities"]:
+            event["entities"].add(e)
+            index.put(index.entities, e, k)
+            index.whole[k] += _units(e)
+            for family in _versions({e}):
+                if k not in _at(index.families, family)[-1:] and k not in _at(index.families, family):
+                    index.put(index.families, family, k)
+
+    def scores(self, entities: set[str], grams: frozenset[str], source: str) -> np.ndarray:
+        rules, index, n = self.rules, self.index, len(self.events)
+        wording, shared, strongest = np.zeros(n), np.zeros(n), np.zeros(n)
+        posts = [np.frombuffer(index.grams[g], np.int64) for g in grams if g in index.grams]
+        if posts:
+            met = np.bincount(np.concatenate(posts), minlength=len(index.size))
+            at = np.flatnonzero(met * np.frombuffer(index.alive, np.int8))
+            np.maximum.at(wording, np.frombuffer(index.of_title, np.int64)[at], 2 * met[at] / (len(grams) + np.frombuffer(index.size, np.int64)[at]))
+        for e in entities:
+            at = _at(index.entities, e)
+            shared[at] += _units(e)
+            strongest[at] = np.maximum(strongest[at], _weight(e))
+        apart = np.zeros(n, dtype=bool)
+        for family, versions in _versions(entities).items():
+            other = np.zeros(n, dtype=bool)
+            other[_at(index.families, family)] = True
+            for v in versions:
+                other[_at(index.entities, f"{family}-{v}")] = False
+            apart |= other
+        needed = np.where(strongest >= rules.decisive, 0.0, np.where(strongest >= rules.gate, rules.wording_least, max(rules.wording_alone, rules.wording_least)))
+        same = _at(index.sources, source)
+        needed[same] = np.maximum(needed[same], rules.wording_same_source)
+        whole = np.frombuffer(index.whole, np.int64) + sum(map(_units, entities)) - shared
+        blend = rules.entity_share * np.divide(shared, whole, out=np.zeros(n), where=whole > 0) + (1 - rules.entity_share) * wording
+        floor = np.where(wording >= rules.wording_alone, wording, np.where(strongest >= rules.decisive, rules.threshold, 0.0))
+        return np.where(apart | (wording < needed), 0.0, np.maximum(blend, floor))
 
     def add(self, row: dict) -> None:
-        if row["id"] in self.articles:
+        entities, grams = set(row["entities"]), frozenset(row["titles"][0])
+        best = None
+        if self.events:
+            scores = self.scores(entities, grams, row["source_id"])
+            best = len(scores) - 1 - int(np.argmax(scores[::-1]))  # of equal scores the one opened last
+            best = best if scores[best] >= self.rules.threshold else None
+        if best is None:
+            self.open(row | {"id": f"evt_{row['id']}", "article_ids": [row["id"]], "source_ids": [row["source_id"]], "first_seen": row["at"], "last_updated": row["at"], "is_new": True, "touched": True})
             return
-        self.articles[row["id"]] = self.sources[row["source_id"]] = None
-        self.grams.append(frozenset(row["grams"]))
-        self.entities |= set(row["entities"])
-        self.first, self.last, self.touched = min(self.first, row["at"]), max(self.last, row["at"]), True
-
-    def out(self) -> dict:
-        return {
-            "id": self.id, "canonical_title": self.title, "category": self.category, "entities": sorted(self.entities), "article_ids": list(self.articles),
-            "source_ids": list(self.sources), "first_seen": self.first, "last_updated": self.last, "is_new": self.new,
-        }
-
-
-def fold_component(rows: list[dict], rules: ClusterRules) -> Iterator[dict]:
-    """The touched events of one component, whose rows (stored events and articles) are in order."""
-    events: list[_Event] = []
+        event, index = self.events[best], self.index
+        if row["id"] in event["article_ids"]:
+            return
+        event["article_ids"][row["id"]] = None
+        if row["source_id"] not in event["source_ids"]:
+            event["source_ids"][row["source_id"]] = None
+            index.put(index.sources, row["source_id"], best)
+        event["titles"].append(list(row["titles"][0]))
+        event["places"].append(index.title(grams, best))
+        if len(event["places"]) > self.rules.titles:
+            index.alive[event["places"].popleft()] = 0
+        self._name(best, entities)
+        event["first_seen"], event["last_updated"], event["touched"] = min(event["first_seen"], row["at"]), max(event["last_updated"], row["at"]), True
+        if len(index.size) > 2048 and 2 * sum(index.alive) < len(index.size):
+            self._drop_dead()
+
+    def _drop_dead(self) -> None:
+        """Titles that left their events' last ones go from the index."""
+        index = self.index
+        index.grams, index.of_title, index.size, index.alive = {}, array("q"), array("q"), array("b")
+        for k, event in enumerate(self.events):
+            event["places"] = deque(index.title(frozenset(t), k) for t in event["titles"])
+
+    def out(self) -> Iterator[dict]:
+        for e in self.events:
+            yield e | {"entities": sorted(e["entities"]), "article_ids": list(e["article_ids"]), "source_ids": list(e["source_ids"]), "titles": list(e["titles"])}
+
+
+def fold_component(rows: Iterable[dict], rules: ClusterRules) -> Iterator[dict]:
+    """All events of one component after its rows, events (``stored``) and articles, in order."""
+    fold = _Fold(rules)
     for row in rows:
         if row["stored"]:
-            events.append(_Event(row, False, rules))
-            continue
-        entities, grams = set(row["entities"]), frozenset(row["grams"])
-        best, top = None, rules.threshold
-        for event in events:
-            score = event.score(entities, grams, row["source_id"], rules)
-            if score >= top:
-                best, top = event, score
-        if best is None:
-            seed = row | {"id": f"evt_{row['id']}", "article_ids": [row["id"]], "source_ids": [row["source_id"]], "first_seen": row["at"], "last_updated": row["at"]}
-            events.append(_Event(seed, True, rules))
+            fold.open(row)
         else:
-            best.add(row)
-    return (e.out() for e in events if e.touched)
+            fold.add(row)
+    return fold.out()
 
 
 EVENT_SCHEMA = (
@@ -128,55 +206,97 @@ EVENT_SCHEMA = (
 )
 
 
-def _edges(nodes: DataFrame, rules: ClusterRules) -> DataFrame:
-    """(a, b) pairs of ``ord`` whose articles may meet in one event."""
-    each = nodes.select("ord", F.explode("entities").alias("entity"))
-    first = each.groupBy("entity").agg(F.min("ord").alias("first"))
-    decisive = each.where(weight(F.col("entity")) >= rules.decisive).join(first, "entity").select(F.col("first").alias("a"), F.col("ord").alias("b"))
-    specific = each.where(weight(F.col("entity")) >= rules.gate).join(first, "entity").where("first < ord").select(F.col("ord").alias("b")).distinct().withColumn("specific", F.lit(True))
-    titles = checked(nodes.groupBy("title").agg(F.min("ord").alias("first"), F.first("grams").alias("grams")))
-    pairs = similar_pairs(titles, "first", "grams", min(rules.wording_least, rules.wording_alone)).select("a", "b", "similarity")
-    # Rows of one title are one node of the title graph; a likeness below the upper gate only counts for rows that
-    # share a specific entity with something before them.
-    flags = nodes.select("ord", "title").join(specific, F.col("ord") == F.col("b"), "left").groupBy("title").agg(F.max("specific").alias("specific"))
-    flagged = titles.select("title", "first").join(flags, "title").where("specific").select("first")
-    able = flagged.withColumn("able", F.lit(True))
-    pairs = pairs.join(able.select(F.col("first").alias("a"), F.col("able").alias("able_a")), "a", "left").join(able.select(F.col("first").alias("b"), F.col("able").alias("able_b")), "b", "left")
-    near = pairs.where((F.col("similarity") >= rules.wording_alone) | F.coalesce("able_a", F.lit(False)) | F.coalesce("able_b", F.lit(False))).select("a", "b")
-    same = nodes.select("ord", "title").join(titles.select("title", "first"), "title").where("first < ord").select(F.col("first").alias("a"), F.col("ord").alias("b"))
-    return decisive.unionByName(near).unionByName(same)
+#: What passes from slice to slice: an event or an article, with the trigrams of its last titles.
+_ROW = (
+    "component bigint, ord bigint, stored boolean, id string, title string, category string, entities array<string>, titles array<array<string>>, source_id string, at timestamp, "
+    "article_ids array<string>, source_ids array<string>, first_seen timestamp, last_updated timestamp, is_new boolean, touched boolean"
+)
+_NAMES = [c.split()[0] for c in _ROW.split(", ")]
+#: Articles of a component that one task folds before the next slice goes on.
+SLICE_ROWS = 20_000
+
+
+def _components(nodes: DataFrame, rules: ClusterRules) -> DataFrame:
+    """(node, component) of ``ord``: rows of different components never meet in one event.
+
+    An article joins an event by an entity of the gate's weight that a member has, or by its wording alone.  The first
+    rows of each such entity and of each title are connected with the others, and alike titles only where that has not
+    put them together already.
+    """
+    each = nodes.select("ord", F.explode("entities").alias("entity")).where(weight(F.col("entity")) >= min(rules.gate, rules.decisive))
+    named = stored(nodes.select("ord", F.col("title").alias("key")).unionByName(each.select("ord", F.concat(F.lit("\0"), "entity").alias("key"))), "names")
+    first = named.groupBy("key").agg(F.min("ord").alias("first"))
+    stars = lookup(named, first, "key").where("first < ord").select(F.col("first").alias("a"), F.col("ord").alias("b"))
+    known = components(stars)
+    titles = nodes.groupBy("title").agg(F.min("ord").alias("first"), F.first("titles").getItem(0).alias("grams"))
+    apart = titles.join(known.select(F.col("node").alias("first"), "component"), "first", "left").withColumn("component", F.coalesce("component", "first"))
+    pairs = similar_pairs(stored(apart, "titles"), "first", "grams", rules.wording_alone, apart="component").select("a", "b")
+    return components(known.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(pairs))
+
+
+def _sliced(placed: DataFrame) -> DataFrame:
+    """``placed`` with its ``slice`` of its component, about SLICE_ROWS rows each in order, and the component's ``last``.
+
+    ``ord`` is unique, so a block of SLICE_ROWS numbers has no more rows; whole blocks make up slices.
+    """
+    block = F.floor(F.col("ord") / SLICE_ROWS)
+    sizes = placed.groupBy("component", block.alias("block")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(W.partitionBy("component").orderBy("block")) - F.col("n")  # a row a block
+    number = sizes.withColumn("slice", F.floor(before / SLICE_ROWS))
+    cuts = number.groupBy("component", "slice").agg(F.min("block").alias("low"))
+    cuts = cuts.withColumn("last", F.max("slice").over(W.partitionBy("component")))
+    large = cuts.where("last > 0").groupBy("component").agg(F.sort_array(F.collect_list("low")).alias("lows"))
+    out = lookup(placed, large, "component", "left")
+    place = F.size(F.filter("lows", lambda x: x <= block)) - 1
+    return out.select("*", F.when(F.col("lows").isNull(), 0).otherwise(place).alias("slice"), F.when(F.col("lows").isNull(), 0).otherwise(F.size("lows") - 1).alias("last")).drop("lows")
 
 
 def cluster_articles(articles: DataFrame, existing: DataFrame | None = None, rules: ClusterRules = ClusterRules()) -> DataFrame:
     """The events that ``articles`` open or extend: EVENT_SCHEMA's columns, one row an event.
 
-    ``articles``: ord (unique, from 0), id, title, summary, source_id, published_at, fetched_at.  ``existing``: events
-    as returned, each a possible home; they come before articles, newest last_updated first.  Ties between events go
-    to the one that was opened last.
+    ``articles``: ord (unique), id, title, summary, source_id, published_at, fetched_at.  ``existing``: events as
+    returned, each a possible home; they come before articles, newest last_updated first.  Ties between events go to the
+    one that was opened last.  A null title has no trigrams.
+
+    Each article may change the event that the next one looks at, so a component is folded in order; it is cut into
+    slices of SLICE_ROWS rows, and a slice starts from the events that the one before it left.  No task holds more than a
+    slice and its component's events; components run side by side.
     """
+    none = F.array().cast("array<string>")
     node = articles.select(
         F.col("ord").cast("bigint").alias("ord"), F.lit(False).alias("stored"), "id", "title", classify(F.col("title"), F.col("summary"), F.col("source_id")).alias("category"),
-        article_entities(F.col("title"), F.col("summary")).alias("entities"), trigrams(F.col("title")).alias("grams"), "source_id", F.coalesce("published_at", "fetched_at").alias("at"),
-        F.array().cast("array<string>").alias("article_ids"), F.array().cast("array<string>").alias("source_ids"), F.lit(None).cast("timestamp").alias("first_seen"), F.lit(None).cast("timestamp").alias("last_updated"),
+        article_entities(F.col("title"), F.col("summary")).alias("entities"), F.array(trigrams(F.coalesce("title", F.lit("")))).alias("titles"), "source_id", F.coalesce("published_at", "fetched_at").alias("at"),
+        none.alias("article_ids"), none.alias("source_ids"), F.lit(None).cast("timestamp").alias("first_seen"), F.lit(None).cast("timestamp").alias("last_updated"), F.lit(False).alias("is_new"), F.lit(False).alias("touched"),
     )
     if existing is not None:
-        from pyspark.sql import Window as W
-
-        place = F.row_number().over(W.orderBy(F.desc("last_updated"), "id"))  # the open events of a few days
+        held = ranked(existing.select(*[c.split()[0] for c in EVENT_SCHEMA.split(", ")][:-1]), [F.desc("last_updated"), F.asc("id")])
+        low = node.agg(F.min("ord")).first()[0] or 0
         count = existing.count()
-        held = existing.select(
-            (place - 1 - count).cast("bigint").alias("ord"), F.lit(True).alias("stored"), "id", F.col("canonical_title").alias("title"), "category", "entities", trigrams(F.col("canonical_title")).alias("grams"),
-            F.lit("").alias("source_id"), F.col("last_updated").alias("at"), "article_ids", "source_ids", "first_seen", "last_updated",
-        )
-        node = node.unionByName(held)
-    node = checked(node)
-    placed = node.join(components(_edges(node, rules)).withColumnRenamed("node", "ord"), "ord", "left").withColumn("component", F.coalesce("component", "ord"))
+        node = node.unionByName(held.select(
+            (F.col("rank") - 1 - count + F.lit(low)).cast("bigint").alias("ord"), F.lit(True).alias("stored"), "id", F.col("canonical_title").alias("title"), "category", "entities", F.array(trigrams(F.col("canonical_title"))).alias("titles"),
+            F.lit("").alias("source_id"), F.col("last_updated").alias("at"), "article_ids", "source_ids", "first_seen", "last_updated", F.lit(False).alias("is_new"), F.lit(False).alias("touched"),
+        ))
+    node = stored(node, "articles")
+    found = _components(node, rules)
+    placed = node.join(found.withColumnRenamed("node", "ord"), "ord", "left").withColumn("component", F.coalesce("component", "ord"))
+    placed = stored(_sliced(stored(placed, "placed")), "slices")
 
     def fold(group: pd.DataFrame) -> pd.DataFrame:
         rows = group.sort_values("ord").to_dict("records")
-        return pd.DataFrame(list(fold_component(rows, rules)), columns=[c.split()[0] for c in EVENT_SCHEMA.split(", ")])
-
-    return placed.groupBy("component").applyInPandas(fold, EVENT_SCHEMA)
+        component = rows[0]["component"]
+        made = [e | {"component": component, "stored": True} for e in fold_component(rows, rules)]
+        return pd.DataFrame(made, columns=_NAMES)
+
+    events = carried = None
+    for k in range((placed.agg(F.max("last")).first()[0] or 0) + 1):
+        rows = placed.where(F.col("slice") == k).select(*_NAMES)
+        whole = rows if carried is None else rows.unionByName(carried)
+        done = stored(whole.groupBy("component").applyInPandas(fold, _ROW), "events")
+        ends = placed.where(F.col("last") == k).select("component").distinct()
+        ended = done.where("touched").join(ends, "component", "left_semi")
+        events = ended if events is None else events.unionByName(ended)
+        carried = done.join(placed.where(F.col("last") > k).select("component").distinct(), "component", "left_semi")
+    return events.select("id", F.col("title").alias("canonical_title"), "category", "entities", "article_ids", "source_ids", "first_seen", "last_updated", "is_new")
 
 
 def cluster_stats(events: DataFrame) -> DataFrame:

@@ -16,27 +16,31 @@ def prefix_size(n: Column, threshold: float) -> Column:
     return n - shared + 1
 
 
-def similar_pairs(df: DataFrame, key: str, tokens: str, threshold: float, same: Sequence[str] = ()) -> DataFrame:
+def similar_pairs(df: DataFrame, key: str, tokens: str, threshold: float, same: Sequence[str] = (), apart: str | None = None) -> DataFrame:
     """(a, b, similarity) with a < b for all pairs of rows whose Dice is at least ``threshold``.
 
-    ``key`` is unique.  ``same`` are columns that have to agree; they go into the join key.  Tokens are ordered by
+    ``key`` is unique.  ``same`` are columns that have to agree; they go into the join key.  ``apart`` is one that has to
+    differ: tokens that only rows of one value have are not joined at all.  Tokens are ordered by
     their number of rows, rarest first, and only each row's prefix is indexed; the exact coefficient is computed on
     the candidates.  Rows without tokens are similar to nothing.
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold has to be within 0 and 1, and not 0")
-    rows = df.select(F.col(key).alias("k"), F.col(tokens).alias("tokens"), *[F.col(c).alias(f"same_{i}") for i, c in enumerate(same)]).where(F.size("tokens") > 0)
-    keys = [f"same_{i}" for i in range(len(same))]
-    each = rows.select("k", *keys, F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    rows = df.select(F.col(key).alias("k"), F.col(tokens).alias("tokens"), *[F.col(c).alias(f"same_{i}") for i, c in enumerate(same)], *([F.col(apart).alias("apart")] if apart else [])).where(F.size("tokens") > 0)
+    keys, told = [f"same_{i}" for i in range(len(same))], ["apart"] if apart else []
+    each = rows.select("k", *keys, *told, F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
     often = each.groupBy("token").agg(F.count(F.lit(1)).alias("often"))
     place = F.row_number().over(W.partitionBy("k").orderBy("often", "token"))
     index = each.join(often, "token").withColumn("place", place).where(F.col("place") <= prefix_size(F.col("n"), threshold))
-    index = index.select("k", *keys, "n", "token", "place")
-    left = index.select(F.col("k").alias("a"), *keys, F.col("n").alias("na"), "token", F.col("place").alias("pa"))
-    right = index.select(F.col("k").alias("b"), *keys, F.col("n").alias("nb"), "token", F.col("place").alias("pb"))
+    index = index.select("k", *keys, *told, "n", "token", "place")
+    if apart:
+        mixed = index.groupBy("token", *keys).agg((F.min("apart") != F.max("apart")).alias("mixed")).where("mixed").drop("mixed")
+        index = index.join(mixed, ["token", *keys], "left_semi")
+    left = index.select(F.col("k").alias("a"), *keys, *[F.col(c).alias("apart_a") for c in told], F.col("n").alias("na"), "token", F.col("place").alias("pa"))
+    right = index.select(F.col("k").alias("b"), *keys, *[F.col(c).alias("apart_b") for c in told], F.col("n").alias("nb"), "token", F.col("place").alias("pb"))
     least = math.nextafter(threshold, 0) * (F.col("na") + F.col("nb")) / 2 - 1e-9
     room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) + 1
-    pairs = left.join(right, ["token", *keys]).where((F.col("a") < F.col("b")) & (room >= least)).select("a", "b").distinct()
+    pairs = left.join(right, ["token", *keys]).where((F.col("a") < F.col("b")) & (room >= least) & ((F.col("apart_a") != F.col("apart_b")) if apart else F.lit(True))).select("a", "b").distinct()
     sets = rows.select("k", "tokens")
     found = pairs.join(sets.select(F.col("k").alias("a"), F.col("tokens").alias("ta")), "a").join(sets.select(F.col("k").alias("b"), F.col("tokens").alias("tb")), "b")
     score = 2.0 * F.size(F.array_intersect("ta", "tb")) / (F.size("ta") + F.size("tb"))
