@@ -12,6 +12,7 @@ from .functions import categories, entities, text, urls
 from .functions.categories import RULES, Profile
 from .operators import claims, cluster, dedup, health, ranking, simjoin, timeline
 from .operators.lineage import components
+from .operators.quantiles import exact_median
 from .plans import briefing
 from .sources.store import validated
 from .streaming import catalogue as streamed
@@ -297,6 +298,13 @@ def median_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "events").groupBy(F.to_date("ts").cast("string").alias("day")).agg(F.median("value").alias("median_value"), F.count(F.lit(1)).alias("n"))
 
 
+@query("SELECT kind, count(value) AS n, median(value) AS median FROM clicks WHERE value IS NULL OR isfinite(value) GROUP BY kind")
+def median_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks have few kinds and any number of values in each."""
+    clicks = _t(spark, sf_dir, "clicks").where(F.col("value").isNull() | (~F.isnan("value") & (F.abs("value") < float("inf"))))
+    return exact_median(clicks, ["kind"], "value")
+
+
 # --- entities and categories ---
 
 _HEADLINES = (

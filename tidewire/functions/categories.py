@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import bounded, bounded_name, normalize_text
+from .text import bound, bounded, bounded_name, normalize_text
 
 # Rules in order, the first that has a keyword in the text decides.
 RULES = (
@@ -39,10 +39,15 @@ def has_word(padded: Column, words: Sequence[str]) -> Column:
 
 def classify(title: Column, summary: Column, source_id: Column | None = None) -> Column:
     padded = F.concat(F.lit(" "), normalize_text(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(summary, F.lit("")))), F.lit(" "))
-    out = F.when(F.startswith(F.coalesce(source_id, F.lit("")), F.lit("arxiv")), F.lit("research")) if source_id is not None else F.when(F.lit(False), F.lit(""))
-    for name, words in RULES:
-        out = out.when(has_word(padded, words), F.lit(name))
-    return out.otherwise(F.lit("other"))
+    paper = F.startswith(F.coalesce(source_id, F.lit("")), F.lit("arxiv")) if source_id is not None else F.lit(False)
+
+    def named(words_: Column) -> Column:
+        out = F.when(F.lit(False), F.lit(""))
+        for name, words in RULES:
+            out = out.when(has_word(words_, words), F.lit(name))
+        return out.otherwise(F.lit("other"))
+
+    return F.when(paper, F.lit("research")).otherwise(bound(padded, named))
 
 
 @dataclass(frozen=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import bounded, bounded_name
+from .text import bound, bounded, bounded_name
 
 # Names and the keys that they stand for.
 ORGANISATIONS = {
@@ -34,18 +34,17 @@ GATE_WEIGHT, DECISIVE_WEIGHT = 0.5, 1.0
 SUMMARY_CHARS = 400
 
 
-def _mentioned(words: Column, names: dict[str, str]) -> Column:
+def _mentioned(words: Column, names: list[tuple[str, str]]) -> Column:
     """The values of all names that occur as whole words."""
-    table = F.array(*[F.struct(F.lit(bounded_name(n)).alias("name"), F.lit(k).alias("key")) for n, k in names.items()])
-    return F.transform(F.filter(table, lambda e: F.contains(words, e["name"])), lambda e: e["key"])
+    table = F.array(*[F.struct(F.lit(bounded_name(n)).alias("name"), F.lit(k).alias("key")) for n, k in names])
+    return bound(words, lambda w: F.transform(F.filter(table, lambda e: F.contains(w, e["name"])), lambda e: e["key"]))
 
 
 def extract_entities(text: Column) -> Column:
     """Distinct sorted keys: org:, product:, model: (families and versions) and term: (acronyms)."""
     t = F.coalesce(text, F.lit(""))
     words = bounded(t)
-    named = {n: f"org:{k}" for n, k in ORGANISATIONS.items()} | {n: f"product:{n}" for n in PRODUCTS}
-    families = {n: f"model:{n}" for n in MODEL_FAMILIES}
+    named = [(n, f"org:{k}") for n, k in ORGANISATIONS.items()] + [(n, f"product:{n}") for n in PRODUCTS] + [(n, f"model:{n}") for n in MODEL_FAMILIES]
     joined = "|".join(sorted(MODEL_FAMILIES, key=len, reverse=True))
     versioned = rf"(?i)(?<![\p{{L}}\p{{N}}_])(?:{joined})[\s\-]?\d+(?:\.\d+)*(?![\p{{L}}\p{{N}}_])"
     hits = F.transform(F.regexp_extract_all(t, F.lit(versioned), F.lit(0)), F.lower)
@@ -55,7 +54,7 @@ def extract_entities(text: Column) -> Column:
     bare = F.transform(hits, lambda h: F.concat(F.lit("model:"), family(h)))
     terms = F.regexp_extract_all(t, F.lit(r"(?<![\p{L}\p{N}_])[A-Z]{2,6}(?![\p{L}\p{N}_])"), F.lit(0))
     terms = F.transform(F.filter(terms, lambda a: ~a.isin(*STOP_ACRONYMS)), lambda a: F.concat(F.lit("term:"), F.lower(a)))
-    return F.array_sort(F.array_distinct(F.concat(_mentioned(words, named), _mentioned(words, families), whole, bare, terms)))
+    return F.array_sort(F.array_distinct(F.concat(_mentioned(words, named), whole, bare, terms)))
 
 
 def article_entities(title: Column, summary: Column) -> Column:
@@ -101,4 +100,5 @@ def has_conflicting_version(a: Column, b: Column) -> Column:
     va, vb = pick(a), pick(b)
     both = F.array_intersect(F.transform(va, family), F.transform(vb, family))
     of = lambda v, f: F.filter(v, lambda x: family(x) == f)
-    return F.exists(both, lambda f: ~F.arrays_overlap(of(va, f), of(vb, f)))
+    apart = lambda v: F.exists(v["both"], lambda f: ~F.arrays_overlap(of(v["a"], f), of(v["b"], f)))
+    return bound(F.struct(va.alias("a"), vb.alias("b"), both.alias("both")), apart)

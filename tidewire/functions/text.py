@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -17,6 +18,11 @@ MONTHS = ("january", "february", "march", "april", "may", "june", "july", "augus
 NUMBER_PATTERN = r"\d+(?:[.\-]\d+)*"
 
 
+def bound(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)`` with ``value`` computed once: inside a lambda Spark computes an outer expression for each element."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def normalize_text(text: Column) -> Column:
     """Comparison form: lower case, no signs, single blanks; '' for null.
 
@@ -64,10 +70,9 @@ def content_hash(title: Column, summary: Column) -> Column:
 
 def trigrams(text: Column) -> Column:
     """Distinct trigrams of the comparison form, two blanks before and one after it; none for an empty one."""
-    norm = normalize_text(text)
-    padded = F.concat(F.lit("  "), norm, F.lit(" "))
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(norm) + 1), lambda i: F.substring(padded, i, F.lit(3))))
-    return F.when(norm == "", F.array().cast("array<string>")).otherwise(grams)
+    cut = lambda p: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(p) - 2), lambda i: F.substring(p, i, F.lit(3))))
+    grams = lambda norm: F.when(norm == "", F.array().cast("array<string>")).otherwise(bound(F.concat(F.lit("  "), norm, F.lit(" ")), cut))
+    return bound(normalize_text(text), grams)
 
 
 def dice(a: Column, b: Column) -> Column:
