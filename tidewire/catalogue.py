@@ -14,6 +14,7 @@ from .operators import claims, cluster, dedup, health, ranking, simjoin, timelin
 from .operators.lineage import components
 from .operators.quantiles import exact_median
 from .plans import briefing
+from .sources.feeds_xml import feed_entries
 from .sources.store import validated
 from .streaming import catalogue as streamed
 from .streaming import events as streams
@@ -130,6 +131,20 @@ def json_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_id", F.col("parsed.k").alias("k"), "violation")
 
 
+_CLEAN = "trim(regexp_replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '&middot;', '·'), '&copy;', '©'), '&quot;', chr(34)), '&amp;', '&'), '\\s+', ' ', 'g'))"
+
+
+@query(f"SELECT 'p' || page_id AS source_id, trim(url) AS url, 'Page ' || page_id || ' & more' AS title, epoch_us(TIMESTAMP '2024-01-01' + to_seconds(page_id)) AS published_us, nullif(left({_CLEAN}, 2000), '') AS summary FROM pages WHERE regexp_matches(trim(url), '^https?://[^/\\s]+')")
+def feed_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as feeds of one entry, whole html as the description, and read back."""
+    when = F.date_format(F.timestamp_seconds(F.lit(1_704_067_200) + F.col("page_id")), "dd MMM yyyy HH:mm:ss 'GMT'")
+    quoted = lambda c: F.concat(F.lit("<![CDATA["), F.replace(F.col(c), F.lit("]]>"), F.lit("]]]]><![CDATA[>")), F.lit("]]>"))
+    body = F.concat(F.lit("<rss><channel><item><title>Page "), "page_id", F.lit(" &amp;amp; more</title><link>"), quoted("url"), F.lit("</link><pubDate>"), when, F.lit("</pubDate><description>"), quoted("html"), F.lit("</description></item></channel></rss>"))
+    files = _t(spark, sf_dir, "pages").select(F.concat(F.lit("p"), "page_id").alias("source_id"), F.encode(body, "UTF-8").alias("content"))
+    out = feed_entries(files)
+    return out.select("source_id", "url", "title", F.unix_micros(F.from_utc_timestamp(F.col("published_at").cast("timestamp"), F.current_timezone())).alias("published_us"), "summary")
+
+
 # --- urls ---
 
 _REST = r"regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.\-]*://', '//')"
@@ -185,17 +200,34 @@ def dedup_first_per_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.first_per_key(rows, ["h"], "doc_id").select("doc_id", "source")
 
 
-@query()
+_GREEDY = (
+    f"t AS (SELECT doc_id AS ord, left(text, 80) AS title, {_norm('left(text, 80)')} AS norm, left(sha256({_norm('text')} || chr(0)), 32) AS hash, row_number() OVER (ORDER BY doc_id) AS k, source FROM documents), "
+    f"g AS (SELECT *, {_grams('norm')} AS grams, array_to_string({_SIGNATURE}, '|') AS sig FROM t), "
+    "x AS (SELECT b.ord AS b, a.ord AS a, a.hash = b.hash AS same FROM g a JOIN g b ON a.ord < b.ord AND (a.hash = b.hash OR (len(a.grams) > 0 AND len(b.grams) > 0 AND a.sig = b.sig "
+    "AND 2.0 * least(length(a.title), length(b.title)) >= 0.9 * (length(a.title) + length(b.title)) AND 2.0 * least(len(a.grams), len(b.grams)) >= 0.9 * (len(a.grams) + len(b.grams)) "
+    "AND 2.0 * len(list_intersect(a.grams, b.grams)) / (len(a.grams) + len(b.grams)) >= 0.9))), "
+    "n AS (SELECT t.k, t.ord, coalesce(list(x.a) FILTER (x.a IS NOT NULL), []) AS before FROM t LEFT JOIN x ON x.b = t.ord GROUP BY t.k, t.ord), "
+    "r(k, kept) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT n.k, CASE WHEN list_has_any(r.kept, n.before) THEN r.kept ELSE list_append(r.kept, n.ord) END FROM r JOIN n ON n.k = r.k + 1), "
+    "w AS (SELECT x.b AS ord, min(x.a) FILTER (same) AS by_hash, min(x.a) AS by_any FROM x WHERE x.a IN (SELECT ord FROM (SELECT unnest(kept) AS ord FROM (SELECT kept FROM r ORDER BY k DESC LIMIT 1))) GROUP BY x.b), "
+    "d AS (SELECT t.ord, CAST(t.ord AS VARCHAR) AS id, w.ord IS NULL AS kept, CASE WHEN w.ord IS NULL THEN NULL WHEN by_hash IS NOT NULL THEN 'duplicate_content' ELSE 'similar_title' END AS reason, "
+    "CAST(CASE WHEN by_hash IS NOT NULL THEN by_hash ELSE by_any END AS VARCHAR) AS kept_id, source FROM t LEFT JOIN w ON w.ord = t.ord)"
+)
+
+
+@query(f"WITH RECURSIVE {_GREEDY} SELECT ord, id, kept, reason, kept_id FROM d")
 def greedy_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.deduplicate(briefing.as_articles(_t(spark, sf_dir, "documents")))
 
 
-@query()
+@query(
+    f"WITH RECURSIVE {_GREEDY} SELECT count(*) AS n_input, count(*) FILTER (kept) AS n_unique, count(*) FILTER (NOT kept) AS n_duplicates, round(count(*) FILTER (NOT kept) / count(*), 3) AS duplicate_rate, "
+    "count(*) FILTER (reason = 'duplicate_url') AS duplicate_url, count(*) FILTER (reason = 'duplicate_content') AS duplicate_content, count(*) FILTER (reason = 'similar_title') AS similar_title FROM d"
+)
 def dedup_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.dedup_stats(greedy_dedup(spark, sf_dir))
 
 
-@query()
+@query(f"WITH RECURSIVE {_GREEDY} SELECT source AS source_id, coalesce(reason, 'kept') AS reason, count(*) AS n FROM d GROUP BY ALL")
 def dedup_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return briefing.dedup_funnel(_t(spark, sf_dir, "documents"))
 
@@ -226,7 +258,10 @@ def near_dup_benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(number("b").alias("doc_id"), number("a").alias("item_id"))
 
 
-@query()
+@query(
+    f"WITH t AS (SELECT doc_id, ' ' || {_norm('text')} || ' ' AS norm FROM documents), b AS (SELECT item_id, {_norm('text')} AS norm FROM benchmark) "
+    "SELECT doc_id, item_id FROM t JOIN b ON b.norm <> '' AND contains(t.norm, ' ' || b.norm || ' ')"
+)
 def benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a whole benchmark item, anywhere; near_dup_benchmark_overlap is the SQL's, of first 80 characters."""
     docs = _t(spark, sf_dir, "documents").select("doc_id", text.normalize_text(F.col("text")).alias("norm"))
@@ -450,7 +485,20 @@ def capped_topk_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.shortlist(_scored(spark, sf_dir)).select(F.col("rank").cast("bigint").alias("rank"), "id", "category", "score")
 
 
-@query()
+@query(
+    f"WITH {_entity_sql()}, n AS (SELECT p_partkey, title, ' ' || regexp_replace(lower(title), '[^\\p{{L}}\\p{{N}}_]', ' ', 'g') || ' ' AS t, {_norm('title')} AS norm FROM h), "
+    f"c AS (SELECT p_partkey, title, norm, {_rules_sql(chr(39) + ' ' + chr(39) + ' || norm || ' + chr(39) + ' ' + chr(39))} AS category, CAST(instr(t, ' pytorch ') > 0 AS INT) + CAST(instr(t, ' gpu ') > 0 AS INT) + CAST(instr(t, ' open weights ') > 0 AS INT) AS i, "
+    "CAST(instr(t, ' funding ') > 0 AS INT) + CAST(instr(t, ' series b ') > 0 AS INT) AS l FROM n), "
+    "s AS (SELECT *, round(least(10.0, greatest(0.0, 6.0 * CASE category WHEN 'model_release' THEN 0.9 WHEN 'funding' THEN 0.2 ELSE 0.5 END + 2.0 * least(i, 2) - 2.0 * least(l, 2))), 3) AS score FROM c), "
+    "o AS (SELECT *, row_number() OVER (ORDER BY score DESC, p_partkey DESC) AS place, row_number() OVER (PARTITION BY category ORDER BY score DESC, p_partkey DESC) AS own FROM s), "
+    f"top AS (SELECT *, row_number() OVER (ORDER BY place) AS rank FROM (SELECT * FROM o ORDER BY own > 4, place LIMIT 20)), g AS (SELECT *, {_grams('norm')} AS g, {_SIGNATURE} AS sig FROM top), "
+    f"w AS (SELECT p_partkey, entity, {_WEIGHT_SQL} AS w FROM e JOIN top USING (p_partkey)), m AS (SELECT p_partkey, sum(w) AS total FROM w GROUP BY 1), "
+    "p AS (SELECT a.p_partkey AS a, b.p_partkey AS b, a.rank AS ra, b.rank AS rb, 2.0 * len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g)) AS wording FROM g a JOIN g b ON a.rank < b.rank AND a.category = b.category AND a.sig = b.sig), "
+    "q AS (SELECT p.a, p.b, sum(x.w) AS shared, max(x.w) AS strongest, count(*) AS k FROM p JOIN w x ON x.p_partkey = p.a JOIN w y ON y.p_partkey = p.b AND y.entity = x.entity GROUP BY p.a, p.b), "
+    "b AS (SELECT p.*, 0.5 * CASE WHEN x.total IS NULL OR y.total IS NULL THEN 0 ELSE coalesce(shared, 0) / (x.total + y.total - coalesce(shared, 0)) END + 0.5 * wording AS blend FROM p LEFT JOIN q ON q.a = p.a AND q.b = p.b "
+    "LEFT JOIN m x ON x.p_partkey = p.a LEFT JOIN m y ON y.p_partkey = p.b WHERE strongest >= 1 OR k >= 2 OR wording >= 0.35) "
+    "SELECT a AS left_id, b AS right_id, round(blend, 3) AS similarity FROM b WHERE blend >= 0.12 ORDER BY round(blend, 3) DESC, ra, rb LIMIT 5"
+)
 def candidate_pairs_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report: the five most alike pairs of the shortlist of all parts."""
     rows = _headlines(spark, sf_dir).select(F.col("p_partkey").alias("id"), F.col("title").alias("canonical_title"), categories.classify(F.col("title"), F.lit("")).alias("category"), entities.extract_entities(F.col("title")).alias("entities"))
@@ -486,6 +534,15 @@ def connected_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components(e.join(first, "p").select("a", F.col("o").alias("b")).where("a <> b"))
 
 
+@query(
+    "WITH RECURSIVE e AS (SELECT client_id AS a, master_id AS b FROM clients WHERE client_id IS NOT NULL AND master_id IS NOT NULL), n AS (SELECT a, b FROM e UNION SELECT b, a FROM e), "
+    "r(node, c) AS (SELECT a, a FROM n UNION SELECT n.b, r.c FROM r JOIN n ON n.a = r.node) SELECT node, min(c) AS component FROM r GROUP BY node"
+)
+def client_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clients and the records that they were merged into: many small components."""
+    return components(_t(spark, sf_dir, "clients").select(F.col("client_id").alias("a"), F.col("master_id").alias("b")))
+
+
 @query(
     "WITH t AS (SELECT conv_id, list_sort(list(DISTINCT role)) AS roles, min(turn) AS lo, max(turn) AS hi FROM conversations GROUP BY conv_id) "
     "SELECT a.conv_id AS id, array_to_string(list_concat(a.roles, list_filter(b.roles, lambda x: NOT list_contains(a.roles, x))), '|') AS roles, least(a.lo, b.lo) AS lo, greatest(a.hi, b.hi) AS hi FROM t a JOIN t b ON b.conv_id = a.conv_id + 1"
