@@ -137,7 +137,7 @@ _CLEAN = "trim(regexp_replace(replace(replace(replace(replace(regexp_replace(htm
 @query(f"SELECT 'p' || page_id AS source_id, trim(url) AS url, 'Page ' || page_id || ' & more' AS title, epoch_us(TIMESTAMP '2024-01-01' + to_seconds(page_id)) AS published_us, nullif(left({_CLEAN}, 2000), '') AS summary FROM pages WHERE regexp_matches(trim(url), '^https?://[^/\\s]+')")
 def feed_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as feeds of one entry, whole html as the description, and read back."""
-    when = F.date_format(F.timestamp_seconds(F.lit(1_704_067_200) + F.col("page_id")), "dd MMM yyyy HH:mm:ss 'GMT'")
+    when = F.date_format(F.to_utc_timestamp(F.timestamp_seconds(F.lit(1_704_067_200) + F.col("page_id")), F.current_timezone()), "dd MMM yyyy HH:mm:ss 'GMT'")
     quoted = lambda c: F.concat(F.lit("<![CDATA["), F.replace(F.col(c), F.lit("]]>"), F.lit("]]]]><![CDATA[>")), F.lit("]]>"))
     body = F.concat(F.lit("<rss><channel><item><title>Page "), "page_id", F.lit(" &amp;amp; more</title><link>"), quoted("url"), F.lit("</link><pubDate>"), when, F.lit("</pubDate><description>"), quoted("html"), F.lit("</description></item></channel></rss>"))
     files = _t(spark, sf_dir, "pages").select(F.concat(F.lit("p"), "page_id").alias("source_id"), F.encode(body, "UTF-8").alias("content"))

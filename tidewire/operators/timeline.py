@@ -95,5 +95,15 @@ def carried(events: DataFrame, touched: DataFrame, now: Column, hours: int = 24)
     return events.join(touched.select("id"), "id", "left_anti").where(F.col("last_updated") >= now - F.make_interval(hours=F.lit(hours)))
 
 
+def candidates(events: DataFrame, touched: DataFrame, now: Column, hours: int = 24) -> DataFrame:
+    """What a briefing may tell of: the events of this run, and the others of the last hours; columns of ``touched``."""
+    return touched.unionByName(carried(events, touched, now, hours).select(*touched.columns))
+
+
+def seen_entities(events: DataFrame, touched: DataFrame) -> DataFrame:
+    """(entity): the entities of stored events that this run didn't touch, once each."""
+    return events.join(touched.select("id"), "id", "left_anti").select(F.explode("entities").alias("entity")).distinct()
+
+
 def is_developing(first_seen: Column, last_updated: Column) -> Column:
     return F.to_date(first_seen) < F.to_date(last_updated)

@@ -153,10 +153,24 @@ def write_briefing(root: str, day: date, briefing: DataFrame) -> bool:
     if briefing.where(F.size("stories") > 0).isEmpty() and _exists(spark, path):
         if not spark.read.json(path).where(F.size("stories") > 0).isEmpty():
             return False
-    briefing.write.mode("overwrite").json(path)
+    replace(briefing, path)
     return True
 
 
+def replace(df: DataFrame, path: str) -> None:
+    """Writes ``df`` as JSON beside ``path`` and puts it in its place only when it is whole; ``df`` may read ``path``."""
+    spark = df.sparkSession
+    new, old = f"{path}.new", f"{path}.old"
+    files = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    system = files(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    df.write.mode("overwrite").json(new)
+    system.delete(files(old), True)
+    if system.exists(files(path)):
+        system.rename(files(path), files(old))
+    system.rename(files(new), files(path))
+    system.delete(files(old), True)
+
+
 STORY = (
     "struct<rank:int,event_id:string,headline:string,what_happened:string,why_it_matters:string,confidence:double,category:string,score:double,first_seen:timestamp,last_updated:timestamp,"
     "sources:array<struct<source_id:string,title:string,url:string>>,claims:array<struct<text:string,supported_by:array<string>,contradicted_by:array<string>,status:string>>>"
