@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import identity_signature, length_allows, trigrams
-from .lineage import checked
+from .lineage import forget, heavy_keys, lookup, stored
 from .simjoin import similar_pairs
 
 # The similarity from which titles are the same, and the reasons in the order of their passes.
@@ -35,7 +35,7 @@ def alike_titles(titles: DataFrame, threshold: float = TITLE_THRESHOLD) -> DataF
     Alike: Dice of trigrams and the raw lengths' bound reach the threshold and the identity tokens agree.
     """
     rows = titles.select("title", trigrams(F.col("title")).alias("grams"), identity_signature(F.col("title")).alias("signature")).where(F.size("grams") > 0)
-    rows = checked(rows)
+    rows = stored(rows, "titles")
     pairs = similar_pairs(rows, "title", "grams", threshold, same=["signature"]).where(length_allows(F.col("a"), F.col("b"), threshold))
     one = pairs.select(F.col("a").alias("title"), F.col("b").alias("other"))
     return one.unionByName(pairs.select(F.col("b").alias("title"), F.col("a").alias("other"))).unionByName(rows.select("title", F.col("title").alias("other")))
@@ -52,12 +52,14 @@ def deduplicate(articles: DataFrame, known_ids: DataFrame | None = None, known_h
     flag = lambda known, name: known.select(F.col(known.columns[0]).alias(name)).where(f"{name} IS NOT NULL").distinct().withColumn(f"known_{name}", F.lit(True))
     for known, name in ((known_ids, "id"), (known_hashes, "content_hash")):
         rows = rows.join(flag(known, name), name, "left") if known is not None else rows.withColumn(f"known_{name}", F.lit(None).cast("boolean"))
-    alike = checked(alike_titles(rows.select("title").where("title IS NOT NULL").distinct(), threshold))
+    alike = stored(alike_titles(rows.select("title").where("title IS NOT NULL").distinct(), threshold), "alike")
     known = F.coalesce("known_id", F.lit(False)) | F.coalesce("known_content_hash", F.lit(False))
-    state = checked(rows.select("ord", "id", "content_hash", "title", "known_id", "known_content_hash", F.when(known, "dropped").otherwise("open").alias("state")))
+    state = stored(rows.select("ord", "id", "content_hash", "title", "known_id", "known_content_hash", F.when(known, "dropped").otherwise("open").alias("state")), "dedup")
+    hot = {c: heavy_keys(state, c) for c in ("id", "content_hash", "title")}  # rows of these stay where they are
     while not state.where("state = 'open'").isEmpty():
-        state = checked(_round(state, alike))
-    return _reasons(state, alike)
+        before, state = state, stored(_round(state, alike, hot), "dedup")
+        forget(before)
+    return _reasons(state, alike, hot)
 
 
 def _firsts(state: DataFrame, key: str, out: str) -> DataFrame:
@@ -71,8 +73,14 @@ def _by_title(state: DataFrame, alike: DataFrame) -> DataFrame:
     return alike.join(other, "other").groupBy("title").agg(F.min("t_open").alias("t_open"), F.min("t_kept").alias("t_kept"))
 
 
-def _round(state: DataFrame, alike: DataFrame) -> DataFrame:
-    wide = state.join(_firsts(state, "id", "i"), "id", "left").join(_firsts(state, "content_hash", "h"), "content_hash", "left").join(_by_title(state, alike), "title", "left")
+def _with(rows: DataFrame, by_id: DataFrame, by_hash: DataFrame, by_title: DataFrame, hot: dict[str, DataFrame | None]) -> DataFrame:
+    for table, key in ((by_id, "id"), (by_hash, "content_hash"), (by_title, "title")):
+        rows = lookup(rows, table, key, "left", hot[key], known=True)
+    return rows
+
+
+def _round(state: DataFrame, alike: DataFrame, hot: dict[str, DataFrame | None]) -> DataFrame:
+    wide = _with(state, _firsts(state, "id", "i"), _firsts(state, "content_hash", "h"), _by_title(state, alike), hot)
     before = lambda c: F.coalesce(F.col(c) < F.col("ord"), F.lit(False))
     blocked = before("i_kept") | before("h_kept") | before("t_kept")
     waits = before("i_open") | before("h_open") | before("t_open")
@@ -80,13 +88,13 @@ def _round(state: DataFrame, alike: DataFrame) -> DataFrame:
     return wide.select(*[c for c in state.columns if c != "state"], new.alias("state"))
 
 
-def _reasons(state: DataFrame, alike: DataFrame) -> DataFrame:
-    kept = checked(state.where("state = 'kept'").select("ord", "id", "content_hash", "title"))
+def _reasons(state: DataFrame, alike: DataFrame, hot: dict[str, DataFrame | None]) -> DataFrame:
+    kept = state.where("state = 'kept'").select("ord", "id", "content_hash", "title")
     by_id = kept.where("id IS NOT NULL").select("id", F.col("ord").alias("i_ord"))
     by_hash = kept.where("content_hash IS NOT NULL").groupBy("content_hash").agg(F.min_by("id", "ord").alias("h_id"), F.min("ord").alias("h_ord"))
     titled = kept.groupBy(F.col("title").alias("other")).agg(F.min(F.struct("ord", "id")).alias("first"))
     by_title = alike.join(titled, "other").groupBy("title").agg(F.min("first").alias("t"))
-    wide = state.join(by_id, "id", "left").join(by_hash, "content_hash", "left").join(by_title, "title", "left")
+    wide = _with(state, by_id, by_hash, by_title, hot)
     before = lambda c: F.coalesce(F.col(c) < F.col("ord"), F.lit(False))
     reason = (
         F.when(F.col("state") == "kept", F.lit(None))

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .lineage import stored
+
 
 def prefix_size(n: Column, threshold: float) -> Column:
     """How many of n tokens, in one order for all rows, have to be indexed so that no pair is missed."""
@@ -54,20 +56,30 @@ def _windows(words: Column, width: Column | int) -> Column:
     return F.array_distinct(F.flatten(F.transform(F.array(words), runs)))
 
 
+#: Runs of items are sent to the texts' tasks if there are at most so many.
+SENT_RUNS = 200_000
+
+
 def containing(texts: DataFrame, items: DataFrame, text: str, item: str, anchor: int = 5) -> DataFrame:
     """The pairs of keys of ``texts`` and ``items`` (key, norm) where a text holds all of an item's words in a row.
 
     Items are indexed by that run of ``anchor`` words which the fewest items have (by all words, where they are fewer);
-    a text meets an item by that run, and its whole text is then looked for.  Items without a word are in no pair.
+    a text meets an item by that run, and its whole text is then looked for.  The items' runs are sent to the texts if
+    they are few (counted), so only runs that an item has leave a text's task.  Items without a word are in no pair.
     """
     words = items.where("norm <> ''").select(item, F.col("norm").alias("__item"), F.split("norm", " ").alias("__words"))
     sized = words.withColumn("__width", F.least(F.size("__words"), F.lit(anchor)))
     runs = sized.select(item, "__item", "__width", F.explode(_windows(F.col("__words"), F.col("__width"))).alias("__run"))
     often = runs.groupBy("__run").agg(F.count(F.lit(1)).alias("__n"))
     rarest = runs.join(often, "__run").groupBy(item, "__item", "__width").agg(F.min(F.struct("__n", "__run")).getField("__run").alias("__run"))
+    rarest = stored(rarest, "runs")
     widths = sorted(r[0] for r in rarest.select("__width").distinct().collect())  # at most ``anchor`` of them
+    few = rarest.limit(SENT_RUNS + 1).count() <= SENT_RUNS
     split = F.split("norm", " ")
     found = F.flatten(F.array(*[_windows(split, w) for w in widths])) if widths else F.array().cast("array<string>")
-    met = texts.where("norm <> ''").select(text, F.explode(found).alias("__run")).join(rarest, "__run").select(text, item, "__item")
+    each = texts.where("norm <> ''").select(text, F.explode(found).alias("__run"))
+    if few:
+        each = each.join(F.broadcast(rarest.select("__run").distinct()), "__run", "left_semi")
+    met = each.join(F.broadcast(rarest) if few else rarest, "__run").select(text, item, "__item")
     whole = texts.select(text, F.concat(F.lit(" "), "norm", F.lit(" ")).alias("__text"))
     return met.join(whole, text).where(F.contains("__text", F.concat(F.lit(" "), "__item", F.lit(" ")))).select(text, item)
