@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import shutil
 from datetime import datetime, timedelta
 
 import pytest
@@ -30,12 +31,12 @@ def contents(spark, root):
     return articles, events, store.read_state(spark, root)
 
 
-def both(spark, root, stop=None):
+def both(spark, root, first, stop=None):
     def after(stage):
         if stage == stop:
             raise KeyboardInterrupt
 
-    daily.daily_run(spark, root, entries(spark, 0, FIRST), NOW)
+    shutil.copytree(first, root)
     if stop:
         with pytest.raises(KeyboardInterrupt):
             daily.daily_run(spark, root, entries(spark, 1, SECOND), NOW + timedelta(days=1), after=after)
@@ -43,12 +44,13 @@ def both(spark, root, stop=None):
 
 
 def test_a_stopped_run_goes_on(spark, tmp_path):
-    best = both(spark, str(tmp_path / "whole"))
+    daily.daily_run(spark, str(tmp_path / "first"), entries(spark, 0, FIRST), NOW)
+    best = both(spark, str(tmp_path / "whole"), tmp_path / "first")
     want = contents(spark, str(tmp_path / "whole"))
     assert len(want[0]) == 6 and want[2]["successful_runs"] == 2 and best.count() >= 2
     assert max(len(r.article_ids) for r in best.collect()) >= 2
     for stop in ("articles", "written"):
-        both(spark, str(tmp_path / stop), stop)
+        both(spark, str(tmp_path / stop), tmp_path / "first", stop)
         assert contents(spark, str(tmp_path / stop)) == want, stop
 
 
