@@ -489,4 +489,4 @@ def test_both_raking_paths_stop_alike_and_keep_cells_without_a_target(spark):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
