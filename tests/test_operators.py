@@ -72,7 +72,7 @@ def test_similarity_join_misses_nothing(spark):
     draw = random.Random(3)
     rows = [(k, " ".join(draw.choices("one two three four five six".split(), k=5))) for k in range(60)]
     df = spark.createDataFrame(rows, "k bigint, t string").select("k", trigrams(F.col("t")).alias("g"))
-    for threshold in (0.4, 0.7, 0.9):
+    for threshold in (0.4, 0.7, 0.8, 0.9, 1.0):
         want = {(a, b) for a, s in rows for b, t in rows if a < b and dice(grams(s), grams(t)) >= threshold}
         assert {(r.a, r.b) for r in simjoin.similar_pairs(df, "k", "g", threshold).collect()} == want
 

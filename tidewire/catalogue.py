@@ -75,14 +75,30 @@ def title_trigram_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.size("grams").cast("bigint").alias("n_grams"), F.nullif(F.array_join(F.array_sort("grams"), "|"), F.lit("")).alias("grams"))
 
 
-@query(
-    f"WITH {_TITLES}, p AS (SELECT a.doc_id AS a, b.doc_id AS b, len(list_intersect(a.grams, b.grams)) AS c, len(a.grams) + len(b.grams) AS n FROM g a JOIN g b ON a.doc_id < b.doc_id "
-    "WHERE 2.0 * least(len(a.grams), len(b.grams)) >= 0.9 * (len(a.grams) + len(b.grams)) AND len(a.grams) > 0) "
-    "SELECT a, b, round(2.0 * c / n, 9) AS similarity FROM p WHERE 2.0 * c / n >= 0.9"
+_TITLE_PAIRS = (
+    f"{_TITLES}, s AS (SELECT doc_id, list_sort(coalesce(grams, [])) AS grams FROM g), c AS (SELECT min(doc_id) AS id, grams FROM s GROUP BY grams), "
+    "p AS (SELECT a.id AS a, b.id AS b, len(list_intersect(a.grams, b.grams)) AS c, len(a.grams) + len(b.grams) AS n FROM c a JOIN c b ON a.id < b.id "
+    "WHERE 2.0 * least(len(a.grams), len(b.grams)) >= 0.9 * (len(a.grams) + len(b.grams)) AND len(a.grams) > 0), "
+    "q AS (SELECT a, b, 2.0 * c / n AS similarity FROM p WHERE 2.0 * c / n >= 0.9)"
 )
+
+
+@query(f"WITH {_TITLE_PAIRS} SELECT a, b, round(similarity, 9) AS similarity FROM q")
 def title_similarity_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alike titles, each different one once, named by its first document; ``title_classes`` has the documents of each."""
+    rows = _titles(spark, sf_dir).select("doc_id", text.trigrams(F.col("title")).alias("grams"))
+    return simjoin.similar_pairs(simjoin.set_classes(rows, "doc_id", "grams"), "class_id", "grams", 0.9).withColumn("similarity", F.round("similarity", 9))
+
+
+@query(
+    f"WITH {_TITLE_PAIRS}, l AS (SELECT id, count(*) AS links FROM (SELECT a AS id FROM q UNION ALL SELECT b FROM q) GROUP BY id) "
+    "SELECT doc_id, c.id AS class_id, coalesce(links, 0) AS links FROM s JOIN c USING (grams) LEFT JOIN l ON l.id = c.id"
+)
+def title_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the first one of an equal title, and how many other titles are alike."""
     rows = _titles(spark, sf_dir).select("doc_id", text.trigrams(F.col("title")).alias("grams"))
-    return simjoin.similar_pairs(rows, "doc_id", "grams", 0.9).withColumn("similarity", F.round("similarity", 9))
+    pairs = simjoin.similar_pairs(simjoin.set_classes(rows, "doc_id", "grams"), "class_id", "grams", 0.9)
+    return simjoin.class_members(rows, "doc_id", "grams", pairs)
 
 
 @query(f"WITH {_TITLES} SELECT doc_id, array_to_string({_SIGNATURE}, '|') AS signature FROM t")
@@ -91,17 +107,15 @@ def identity_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"WITH {_TITLES}, s AS (SELECT t.doc_id, array_to_string({_SIGNATURE}, '|') AS signature, grams FROM t JOIN g USING (doc_id)) "
+    f"WITH {_TITLES}, s AS (SELECT min(t.doc_id) AS doc_id, array_to_string({_SIGNATURE}, '|') AS signature, list_sort(grams) AS grams FROM t JOIN g USING (doc_id) GROUP BY ALL) "
     "SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.doc_id < b.doc_id AND a.signature <> b.signature AND len(a.grams) > 0 "
     "AND 2.0 * least(len(a.grams), len(b.grams)) >= 0.6 * (len(a.grams) + len(b.grams)) AND 2.0 * len(list_intersect(a.grams, b.grams)) / (len(a.grams) + len(b.grams)) >= 0.6"
 )
 def signature_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alike titles that name different numbers or months."""
-    rows = _titles(spark, sf_dir).select("doc_id", text.trigrams(F.col("title")).alias("grams"), text.identity_signature(F.col("title")).alias("s"))
-    pairs = simjoin.similar_pairs(rows, "doc_id", "grams", 0.6)
-    side = rows.select("doc_id", "s")
-    both = pairs.join(side.toDF("a", "sa"), "a").join(side.toDF("b", "sb"), "b")
-    return both.where("sa <> sb").select("a", "b")
+    """Alike titles that name different numbers or months; each different title once, named by its first document."""
+    rows = _titles(spark, sf_dir).select("doc_id", text.trigrams(F.col("title")).alias("grams"), F.array_join(text.identity_signature(F.col("title")), "|").alias("signature"))
+    classes = simjoin.set_classes(rows, "doc_id", "grams", by=["signature"])
+    return simjoin.similar_pairs(classes, "class_id", "grams", 0.6, apart="signature").select("a", "b")
 
 
 @query(

@@ -94,15 +94,15 @@ def total_order() -> list[Column]:
 def capped_top(df: DataFrame, group: str, order: Sequence[Column], limit: int = SHORTLIST, cap: int = PER_CATEGORY, exempt: Column | None = None) -> DataFrame:
     """At most ``limit`` rows, at most ``cap`` of a group unless exempt, places left over filled by rank; with ``rank``.
 
-    Exempt rows count towards their group's cap.  Each group gives at most ``limit`` exempt and ``limit`` other
-    candidates to the global order, so the final sort is small whatever the input is.
+    Exempt rows count towards their group's cap.  Only the first max(``limit``, ``cap``) exempt and other rows of a group
+    can be chosen or push another over its cap; each task keeps its own such rows before anything is shuffled, so neither
+    a hot group nor the final sort grows with the input.
     """
     free = F.coalesce(exempt, F.lit(False)) if exempt is not None else F.lit(False)
-    place = F.row_number().over(W.partitionBy(group).orderBy(*order))
-    some = df.withColumn("__free", free).withColumn("__place", place)
     of_kind = F.row_number().over(W.partitionBy(group, "__free").orderBy(*order))
-    some = some.withColumn("__of_kind", of_kind).where(F.col("__of_kind") <= limit).drop("__of_kind")
-    ranked = some.withColumn("__rank", F.row_number().over(W.orderBy(*order)))
+    some = df.withColumn("__free", free).withColumn("__of_kind", of_kind).where(F.col("__of_kind") <= max(limit, cap)).drop("__of_kind")
+    place = F.row_number().over(W.partitionBy(group).orderBy(*order))
+    ranked = some.withColumn("__place", place).withColumn("__rank", F.row_number().over(W.orderBy(*order)))
     passes = F.col("__free") | (F.col("__place") <= cap)
     chosen = ranked.withColumn("__pass", passes).orderBy(F.desc("__pass"), "__rank").limit(limit)
     return chosen.withColumn("rank", F.row_number().over(W.orderBy("__rank"))).drop("__free", "__place", "__rank", "__pass")

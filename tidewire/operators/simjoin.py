@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .lineage import stored
+from .lineage import lookup, stored
 
 
 def prefix_size(n: Column, threshold: float) -> Column:
@@ -21,15 +22,36 @@ def prefix_size(n: Column, threshold: float) -> Column:
 def similar_pairs(df: DataFrame, key: str, tokens: str, threshold: float, same: Sequence[str] = (), apart: str | None = None) -> DataFrame:
     """(a, b, similarity) with a < b for all pairs of rows whose Dice is at least ``threshold``.
 
-    ``key`` is unique.  ``same`` are columns that have to agree; they go into the join key.  ``apart`` is one that has to
-    differ: tokens that only rows of one value have are not joined at all.  Tokens are ordered by
-    their number of rows, rarest first, and only each row's prefix is indexed; the exact coefficient is computed on
-    the candidates.  Rows without tokens are similar to nothing.
+    ``key`` is unique.  ``same`` are columns that have to agree.  ``apart`` is one that has to differ: tokens that only
+    rows of one value have are not joined at all.  From ``PARTS_FROM`` on, candidates have equal parts of their sets;
+    below, and with ``apart``, tokens are ordered by their number of rows, rarest first, and only each row's prefix is
+    indexed.  Both miss nothing, and the exact coefficient is computed on the candidates.  Rows without tokens are similar
+    to nothing.
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold has to be within 0 and 1, and not 0")
     rows = df.select(F.col(key).alias("k"), F.col(tokens).alias("tokens"), *[F.col(c).alias(f"same_{i}") for i, c in enumerate(same)], *([F.col(apart).alias("apart")] if apart else [])).where(F.size("tokens") > 0)
-    keys, told = [f"same_{i}" for i in range(len(same))], ["apart"] if apart else []
+    keys = [f"same_{i}" for i in range(len(same))]
+    if threshold >= PARTS_FROM and not apart:
+        # Signing is work for all cores, however few bytes the sets have.
+        spark = rows.sparkSession
+        tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        rows = stored(rows.repartition(tasks).withColumn("id", F.monotonically_increasing_id()), "sets")
+        pairs, by = _equal_parts(rows, threshold), "id"
+    else:
+        pairs, by = _common_prefixes(rows, threshold, keys, bool(apart)), "k"
+    side = lambda p: rows.select(F.col(by).alias(p), *[F.col(c).alias(f"{c}_{p}") for c in ("k", "tokens", *keys)])
+    found = pairs.join(side("a"), "a").join(side("b"), "b")
+    for c in keys:
+        found = found.where(F.col(f"{c}_a") == F.col(f"{c}_b"))
+    score = 2.0 * F.size(F.array_intersect("tokens_a", "tokens_b")) / (F.size("tokens_a") + F.size("tokens_b"))
+    found = found.select("k_a", "k_b", score.alias("similarity")).where(F.col("similarity") >= threshold)
+    return found.select(F.least("k_a", "k_b").alias("a"), F.greatest("k_a", "k_b").alias("b"), "similarity")
+
+
+def _common_prefixes(rows: DataFrame, threshold: float, keys: Sequence[str], apart: bool) -> DataFrame:
+    """(a, b) of rows (k, tokens, ``keys``, apart) that share a token of their prefixes and may share enough others."""
+    told = ["apart"] if apart else []
     each = rows.select("k", *keys, *told, F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
     often = each.groupBy("token").agg(F.count(F.lit(1)).alias("often"))
     place = F.row_number().over(W.partitionBy("k").orderBy("often", "token"))
@@ -42,11 +64,83 @@ def similar_pairs(df: DataFrame, key: str, tokens: str, threshold: float, same:
     right = index.select(F.col("k").alias("b"), *keys, *[F.col(c).alias("apart_b") for c in told], F.col("n").alias("nb"), "token", F.col("place").alias("pb"))
     least = math.nextafter(threshold, 0) * (F.col("na") + F.col("nb")) / 2 - 1e-9
     room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) + 1
-    pairs = left.join(right, ["token", *keys]).where((F.col("a") < F.col("b")) & (room >= least) & ((F.col("apart_a") != F.col("apart_b")) if apart else F.lit(True))).select("a", "b").distinct()
-    sets = rows.select("k", "tokens")
-    found = pairs.join(sets.select(F.col("k").alias("a"), F.col("tokens").alias("ta")), "a").join(sets.select(F.col("k").alias("b"), F.col("tokens").alias("tb")), "b")
-    score = 2.0 * F.size(F.array_intersect("ta", "tb")) / (F.size("ta") + F.size("tb"))
-    return found.select("a", "b", score.alias("similarity")).where(F.col("similarity") >= threshold)
+    return left.join(right, ["token", *keys]).where((F.col("a") < F.col("b")) & (room >= least) & ((F.col("apart_a") != F.col("apart_b")) if apart else F.lit(True))).select("a", "b").distinct()
+
+
+#: Lower thresholds would need parts of two or three tokens, which unlike sets share.
+PARTS_FROM = 0.8
+
+#: By the differences that a part may have: into how many cells it is dealt, and the choices of cells without one.
+_CELLS = tuple((1 if k == 0 else k + 3, [[0]] if k == 0 else [list(c) for c in combinations(range(k + 3), 3)]) for k in range(4))
+
+
+def size_steps(threshold: float, most: int = 2**31 - 2) -> list[int]:
+    """Sizes from 1 up: of two sets of that Dice, the smaller one's step is the larger one's or the one before."""
+    steps, wider = [1], max((2 - threshold) / threshold, 1.2)
+    while steps[-1] <= most:
+        steps.append(int(steps[-1] * wider) + 1)
+    return steps
+
+
+def _equal_parts(rows: DataFrame, threshold: float) -> DataFrame:
+    """(a, b), a < b, of rows (id, tokens) that have an equal part in a division in which alike sets must have one.
+
+    Sets of at most u tokens with that Dice differ in D = (1 - threshold) * 2u tokens at most.  Tokens are dealt by their
+    hash to D // 4 + 1 parts, so one part has at most three differences, and each part to six cells (fewer for fewer
+    differences), of which three then have none: any three cells of a part are a signature, and alike sets share one.  A
+    signature stands for about ten tokens, so unlike sets hardly meet, however common their tokens are.  Each set signs in
+    its step of sizes and in the next one, where it only meets that step's own sets.
+    """
+    steps = size_steps(threshold)
+    step = F.size(F.filter(F.array(*map(F.lit, steps)), lambda s: s <= F.size("tokens")))
+    hashed = rows.select("id", step.alias("step"), F.transform("tokens", lambda t: F.xxhash64(t)).alias("h"))
+    used = sorted(r[0] for r in hashed.select("step").distinct().collect())  # at most one number a step
+    ways = []
+    for level in used:
+        differ = int((1 - threshold) * 2 * (steps[level] - 1) + 1e-6)
+        parts = differ // 4 + 1
+        ways += [(at, level, parts, *_CELLS[differ // parts]) for at in (level, level - 1) if at in used]
+    ways = rows.sparkSession.createDataFrame(ways, "step int, level int, parts int, cells int, choices array<array<int>>")  # at most two rows a step
+    index = hashed.join(F.broadcast(ways), "step").select("id", (F.col("step") == F.col("level")).alias("own"), F.explode(_signatures()).alias("signature"))
+    left, right = index.toDF("a", "own_a", "signature"), index.toDF("b", "own_b", "signature")
+    return left.join(right, "signature").where((F.col("a") < F.col("b")) & (F.col("own_a") | F.col("own_b"))).select("a", "b").distinct()
+
+
+def _signatures() -> Column:
+    """The signatures of a row (h, level, parts, cells, choices)."""
+    n = F.col("parts") * F.col("cells")
+    inside = lambda q: F.aggregate(F.filter("h", lambda h: F.pmod(h, n) == q), F.lit(0).cast("bigint"), lambda x, h: x.bitwiseXOR(h))
+    sums = F.transform(F.sequence(F.lit(0), n - 1), inside)
+    sign = lambda s, i: F.transform("choices", lambda c: F.xxhash64("level", i, c, F.transform(c, lambda x: F.get(s, i * F.col("cells") + x))))
+    # The sums are bound once, not made anew for each signature.
+    return F.flatten(F.flatten(F.transform(F.array(sums), lambda s: F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: sign(s, i)))))
+
+
+def set_classes(df: DataFrame, key: str, tokens: str, by: Sequence[str] = ()) -> DataFrame:
+    """(class_id, tokens, ``by``, set) for each different set of tokens (and values of ``by``): its smallest key names it.
+
+    A null array counts as an empty one.  ``set`` is the digest by which :func:`class_members` finds a row's class.
+    """
+    rows = _with_digest(df, key, tokens, by)
+    return rows.groupBy("set").agg(F.min(key).alias("class_id"), *[F.any_value(c).alias(c) for c in (tokens, *by)])
+
+
+def class_members(df: DataFrame, key: str, tokens: str, pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(key, class_id, links) for every row: its class of equal sets, and how many other classes ``pairs`` (a, b) has with it.
+
+    A set that a large part of the rows has is looked up where they are.
+    """
+    both = pairs.select(F.col("a").alias("class_id")).unionByName(pairs.select(F.col("b").alias("class_id")))
+    links = both.groupBy("class_id").agg(F.count(F.lit(1)).alias("links"))
+    classes = set_classes(df, key, tokens, by).select("set", "class_id").join(links, "class_id", "left")
+    rows = stored(_with_digest(df, key, tokens, by).select(key, "set"), "members")
+    return lookup(rows, classes, "set").select(key, "class_id", F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
+
+
+def _with_digest(df: DataFrame, key: str, tokens: str, by: Sequence[str]) -> DataFrame:
+    whole = F.coalesce(F.col(tokens), F.array().cast("array<string>"))
+    rows = df.select(key, whole.alias(tokens), *by)
+    return rows.withColumn("set", F.sha2(F.to_json(F.struct(F.array_sort(F.col(tokens)).alias("t"), *by)), 256))
 
 
 def _windows(words: Column, width: Column | int) -> Column:
