@@ -90,6 +90,7 @@ def _equal_parts(rows: DataFrame, threshold: float) -> DataFrame:
     differences), of which three then have none: any three cells of a part are a signature, and alike sets share one.  A
     signature stands for about ten tokens, so unlike sets hardly meet, however common their tokens are.  Each set signs in
     its step of sizes and in the next one, where it only meets that step's own sets.
+    The pairs are a table, so the shuffles behind them are gone before the sets are sent to them.
     """
     steps = size_steps(threshold)
     step = F.size(F.filter(F.array(*map(F.lit, steps)), lambda s: s <= F.size("tokens")))
@@ -103,7 +104,8 @@ def _equal_parts(rows: DataFrame, threshold: float) -> DataFrame:
     ways = rows.sparkSession.createDataFrame(ways, "step int, level int, parts int, cells int, choices array<array<int>>")  # at most two rows a step
     index = hashed.join(F.broadcast(ways), "step").select("id", (F.col("step") == F.col("level")).alias("own"), F.explode(_signatures()).alias("signature"))
     left, right = index.toDF("a", "own_a", "signature"), index.toDF("b", "own_b", "signature")
-    return left.join(right, "signature").where((F.col("a") < F.col("b")) & (F.col("own_a") | F.col("own_b"))).select("a", "b").distinct()
+    met = left.join(right, "signature").where((F.col("a") < F.col("b")) & (F.col("own_a") | F.col("own_b")))
+    return stored(met.select("a", "b").distinct(), "pairs")
 
 
 def _signatures() -> Column:
