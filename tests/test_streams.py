@@ -48,6 +48,14 @@ def test_a_limit_equals_the_walk(spark, tmp_path):
     assert {r.id for r in out.where("accepted").collect()} == {0, 2, 5, 7, 100} and out.count() == 9
 
 
+def test_a_limit_of_a_batch_in_any_order(spark):
+    # One file, latest first, equal times: the verdicts stay with their rows.
+    seconds = [31, 25, 20, 20, 19, 10, 10, 4, 0, 0]
+    table = spark.createDataFrame([(i, "u", DAY + timedelta(seconds=s)) for i, s in enumerate(seconds)], "id long, key string, at timestamp").coalesce(1)
+    out = replay.replayed(table, F.lit(0), lambda s: state.rate_limited(s, "key", "id", "at", 10), "limit")
+    assert {r.id for r in out.where("accepted").collect()} == {8, 5, 2, 0} and out.count() == 10
+
+
 def test_late_rows_have_a_table_and_survive_a_repeated_batch(spark, tmp_path):
     minute = lambda m: DAY + timedelta(minutes=m)
     table = spark.createDataFrame(

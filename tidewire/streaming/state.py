@@ -30,7 +30,7 @@ def _due(at_us: int) -> int:
 
 
 def _ordered(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(rows), ignore_index=True).sort_values(["at_us", "id"], kind="stable")
+    return pd.concat(list(rows), ignore_index=True).sort_values(["at_us", "id"], kind="stable", ignore_index=True)
 
 
 class _Gap(StatefulProcessor):
