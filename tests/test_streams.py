@@ -5,11 +5,13 @@ from __future__ import annotations
 import json
 from datetime import datetime, timedelta
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from tidewire.operators import cluster
 from tidewire.sources import messages
+from tidewire.streaming import catalogue as streamed
 from tidewire.streaming import outputs, replay, state
 from tidewire.streaming.events import snapshot_sink
 
@@ -40,6 +42,14 @@ def test_ended_events_and_limits_free_their_state(spark, tmp_path):
         assert state_rows(spark, checkpoint, "event") == 2
 
 
+def test_the_sql_of_ended_events_keeps_equal_times_together():
+    con = duckdb.connect()
+    con.execute("SET threads = 8")
+    con.execute("CREATE TABLE clicks AS SELECT i AS click_id, i % 7 AS client_id, TIMESTAMP '2024-01-01' + to_days(CAST(20 * (hash(i) % 20) AS INT)) AS ts FROM range(300000) r(i)")
+    runs = con.execute(f"SELECT count(*), count(DISTINCT (client_id, first_us)), sum(n) FROM ({streamed._ENDED}) WHERE first_us = last_us").fetchone()
+    assert runs == con.execute("SELECT 7 * 19, 7 * 19, count(*) FROM clicks WHERE ts < (SELECT max(ts) FROM clicks)").fetchone()
+
+
 def test_a_limit_equals_the_walk(spark, tmp_path):
     times = [0, 4, 10, 10, 19, 20, 25, 31]
     rows = [(i, "u", DAY + timedelta(seconds=s)) for i, s in enumerate(times)] + [(100, "v", DAY)]

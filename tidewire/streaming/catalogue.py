@@ -43,7 +43,7 @@ def message_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ENDED = """
 WITH c AS (SELECT client_id, ts FROM clicks WHERE ts IS NOT NULL AND client_id IS NOT NULL AND click_id IS NOT NULL),
 g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 14 DAY THEN 0 ELSE 1 END AS opens FROM c WINDOW w AS (PARTITION BY client_id ORDER BY ts)),
-r AS (SELECT *, sum(opens) OVER (PARTITION BY client_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM g),
+r AS (SELECT *, sum(opens) OVER (PARTITION BY client_id ORDER BY ts) AS run FROM g),
 e AS (SELECT client_id, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n, lead(run) OVER (PARTITION BY client_id ORDER BY run) IS NOT NULL AS followed FROM r GROUP BY client_id, run)
 SELECT client_id, epoch_us(first_ts) AS first_us, epoch_us(last_ts) AS last_us, n FROM e WHERE followed OR last_ts + INTERVAL 14 DAY < (SELECT max(ts) FROM c)
 """
