@@ -276,6 +276,16 @@ def test_overlap_pairs_are_those_of_all_rows(spark):
     assert len(out) == len(want) and {(r.a, r.b): (round(r.overlap, 6), r.strongest) for r in out} == want
 
 
+def test_overlap_classes_grow_with_their_members(spark):
+    sets = [["org:a"], ["model:gpt-4", "org:a"], ["term:x"], []]
+    rows = [(k, sets[min(k % 7, 3)]) for k in range(700)]
+    df = spark.createDataFrame(rows, "id bigint, entities array<string>").repartition(5)
+    out = [tuple(r) for r in ranking.overlap_classes(df).collect()]
+    assert [r for r in out if r[2] < 1] == [(0, 1, 0.2, 0.25)]
+    members = {(a, b): s for a, b, o, s in out if o == 1}
+    assert len(out) == 1 + 3 * 99 and members == {(k, b): (0.25, 1.0, 0.6)[k] for k in range(3) for b in range(k + 7, 700, 7)}
+
+
 def test_pairs_come_from_all_parts(spark):
     sf = "/root/testdata/sf0.001"
     last = spark.read.parquet(f"{sf}/part.parquet").agg(F.max("p_partkey")).first()[0]
