@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidewire import catalogue
 from tidewire.operators import ranking, simjoin
 
 
@@ -53,6 +54,15 @@ def test_classes_and_their_members(spark):
     assert got[300] == got[301] == got[302] == (300, 0) and got[304] == (304, 0)
 
 
+def test_title_pairs_hold_every_document_of_a_title(spark, tmp_path):
+    rows = [(k, "One title that many documents have in common") for k in range(150)] + [(200, "one TITLE that many documents have in common!"), (201, "One title that many documents have in commons 4"), (202, None), (203, "")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = catalogue.QUERIES["title_similarity_pairs"](spark, str(tmp_path)).collect()
+    assert {(r.a, r.b) for r in found if r.similarity == 1} == {(0, k) for k in [*range(1, 150), 200]} and [(r.a, r.b) for r in found if r.similarity < 1] == [(0, 201)]
+    found = catalogue.QUERIES["signature_mismatch"](spark, str(tmp_path)).collect()
+    assert {(r.a, r.b) for r in found if not r.mismatch} == {(0, k) for k in [*range(1, 150), 200]} and [(r.a, r.b) for r in found if r.mismatch] == [(0, 201)]
+
+
 def test_classes_of_nothing(spark):
     df = spark.createDataFrame([], "id bigint, a array<string>")
     pairs = simjoin.similar_pairs(simjoin.set_classes(df, "id", "a"), "class_id", "a", 0.9)
