@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidewire import catalogue
-from tidewire.operators import ranking, simjoin
+from tidewire.operators import lineage, ranking, simjoin
 
 
 def dice(a, b):
@@ -63,6 +65,49 @@ def test_title_pairs_hold_every_document_of_a_title(spark, tmp_path):
     assert {(r.a, r.b) for r in found if not r.mismatch} == {(0, k) for k in [*range(1, 150), 200]} and [(r.a, r.b) for r in found if r.mismatch] == [(0, 201)]
 
 
+def test_stars_are_passed_on_when_they_are_many(monkeypatch):
+    monkeypatch.setattr(lineage, "TASK_EDGES", 10)
+    edges = [pa.record_batch([pa.array([2 * k, 2 * k]), pa.array([2 * k + 1, 2 * k + 2])], ["a", "b"]) for k in range(100)]
+    out = list(lineage.contract(iter(edges)))
+    assert len(out) > 5 and max(b.num_rows for b in out) <= 30
+    whole = lineage._contracted(pa.Table.from_batches(out))
+    assert set(whole.column("a").to_pylist()) == {0} and sorted(whole.column("b").to_pylist()) == list(range(201))
+
+
+def test_links_join_what_is_near_and_no_more():
+    draw = random.Random(5)
+    bits = lambda: sum(1 << k for k in draw.sample(range(256), 60))
+    base, sketches = bits(), []
+    for _ in range(60):
+        flipped = base
+        for k in draw.sample(range(256), draw.randrange(12)):
+            flipped ^= 1 << k
+        sketches.append(flipped if draw.random() < 0.6 else bits())
+    found = {frozenset(e) for part in simjoin._linked(np.arange(60), np.array([[s >> 64 * c & (2**64 - 1) for c in range(4)] for s in sketches], np.uint64), 15) for e in part.tolist()}
+    group = {k: {k} for k in range(60)}
+    for a, b in map(sorted, found):
+        both = group[a] | group[b]
+        for k in both:
+            group[k] = both
+    for a in range(60):
+        for b in range(a):
+            assert (sketches[a] ^ sketches[b]).bit_count() > 15 or b in group[a]
+    assert all((sketches[a] ^ sketches[b]).bit_count() <= 30 for a, b in map(tuple, found))
+
+
+def test_counts_equal_the_pairs_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(simjoin, "BLOCK_ROWS", 7)
+    draw = random.Random(8)
+    base = [f"t{k}" for k in range(40)]
+    rows = [(k, [t for t in base if draw.random() > 0.05] + [f"n{k}"]) for k in range(60)]
+    df = spark.createDataFrame(rows, "k bigint, g array<string>")
+    want = {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and dice(a[1], b[1]) >= 0.9}
+    pairs = [(r.a, r.b) for r in simjoin.similar_pairs(df, "k", "g", 0.9).collect()]
+    assert len(want) > 300 and len(pairs) == len(want) and set(pairs) == want
+    counts = {r.k: r.links for r in simjoin.similar_counts(df, "k", "g", 0.9).collect()}
+    assert counts == {k: n for k in range(60) if (n := sum(k in p for p in want))}
+
+
 def test_classes_of_nothing(spark):
     df = spark.createDataFrame([], "id bigint, a array<string>")
     pairs = simjoin.similar_pairs(simjoin.set_classes(df, "id", "a"), "class_id", "a", 0.9)
