@@ -108,6 +108,18 @@ def test_counts_equal_the_pairs_over_many_blocks(spark, monkeypatch):
     assert counts == {k: n for k in range(60) if (n := sum(k in p for p in want))}
 
 
+@pytest.mark.parametrize("most", [2000, 3])
+def test_rows_meet_all_items_sent_or_not(spark, monkeypatch, most):
+    monkeypatch.setattr(simjoin, "SENT_SETS", most)
+    draw = random.Random(3)
+    sets = lambda n: [(k, [f"t{t}" for t in range(30) if draw.random() < 0.7]) for k in range(n)] + [(n, []), (n + 1, None)]
+    left, right = sets(80), sets(9)
+    df = lambda rows, key: spark.createDataFrame(rows, f"{key} bigint, g array<string>")
+    found = [(r.x, r.y) for r in simjoin.similar_to(df(left, "x"), df(right, "y"), "x", "y", "g", 0.7).collect()]
+    want = {(a[0], b[0]) for a in left for b in right if a[1] and b[1] and dice(a[1], b[1]) >= 0.7}
+    assert len(want) > 50 and len(found) == len(want) and set(found) == want
+
+
 def test_classes_of_nothing(spark):
     df = spark.createDataFrame([], "id bigint, a array<string>")
     pairs = simjoin.similar_pairs(simjoin.set_classes(df, "id", "a"), "class_id", "a", 0.9)
