@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import datetime, timedelta
 
 import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,3 +143,30 @@ def test_days_of_a_stream_give_the_events_of_the_batch_fold(spark, tmp_path):
     assert flat(outputs.batches_of(spark, f"{path}/events", held.schema).collect()) == flat(touched)
     last = spark.read.schema(cluster.EVENT_SCHEMA).parquet(f"{path}/open/batch=2").collect()
     assert flat(last) == flat(held.collect()) and all(r.last_updated >= DAY + timedelta(days=6) for r in last)
+
+
+def test_titles_are_held_against_those_of_their_days_only():
+    """A batch of many times the kept days, of titles that all share their trigrams: pairs in time are all that is looked at."""
+    days, sketches = 4000, np.arange(4000) % 5
+    rows = pd.DataFrame({"h": 7, "id": np.arange(days), "n": 20, "place": 1, "at_us": np.arange(days) * 86_400_000_000})
+    rows = rows.assign(s0=sketches * 0b1111111, s1=0, s2=0, s3=0).sample(frac=1, random_state=1)
+    held = []
+
+    class Titles:
+        exists, update = staticmethod(lambda: False), staticmethod(held.append)
+
+    class Times:
+        getCurrentWatermarkInMs = staticmethod(lambda: 0)
+
+    class Handle:
+        getValueState, registerTimer = staticmethod(lambda *a: Titles()), staticmethod(lambda at: None)
+
+    index = state._Index(0.9, 7 * 86_400_000_000)
+    index.init(Handle())
+    start = time.monotonic()
+    (out,) = index.handleInputRows((0,), iter([rows]), Times())
+    took = time.monotonic() - start
+    differ = lambda a, b: bin(int(sketches[a] * 127) ^ int(sketches[b] * 127)).count("1")
+    want = [(a, b) for b in range(days) for a in range(max(0, b - 7), b) if differ(a, b) <= 4]
+    assert sorted(map(tuple, out.values.tolist())) == sorted(want)
+    assert len(held[0][0]) == days * 9 * 8 and took < 1.0

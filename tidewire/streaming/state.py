@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -134,65 +135,95 @@ def ended_events(rows: DataFrame, key: str, id: str, time: str, keep_days: float
 
 
 class _Index(StatefulProcessor):
-    """The titles of the last days under the trigrams of one share of all: trigram, id, number, place, time."""
+    """The titles of the last days under the trigrams of one share of all: trigram, id, number, place, time and sketch."""
+
+    _COLUMNS = ("h", "id", "n", "place", "at", "s0", "s1", "s2", "s3")
 
     def __init__(self, threshold: float, keep_us: int) -> None:
         self.threshold, self.keep_us = threshold, keep_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.titles = handle.getListState("titles", "h long, id long, n int, place int, at long")
+        self.titles = handle.getValueState("titles", "rows binary")  # one value: a call for each of many rows takes longer than all else
+
+    def _known(self) -> np.ndarray:
+        held = bytes(self.titles.get()[0]) if self.titles.exists() else b""
+        return np.frombuffer(held, np.int64).reshape(-1, len(self._COLUMNS))
 
-    def _keep(self, titles: list[tuple], watermark_ms: int) -> list[tuple]:
-        kept = [t for t in titles if _due(t[4] + self.keep_us) > watermark_ms]
-        if kept:
-            self.titles.put(kept)
+    def _keep(self, titles: np.ndarray, watermark_ms: int) -> np.ndarray:
+        kept = titles[(titles[:, 4] + self.keep_us) // 1000 + 1 > watermark_ms]
+        if len(kept):
+            self.titles.update((kept.tobytes(),))
         else:
             self.titles.clear()
         return kept
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        old = [tuple(t) for t in self.titles.get()]
-        under: dict[int, list[tuple]] = {}
-        for t in old:
-            under.setdefault(t[0], []).append(t)
-        found, new = set(), _ordered(rows)
-        added = list(zip(*(new[c].tolist() for c in ("h", "id", "n", "place", "at_us")), strict=True))
-        for t in added:
-            h, id, n, place, at = t
-            known = under.setdefault(h, [])
-            for _, other, m, before, then in known:
-                # as many trigrams as can still be shared, from both places on
-                if other != id and at - then <= self.keep_us and min(n - place, m - before) + 1 >= self.threshold * (n + m) / 2 - 1e-9:
-                    found.add((other, id))
-            known.append(t)
-        kept = self._keep(old + added, timerValues.getCurrentWatermarkInMs())
-        if kept and not old:
-            self.handle.registerTimer(_due(min(t[4] for t in kept) + self.keep_us))
-        yield pd.DataFrame(sorted(found), columns=["a", "b"])
+        old, new = self._known(), _ordered(rows)
+        added = np.stack([new[c].to_numpy(np.int64) for c in ("at_us" if c == "at" else c for c in self._COLUMNS)], 1)
+        both = np.concatenate([old, added])
+        kept = self._keep(both, timerValues.getCurrentWatermarkInMs())
+        if len(kept) and not len(old):
+            self.handle.registerTimer(_due(int(kept[:, 4].min()) + self.keep_us))
+        yield pd.DataFrame(self._met(both, np.arange(len(both)) >= len(old)), columns=["a", "b"])
+
+    def _met(self, titles: np.ndarray, new: np.ndarray) -> np.ndarray:
+        """(a, b): ids of one trigram, b at most the kept time after a, one of them new, that may be alike.
+
+        Rows lie by trigram and time; each is held against the one before it, the one before that, and so on until that
+        is of another trigram or too old, which then holds for all before: work and memory go with the pairs in time.
+        """
+        order = np.lexsort((titles[:, 1], titles[:, 4], titles[:, 0]))
+        titles, new = titles[order], new[order]
+        h, id, n, place, at = (np.ascontiguousarray(titles[:, c]) for c in range(5))
+        sketch = np.ascontiguousarray(titles[:, 5:]).view(np.uint64)
+        found, later, back = [np.zeros((0, 2), np.int64)], np.arange(1, len(titles)), 1
+        while len(later):
+            before = later - back
+            inside = (h[later] == h[before]) & (at[later] - at[before] <= self.keep_us)
+            later, before = later[inside], before[inside]
+            room = np.minimum(n[later] - place[later], n[before] - place[before]) + 1  # can still be shared from both places on
+            may = (room >= self.threshold * (n[later] + n[before]) / 2 - 1e-9) & (id[later] != id[before]) & (new[later] | new[before])
+            x, y = later[may], before[may]
+            near = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1) <= (1 - self.threshold) * (n[x] + n[y]) + 1e-6
+            found.append(np.unique(np.stack([id[y[near]], id[x[near]]], 1), axis=0))
+            back += 1
+            later = later[later >= back]
+        return np.unique(np.concatenate(found), axis=0)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        kept = self._keep([tuple(t) for t in self.titles.get()], timerValues.getCurrentWatermarkInMs())
-        if kept:
-            self.handle.registerTimer(_due(min(t[4] for t in kept) + self.keep_us))
+        kept = self._keep(self._known(), timerValues.getCurrentWatermarkInMs())
+        if len(kept):
+            self.handle.registerTimer(_due(int(kept[:, 4].min()) + self.keep_us))
         yield pd.DataFrame([], columns=["a", "b"])
 
     def close(self) -> None:
         pass
 
 
+def _sketched(grams: Column) -> list[Column]:
+    """A bit of 256 for each trigram's hash, those of a set added modulo 2: sets of d differences differ in d bits at most."""
+    word = lambda k: F.aggregate(grams, F.lit(0).cast("bigint"), lambda s, g: F.when(F.pmod(g["h"], F.lit(4)) == k, s.bitwiseXOR(_bit(g["h"]))).otherwise(s))
+    return [word(k).alias(f"s{k}") for k in range(4)]
+
+
+def _bit(h: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, 58).cast("int"))
+
+
 def title_candidates(titles: DataFrame, id: str, title: str, time: str, threshold: float = 0.9, keep_days: float = TITLE_DAYS, late: str = "0 seconds", shares: int = 64) -> DataFrame:
     """(a, b): pairs of a stream's titles, b at most ``keep_days`` after a, that may have a Dice of ``threshold``.
 
     Each title is put under the trigrams of its prefix in one fixed order, that of a hash, so any two such titles meet
     under one of them.  Trigrams are dealt into ``shares`` by hash, each with one list in the state and one group of a
-    batch: raise it with the titles of ``keep_days``.  A pair may come once a share; :func:`alike_pairs` confirms it.
+    batch: raise it with the titles of ``keep_days``.  Sketches of the sets leave out pairs that differ in too many bits.
+    A pair may come once a share; :func:`alike_pairs` confirms it.
     """
     rows = _timed(titles.withColumn("__id", F.col(id).cast("bigint")), title, "__id", time, late)
     grams = F.array_sort(F.transform(trigrams(F.col("key")), lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))
     rows = rows.withColumn("grams", grams).withColumn("n", F.size("grams")).where("n > 0")
-    each = rows.select("id", "at", "at_us", "n", F.posexplode(F.slice("grams", F.lit(1), prefix_size(F.col("n"), threshold).cast("int"))).alias("pos", "token"))
-    keyed = each.select(F.pmod("token.h", F.lit(shares)).alias("share"), F.col("token.h").alias("h"), "id", "at", "at_us", "n", (F.col("pos") + 1).alias("place"))
+    each = rows.select("id", "at", "at_us", "n", *_sketched(F.col("grams")), F.posexplode(F.slice("grams", F.lit(1), prefix_size(F.col("n"), threshold).cast("int"))).alias("pos", "token"))
+    keyed = each.select(F.pmod("token.h", F.lit(shares)).alias("share"), F.col("token.h").alias("h"), "id", "at", "at_us", "n", (F.col("pos") + 1).alias("place"), "s0", "s1", "s2", "s3")
     out = StructType().add("a", LongType()).add("b", LongType())
     return keyed.groupBy("share").transformWithStateInPandas(_Index(threshold, round(keep_days * _DAY_US)), out, "Append", "EventTime")
 
