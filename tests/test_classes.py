@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 
 import numpy as np
@@ -139,3 +140,23 @@ def test_capped_shortlist_equals_the_walk(spark, limit, cap):
     df = spark.createDataFrame(rows, "id bigint, kind string, score int, free boolean").repartition(5)
     out = ranking.capped_top(df, "kind", [F.desc("score"), F.asc("id")], limit, cap, F.col("free"))
     assert [(r.rank, r.id) for r in out.orderBy("rank").collect()] == list(enumerate(want, 1))
+
+
+def test_low_thresholds_send_sketches_and_no_pairs_of_common_tokens(spark, monkeypatch):
+    """Sets that share half of their tokens are no candidates; alike ones of another side are all found, over blocks."""
+    monkeypatch.setattr(simjoin, "SKETCH_ROWS", 40)
+    draw = random.Random(5)
+    common, rows = [f"c{i}" for i in range(20)], []
+    for k in range(150):
+        rows.append((f"k{k}", common + draw.sample([f"t{i}" for i in range(3000)], 30), k % 3 == 0))
+    for k in range(0, 150, 10):
+        rows.append((f"n{k}", rows[k][1][:-8] + [f"z{k}{i}" for i in range(8)], k % 20 == 0))
+    df = spark.createDataFrame(rows, "k string, g array<string>, side boolean")
+    for apart in (None, "side"):
+        alike = lambda a, b: 2 * len(set(a[1]) & set(b[1])) / (len(a[1]) + len(b[1])) >= 0.6
+        want = {tuple(sorted((a[0], b[0]))) for i, a in enumerate(rows) for b in rows[:i] if alike(a, b) and (not apart or a[2] != b[2])}
+        found = simjoin.similar_pairs(df, "k", "g", 0.6, apart=apart)
+        assert want and {(r.a, r.b) for r in found.collect()} == want and found.count() == len(want)
+        made = [s for s in os.listdir(lineage.shared_dir(spark).removeprefix("file:")) if s.startswith("candidates-")]
+        newest = max((os.path.join(lineage.shared_dir(spark).removeprefix("file:"), s) for s in made), key=os.path.getmtime)
+        assert spark.read.parquet(newest).count() < 1353  # a tenth of the pairs, all of which share tokens
