@@ -184,6 +184,21 @@ def test_a_fold_forgets_titles_that_left_their_events():
     assert len(fold.events) == 1 and len(fold.index.size) <= 2049 and len(next(fold.out())["titles"]) == 12
 
 
+def test_a_title_brings_its_trigrams_once_to_a_slice(spark, monkeypatch):
+    """Articles repeat few titles; what is written for the fold has the trigrams of each title once."""
+    written = []
+
+    def kept(df, name):
+        written.append((name, stored(df, name)))
+        return written[-1][1]
+
+    stored = cluster.stored
+    monkeypatch.setattr(cluster, "stored", kept)
+    rows = [(f"GPT-5 story {k % 4}", f"s{k}") for k in range(60)]
+    assert [len(e.article_ids) for e in cluster.cluster_articles(articles(spark, rows)).collect()] == [60]
+    assert [df.where("titles IS NOT NULL").count() for name, df in written if name == "slices"][-1] == 4
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_capped_shortlist_equals_the_walk(spark, seed):
     draw = random.Random(seed)

@@ -68,27 +68,42 @@ def _units(entity: str) -> int:
     return round(_weight(entity) * _UNIT)
 
 
-class _Index:
-    """What is known of the open events by trigram, entity, family and source; positions are those of the events."""
+class _Titles:
+    """Different titles by number, and how alike one is to all of them."""
 
     def __init__(self) -> None:
+        self.sets: list[frozenset[str]] = []
+        self.number: dict[frozenset[str], int] = {}
         self.grams: dict[str, array] = {}
-        self.of_title, self.size, self.alive = array("q"), array("q"), array("b")
-        self.entities: dict[str, array] = {}
-        self.families: dict[str, array] = {}
-        self.sources: dict[str, array] = {}
-        self.whole = array("q")
-
-    def put(self, kind: dict[str, array], name: str, event: int) -> None:
-        kind.setdefault(name, array("q")).append(event)
-
-    def title(self, grams: frozenset[str], event: int) -> int:
-        for g in grams:
-            self.grams.setdefault(g, array("q")).append(len(self.size))
-        self.of_title.append(event)
-        self.size.append(len(grams))
-        self.alive.append(1)
-        return len(self.size) - 1
+        self.size = array("q")
+        self.known: dict[frozenset[str], np.ndarray] = {}
+        self.held = 0
+
+    def put(self, grams: frozenset[str]) -> int:
+        found = self.number.get(grams)
+        if found is None:
+            found = self.number[grams] = len(self.sets)
+            self.sets.append(grams)
+            self.size.append(len(grams))
+            for g in grams:
+                self.grams.setdefault(g, array("q")).append(found)
+        return found
+
+    def likeness(self, grams: frozenset[str]) -> np.ndarray:
+        """The Dice with each title, and 0 for no title at the end; kept until a title is added."""
+        out = self.known.get(grams)
+        if out is not None and len(out) == len(self.sets) + 1:
+            return out
+        out = np.zeros(len(self.sets) + 1)
+        posts = [np.frombuffer(self.grams[g], np.int64) for g in grams if g in self.grams]
+        if posts:
+            met = np.bincount(np.concatenate(posts), minlength=len(self.sets))
+            out[:-1] = 2 * met / np.maximum(len(grams) + np.frombuffer(self.size, np.int64), 1)
+        if self.held > 4_000_000:
+            self.known, self.held = {}, 0
+        self.known[grams] = out
+        self.held += len(out)
+        return out
 
 
 def _at(kind: dict[str, array], name: str) -> np.ndarray:
@@ -97,62 +112,101 @@ def _at(kind: dict[str, array], name: str) -> np.ndarray:
 
 
 class _Fold:
-    """The events of one component, in the order in which they were opened, and the scores of all of them at once."""
+    """The events of one component, in the order in which they were opened, and the scores of all of them at once.
+
+    What repeats is computed once: how alike two titles are, and how an article's entities meet the events' until those change.
+    """
 
     def __init__(self, rules: ClusterRules) -> None:
-        self.rules, self.events, self.index = rules, [], _Index()
+        self.rules, self.events, self.index = rules, [], _Titles()
+        self.entities: dict[str, array] = {}
+        self.families: dict[str, array] = {}
+        self.sources: dict[str, array] = {}
+        self.whole = array("q")
+        self.places = np.full((16, rules.titles), -1, np.int64)  # numbers of each event's last titles
+        self.read: dict[str, frozenset[str]] = {}
+        self.facts: dict[frozenset[str], tuple[np.ndarray, ...]] = {}
+
+    def _grams(self, row: dict) -> frozenset[str]:
+        """Of a title's rows the first one has its trigrams."""
+        name = row["title"] or ""
+        if row["titles"] is not None:
+            self.read[name] = frozenset(row["titles"][0])
+        return self.read[name]
+
+    def _place(self, k: int, grams: frozenset[str]) -> None:
+        event = self.events[k]
+        number = self.index.put(grams)
+        self.places[k, event["told"] % self.rules.titles] = number
+        event["told"] += 1
+        event["titles"].append(number)
 
     def open(self, row: dict) -> None:
         """An event as it is: one that was stored, one that an earlier slice left, or one that an article opens."""
+        # An event of one title has its own; of more, its last ones.
+        titles = [self._grams(row)] if row["titles"] is None or len(row["titles"]) == 1 else row["titles"]
         k, event = len(self.events), dict(row)
         event["entities"], event["article_ids"], event["source_ids"] = set(), dict.fromkeys(row["article_ids"]), dict.fromkeys(row["source_ids"])
-        event["places"] = deque(self.index.title(frozenset(t), k) for t in row["titles"])
-        event["titles"] = deque((list(t) for t in row["titles"]), maxlen=self.rules.titles)
+        event["titles"], event["told"] = deque(maxlen=self.rules.titles), 0
         self.events.append(event)
-        self.index.whole.append(0)
+        if k == len(self.places):
+            self.places = np.concatenate([self.places, np.full_like(self.places, -1)])
+        for t in titles:
+            self._place(k, frozenset(t))
+        self.whole.append(0)
+        self.facts = {}
         self._name(k, row["entities"])
         for s in event["source_ids"]:
-            self.index.put(self.index.sources, s, k)
+            self.sources.setdefault(s, array("q")).append(k)
 
     def _name(self, k: int, entities: Iterable[str]) -> None:
-        event, index = self.events[k], self.index
+        event = self.events[k]
         for e in set(entities) - event["entities"]:
+            self.facts = {}
             event["entities"].add(e)
-            index.put(index.entities, e, k)
-            index.whole[k] += _units(e)
+            self.entities.setdefault(e, array("q")).append(k)
+            self.whole[k] += _units(e)
             for family in _versions({e}):
-                if k not in _at(index.families, family)[-1:] and k not in _at(index.families, family):
-                    index.put(index.families, family, k)
-
-    def scores(self, entities: set[str], grams: frozenset[str], source: str) -> np.ndarray:
-        rules, index, n = self.rules, self.index, len(self.events)
-        wording, shared, strongest = np.zeros(n), np.zeros(n), np.zeros(n)
-        posts = [np.frombuffer(index.grams[g], np.int64) for g in grams if g in index.grams]
-        if posts:
-            met = np.bincount(np.concatenate(posts), minlength=len(index.size))
-            at = np.flatnonzero(met * np.frombuffer(index.alive, np.int8))
-            np.maximum.at(wording, np.frombuffer(index.of_title, np.int64)[at], 2 * met[at] / (len(grams) + np.frombuffer(index.size, np.int64)[at]))
+                if k not in _at(self.families, family)[-1:] and k not in _at(self.families, family):
+                    self.families.setdefault(family, array("q")).append(k)
+
+    def _shared(self, entities: frozenset[str]) -> tuple[np.ndarray, ...]:
+        """By event, for an article's entities: their part of the score, the score without wording, the wording needed, and whether versions differ."""
+        found = self.facts.get(entities)
+        if found is not None:
+            return found
+        rules, n = self.rules, len(self.events)
+        shared, strongest = np.zeros(n), np.zeros(n)
         for e in entities:
-            at = _at(index.entities, e)
+            at = _at(self.entities, e)
             shared[at] += _units(e)
             strongest[at] = np.maximum(strongest[at], _weight(e))
         apart = np.zeros(n, dtype=bool)
-        for family, versions in _versions(entities).items():
+        for family, versions in _versions(set(entities)).items():
             other = np.zeros(n, dtype=bool)
-            other[_at(index.families, family)] = True
+            other[_at(self.families, family)] = True
             for v in versions:
-                other[_at(index.entities, f"{family}-{v}")] = False
+                other[_at(self.entities, f"{family}-{v}")] = False
             apart |= other
         needed = np.where(strongest >= rules.decisive, 0.0, np.where(strongest >= rules.gate, rules.wording_least, max(rules.wording_alone, rules.wording_least)))
-        same = _at(index.sources, source)
-        needed[same] = np.maximum(needed[same], rules.wording_same_source)
-        whole = np.frombuffer(index.whole, np.int64) + sum(map(_units, entities)) - shared
-        blend = rules.entity_share * np.divide(shared, whole, out=np.zeros(n), where=whole > 0) + (1 - rules.entity_share) * wording
-        floor = np.where(wording >= rules.wording_alone, wording, np.where(strongest >= rules.decisive, rules.threshold, 0.0))
-        return np.where(apart | (wording < needed), 0.0, np.maximum(blend, floor))
+        whole = np.array(self.whole, np.int64) + sum(map(_units, entities)) - shared
+        part = rules.entity_share * np.divide(shared, whole, out=np.zeros(n), where=whole > 0)
+        found = self.facts[entities] = part, np.where(strongest >= rules.decisive, rules.threshold, 0.0), needed, apart
+        return found
+
+    def scores(self, entities: frozenset[str], grams: frozenset[str], source: str) -> np.ndarray:
+        rules, n = self.rules, len(self.events)
+        part, floor, needed, apart = self._shared(entities)
+        wording = self.index.likeness(grams)[self.places[:n]].max(axis=1)
+        same = self.sources.get(source)
+        if same:
+            same, needed = np.array(same, np.int64), needed.copy()
+            needed[same] = np.maximum(needed[same], rules.wording_same_source)
+        blend = part + (1 - rules.entity_share) * wording
+        return np.where(apart | (wording < needed), 0.0, np.maximum(blend, np.where(wording >= rules.wording_alone, wording, floor)))
 
     def add(self, row: dict) -> None:
-        entities, grams = set(row["entities"]), frozenset(row["titles"][0])
+        entities, grams = frozenset(row["entities"]), self._grams(row)
         best = None
         if self.events:
             scores = self.scores(entities, grams, row["source_id"])
@@ -161,32 +215,30 @@ class _Fold:
         if best is None:
             self.open(row | {"id": f"evt_{row['id']}", "article_ids": [row["id"]], "source_ids": [row["source_id"]], "first_seen": row["at"], "last_updated": row["at"], "is_new": True, "touched": True})
             return
-        event, index = self.events[best], self.index
+        event = self.events[best]
         if row["id"] in event["article_ids"]:
             return
         event["article_ids"][row["id"]] = None
         if row["source_id"] not in event["source_ids"]:
             event["source_ids"][row["source_id"]] = None
-            index.put(index.sources, row["source_id"], best)
-        event["titles"].append(list(row["titles"][0]))
-        event["places"].append(index.title(grams, best))
-        if len(event["places"]) > self.rules.titles:
-            index.alive[event["places"].popleft()] = 0
+            self.sources.setdefault(row["source_id"], array("q")).append(best)
+        self._place(best, grams)
         self._name(best, entities)
         event["first_seen"], event["last_updated"], event["touched"] = min(event["first_seen"], row["at"]), max(event["last_updated"], row["at"]), True
-        if len(index.size) > 2048 and 2 * sum(index.alive) < len(index.size):
+        if len(self.index.sets) > 2048 + 2 * self.rules.titles * len(self.events):
             self._drop_dead()
 
     def _drop_dead(self) -> None:
-        """Titles that left their events' last ones go from the index."""
-        index = self.index
-        index.grams, index.of_title, index.size, index.alive = {}, array("q"), array("q"), array("b")
+        """Titles that left their events' last ones go."""
+        sets, self.index = self.index.sets, _Titles()
         for k, event in enumerate(self.events):
-            event["places"] = deque(index.title(frozenset(t), k) for t in event["titles"])
+            last, event["told"] = [sets[t] for t in event["titles"]], 0
+            for t in last:
+                self._place(k, t)
 
     def out(self) -> Iterator[dict]:
         for e in self.events:
-            yield e | {"entities": sorted(e["entities"]), "article_ids": list(e["article_ids"]), "source_ids": list(e["source_ids"]), "titles": list(e["titles"])}
+            yield e | {"entities": sorted(e["entities"]), "article_ids": list(e["article_ids"]), "source_ids": list(e["source_ids"]), "titles": [sorted(self.index.sets[t]) for t in e["titles"]]}
 
 
 def fold_component(rows: Iterable[dict], rules: ClusterRules) -> Iterator[dict]:
@@ -206,14 +258,14 @@ EVENT_SCHEMA = (
 )
 
 
-#: What passes from slice to slice: an event or an article, with the trigrams of its last titles.
+#: What passes from slice to slice: an event with the trigrams of its last titles, or an article, the first of a title with its trigrams.
 _ROW = (
     "component bigint, ord bigint, stored boolean, id string, title string, category string, entities array<string>, titles array<array<string>>, source_id string, at timestamp, "
     "article_ids array<string>, source_ids array<string>, first_seen timestamp, last_updated timestamp, is_new boolean, touched boolean"
 )
 _NAMES = [c.split()[0] for c in _ROW.split(", ")]
 #: Articles of a component that one task folds before the next slice goes on.
-SLICE_ROWS = 20_000
+SLICE_ROWS = 100_000
 
 
 def _components(nodes: DataFrame, rules: ClusterRules) -> DataFrame:
@@ -228,7 +280,7 @@ def _components(nodes: DataFrame, rules: ClusterRules) -> DataFrame:
     first = named.groupBy("key").agg(F.min("ord").alias("first"))
     stars = lookup(named, first, "key").where("first < ord").select(F.col("first").alias("a"), F.col("ord").alias("b"))
     known = components(stars)
-    titles = nodes.groupBy("title").agg(F.min("ord").alias("first"), F.first("titles").getItem(0).alias("grams"))
+    titles = nodes.groupBy("title").agg(F.min("ord").alias("first")).withColumn("grams", trigrams(F.coalesce("title", F.lit(""))))
     apart = titles.join(known.select(F.col("node").alias("first"), "component"), "first", "left").withColumn("component", F.coalesce("component", "first"))
     pairs = similar_pairs(stored(apart, "titles"), "first", "grams", rules.wording_alone, apart="component").select("a", "b")
     return components(known.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(pairs))
@@ -251,6 +303,15 @@ def _sliced(placed: DataFrame) -> DataFrame:
     return out.select("*", F.when(F.col("lows").isNull(), 0).otherwise(place).alias("slice"), F.when(F.col("lows").isNull(), 0).otherwise(F.size("lows") - 1).alias("last")).drop("lows")
 
 
+def _with_grams(placed: DataFrame) -> DataFrame:
+    """``placed`` with a title's trigrams in ``titles`` of its first row in each slice of a component; the fold remembers them."""
+    name = F.coalesce("title", F.lit("")).alias("name")
+    first = placed.groupBy("component", "slice", name).agg(F.min("ord").alias("ord"))
+    grams = placed.select(name).distinct().withColumn("grams", trigrams(F.col("name")))
+    own = first.join(grams, "name").select("ord", F.array("grams").alias("titles"))
+    return placed.drop("titles").join(own, "ord", "left")
+
+
 def cluster_articles(articles: DataFrame, existing: DataFrame | None = None, rules: ClusterRules = ClusterRules()) -> DataFrame:
     """The events that ``articles`` open or extend: EVENT_SCHEMA's columns, one row an event.
 
@@ -262,10 +323,10 @@ def cluster_articles(articles: DataFrame, existing: DataFrame | None = None, rul
     slices of SLICE_ROWS rows, and a slice starts from the events that the one before it left.  No task holds more than a
     slice and its component's events; components run side by side.
     """
-    none = F.array().cast("array<string>")
+    none, untold = F.array().cast("array<string>"), F.lit(None).cast("array<array<string>>").alias("titles")
     node = articles.select(
         F.col("ord").cast("bigint").alias("ord"), F.lit(False).alias("stored"), "id", "title", classify(F.col("title"), F.col("summary"), F.col("source_id")).alias("category"),
-        article_entities(F.col("title"), F.col("summary")).alias("entities"), F.array(trigrams(F.coalesce("title", F.lit("")))).alias("titles"), "source_id", F.coalesce("published_at", "fetched_at").alias("at"),
+        article_entities(F.col("title"), F.col("summary")).alias("entities"), untold, "source_id", F.coalesce("published_at", "fetched_at").alias("at"),
         none.alias("article_ids"), none.alias("source_ids"), F.lit(None).cast("timestamp").alias("first_seen"), F.lit(None).cast("timestamp").alias("last_updated"), F.lit(False).alias("is_new"), F.lit(False).alias("touched"),
     )
     if existing is not None:
@@ -273,17 +334,18 @@ def cluster_articles(articles: DataFrame, existing: DataFrame | None = None, rul
         low = node.agg(F.min("ord")).first()[0] or 0
         count = existing.count()
         node = node.unionByName(held.select(
-            (F.col("rank") - 1 - count + F.lit(low)).cast("bigint").alias("ord"), F.lit(True).alias("stored"), "id", F.col("canonical_title").alias("title"), "category", "entities", F.array(trigrams(F.col("canonical_title"))).alias("titles"),
+            (F.col("rank") - 1 - count + F.lit(low)).cast("bigint").alias("ord"), F.lit(True).alias("stored"), "id", F.col("canonical_title").alias("title"), "category", "entities", untold,
             F.lit("").alias("source_id"), F.col("last_updated").alias("at"), "article_ids", "source_ids", "first_seen", "last_updated", F.lit(False).alias("is_new"), F.lit(False).alias("touched"),
         ))
     node = stored(node, "articles")
     found = _components(node, rules)
     placed = node.join(found.withColumnRenamed("node", "ord"), "ord", "left").withColumn("component", F.coalesce("component", "ord"))
-    placed = stored(_sliced(stored(placed, "placed")), "slices")
+    placed = stored(_with_grams(stored(_sliced(stored(placed, "placed")), "slices")), "slices")
 
     def fold(group: pd.DataFrame) -> pd.DataFrame:
-        rows = group.sort_values("ord").to_dict("records")
-        component = rows[0]["component"]
+        group = group.sort_values("ord")
+        component = group["component"].iloc[0]
+        rows = (dict(zip(_NAMES, r, strict=True)) for r in zip(*(group[c].tolist() for c in _NAMES), strict=True))
         made = [e | {"component": component, "stored": True} for e in fold_component(rows, rules)]
         return pd.DataFrame(made, columns=_NAMES)
 
