@@ -330,6 +330,22 @@ def test_pairs_come_from_all_parts(spark):
     assert 0 < len(found) <= 5 and max(max(r.left_id, r.right_id) for r in found) > 40
 
 
+def test_overlap_of_all_parts_in_any_two_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ranking, "BLOCK_ROWS", 4)
+    rows = [(k, f"part {k}", "b") for k in range(1, 121)] + [(7, "NATO gpt-4", "b"), (7, "gpt-4", "b"), (13, None, "b"), (None, "part of none", "b")]
+    spark.createDataFrame(rows, "p_partkey bigint, p_name string, p_brand string").repartition(3).write.parquet(str(tmp_path / "part.parquet"))
+    has = {}
+    for r in catalogue.QUERIES["entity_extract"](spark, str(tmp_path)).where("p_partkey IS NOT NULL").collect():
+        has.setdefault(r.p_partkey, set()).update(r.entities.split("|"))
+    out = [tuple(r) for r in catalogue.QUERIES["weighted_overlap_pairs"](spark, str(tmp_path)).collect()]
+    same = [(a, b) for a in has for b in has if a < b and has[a] == has[b]]
+    assert len(same) > 12 * 11 / 2 * 5 and sorted((a, b) for a, b, o, _ in out if o == 1) == sorted(same)
+    assert sorted((a, b) for a, b, *_ in out) == sorted((a, b) for a in has for b in has if a < b and has[a] & has[b])
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    assert sorted(out) == sorted(con.execute(catalogue.ORACLES["weighted_overlap_pairs"]).fetchall())
+
+
 def test_components_of_all_orders(spark, tmp_path):
     draw = random.Random(9)
     # Orders above 400 and small quantities link orders too.
